@@ -47,8 +47,9 @@ def collate(df: DataFrame, cols: list[str], batch: str = "batch_id", pos: str =
     """One row per batch with each column stacked in position order (groups hold <= size rows)."""
     rows = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("_p"), *[F.col(c) for c in cols])))
     agg = df.groupBy(batch).agg(rows.alias("_rows"))
-    return agg.select(batch, F.size("_rows").alias("n_rows"),
-                      *[F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in cols])
+    def field(c):
+        return F.transform("_rows", lambda r: r[c]).alias(c)
+    return agg.select(batch, F.size("_rows").alias("n_rows"), *[field(c) for c in cols])
 
 
 def limit_batches(df: DataFrame, spec, batch: str = "batch_id") -> DataFrame:

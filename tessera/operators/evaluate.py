@@ -144,13 +144,16 @@ def early_stop_points(df: DataFrame, value: str, order: str, by: list[str], pati
         reason = reason.when(better(-F.col("_v"), F.lit(-float(divergence_threshold))), F.lit("divergence"))
     reason = reason.when(F.col("_wait") >= patience, F.lit("patience"))
     steps = steps.withColumn("_reason", reason)
-    first_stop = F.min_by(F.struct(F.col(order).alias("at"), F.col("_reason").alias("why")),
-                          F.when(F.col("_reason").isNotNull(), F.col("_i")))
+    run = Window.partitionBy(*by)
+    steps = steps.withColumn("_si", F.min(F.when(F.col("_reason").isNotNull(), F.col("_i"))).over(run))
+    at_stop = F.col("_i") == F.col("_si")
+    # the best the callback holds when it stops: checks before the stopping one
+    before = F.col("_ok") & (F.col("_si").isNull() | (F.col("_i") < F.col("_si")))
+    best = F.min(F.when(before, F.col("_v"))) if mode == "min" else F.max(F.when(before, F.col("_v")))
     return (steps.groupBy(*by)
-            .agg(first_stop.alias("_s"),
-                 (F.min(F.when(F.col("_ok"), F.col("_v"))) if mode == "min"
-                  else F.max(F.when(F.col("_ok"), F.col("_v")))).alias("best"))
-            .select(*by, F.col("_s.at").alias("stop_at"), F.col("_s.why").alias("reason"), "best"))
+            .agg(F.max(F.when(at_stop, F.col(order))).alias("stop_at"),
+                 F.max(F.when(at_stop, F.col("_reason"))).alias("reason"),
+                 best.alias("best")))
 
 
 def early_stop_delta(df: DataFrame, value: str, order: str, by: list[str], patience: int = 3,

@@ -8,18 +8,17 @@ from pyspark.sql import functions as F
 from ..functions.timefmt import DEFAULT_SUFFIXES, format_duration
 
 
-def _seconds(ts) -> F.Column:
+def epoch_micros(ts) -> F.Column:
+    """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column (session zone UTC)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    if isinstance(ts, str):
-        return F.unix_micros(c.cast("timestamp")) / 1e6
-    return c
+    return F.unix_micros(c.cast("timestamp"))
 
 
 def run_span(df: DataFrame, run: str = "run", wall_time: str = "wall_time",
              suffixes=DEFAULT_SUFFIXES) -> DataFrame:
     """K1 (+K2): first and last event time over all scalar tags, duration and its text."""
     span = df.groupBy(run).agg(F.min(wall_time).alias("start_time"), F.max(wall_time).alias("end_time"))
-    dur = (F.unix_micros("end_time") - F.unix_micros("start_time")) / 1e6
+    dur = (epoch_micros("end_time") - epoch_micros("start_time")) / 1e6
     return (span.withColumn("duration_s", dur)
             .withColumn("duration_text", format_duration("duration_s", suffixes)))
 
