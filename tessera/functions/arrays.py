@@ -45,7 +45,8 @@ def shift_labels(ids) -> Column:
 def mask_labels(labels, keep_mask, ignore: int = IGNORE_INDEX) -> Column:
     """``labels[i]`` where ``keep_mask[i + 1]`` is set, else ``ignore`` (mask is unshifted)."""
     m = col_(keep_mask)
-    return F.transform(col_(labels), lambda x, i: F.when(F.get(m, i + 1) == 1, x).otherwise(F.lit(ignore)))
+    shifted = F.slice(m, 2, F.greatest(F.size(m) - 1, F.lit(0)))
+    return F.zip_with(col_(labels), shifted, lambda x, k: F.when(k == 1, x).otherwise(F.lit(ignore)))
 
 
 def supervised_count(labels, ignore: int = IGNORE_INDEX) -> Column:

@@ -7,6 +7,7 @@ non-ASCII values (ASCII text is NFKC-stable and is passed as null, which Arrow s
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -53,8 +54,12 @@ def _regex_quote(s: str) -> str:
 
 
 SPECIALS_ALT = "|".join(_regex_quote(s) for s in SPECIAL_TOKENS)
+# Every special token starts with '<'; the look-ahead only runs at '<' characters.
+_SPECIAL_TAILS = "|".join(_regex_quote(s[1:]) for s in SPECIAL_TOKENS)
+assert all(s.startswith("<") for s in SPECIAL_TOKENS)
 # A piece is a special token, or the longest run of text that does not start one.
-SPLIT_SPECIALS_PATTERN = f"(?s){SPECIALS_ALT}|(?:(?!{SPECIALS_ALT}).)+"
+# Possessive runs keep Java's regex engine from recursing once per character on long texts.
+SPLIT_SPECIALS_PATTERN = f"(?s){SPECIALS_ALT}|(?:[^<]++|<(?!{_SPECIAL_TAILS}))++"
 
 
 def col_(c) -> Column:
@@ -98,20 +103,61 @@ def _nfkc_array_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda a: None if a is None else [_nfkc_one(x) for x in a])
 
 
-NON_ASCII = "[^\\x00-\\x7F]"
+@functools.lru_cache(maxsize=1)
+def nfkc_unstable_pattern() -> str:
+    """Java regex matching any character that might change under NFKC.
+
+    Generated by rule from the Unicode database: a character is *stable* when NFKC leaves it
+    unchanged, its combining class is 0, it is not the second half of a canonical composition
+    and it is not a conjoining Hangul vowel/trailing jamo. A string of stable characters is its
+    own NFKC form. Stable runs of at least 32 BMP code points (and every stable Latin-1 code
+    point) are kept so that the class stays short; anything else is sent to Python, which is
+    exact either way.
+    """
+    second = set()
+    for cp in range(0x80, 0x110000):
+        d = unicodedata.decomposition(chr(cp))
+        if d and not d.startswith("<"):
+            parts = d.split()
+            if len(parts) == 2:
+                second.add(int(parts[1], 16))
+
+    def stable(cp: int) -> bool:
+        ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or 0x1160 <= cp <= 0x11FF or cp in second:
+            return False
+        return unicodedata.combining(ch) == 0 and unicodedata.normalize("NFKC", ch) == ch
+
+    runs, start = [(0x00, 0x7F)], None
+    for cp in range(0x80, 0x10000):
+        if stable(cp):
+            start = cp if start is None else start
+        elif start is not None:
+            runs.append((start, cp - 1))
+            start = None
+    if start is not None:
+        runs.append((start, 0xFFFF))
+    kept = [(a, b) for a, b in runs if b - a + 1 >= 32 or b < 0x100]
+    body = "".join(f"\\x{{{a:04X}}}-\\x{{{b:04X}}}" for a, b in kept)
+    return f"[^{body}]"
+
+
+def needs_nfkc(text) -> Column:
+    """True when the text has a character NFKC might change. ASCII runs are removed first with
+    a one-range class, so the long character class only scans the (few) non-ASCII characters."""
+    return F.regexp_replace(col_(text), "[\\x00-\\x7F]+", "").rlike(nfkc_unstable_pattern())
 
 
 def nfkc(text) -> Column:
-    """NFKC normalisation. Only non-ASCII values cross into Python."""
+    """NFKC normalisation. Only values with a possibly unstable character cross into Python."""
     c = col_(text)
-    return F.coalesce(_nfkc_udf(F.when(c.rlike(NON_ASCII), c)), c)
+    return F.coalesce(_nfkc_udf(F.when(needs_nfkc(c), c)), c)
 
 
-def nfkc_pieces(pieces) -> Column:
-    """NFKC of every element of an ``array<string>``; arrays without non-ASCII text skip Python."""
+def nfkc_pieces(pieces, text) -> Column:
+    """NFKC of every element of ``pieces`` (split from ``text``); stable texts skip Python."""
     c = col_(pieces)
-    needs = F.exists(c, lambda x: x.rlike(NON_ASCII))
-    return F.coalesce(_nfkc_array_udf(F.when(needs, c)), c)
+    return F.coalesce(_nfkc_array_udf(F.when(needs_nfkc(text), c)), c)
 
 
 def pretokens(text) -> Column:

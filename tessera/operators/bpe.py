@@ -26,13 +26,13 @@ from pyspark.sql import types as T
 
 from ..functions.text import (BASE_VOCAB_SIZE, ID_TO_BYTE, SPECIAL_TOKENS, byte_symbols, col_,
                               nfkc, pretokens)
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, spread
 
 
 def word_counts(df: DataFrame, text_col: str = "text", normalize: bool = True) -> DataFrame:
     """C4: pre-token frequencies ``(word string, cnt long)``."""
     text = nfkc(text_col) if normalize else col_(text_col)
-    return (df.select(F.explode(pretokens(text)).alias("word"))
+    return (spread(df.select(text_col)).select(F.explode(pretokens(text)).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
 
 

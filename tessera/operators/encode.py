@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import (BYTE_TO_ID, SPECIAL_TOKENS, col_, is_special, nfkc_pieces,
                               pretokens, special_id, split_specials)
+from ..session import spread
 from .bpe import BpeModel, bpe_word
 
 DICT_SCHEMA = T.StructType([
@@ -39,7 +40,7 @@ def with_text_units(df: DataFrame, text, out: str = "units") -> DataFrame:
     Pieces and their NFKC form are materialised as columns first: a Python UDF cannot sit
     inside a higher-order function's lambda."""
     pieces = df.withColumn("_pieces", split_specials(text))
-    normed = pieces.withColumn("_norm", nfkc_pieces("_pieces"))
+    normed = pieces.withColumn("_norm", nfkc_pieces("_pieces", text))
     units = F.flatten(F.transform("_pieces", lambda p, i: F.when(is_special(p), F.array(p))
                                   .otherwise(pretokens(F.get(F.col("_norm"), i)))))
     return normed.withColumn(out, units).drop("_pieces", "_norm")
@@ -69,6 +70,93 @@ def _word_encoder(ranks_bc, vocab_len_bc):
     return encode_partition
 
 
+def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | None,
+                        cache_size: int = 500_000):
+    """Per-batch encoder over Arrow data. Python loops only over the *distinct* words of a
+    batch (with a bounded per-task cache across batches); gathering every unit's tokens, the
+    per-row offsets and the supervision mask is vectorised numpy."""
+    from itertools import chain
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    specials = {s: i for i, s in enumerate(SPECIAL_TOKENS)}
+
+    def encode_word(w, ranks, lens):
+        sid = specials.get(w)
+        if sid is not None:
+            return [sid], [len(w.encode("utf-8"))]
+        ids = bpe_word([BYTE_TO_ID[b] for b in w.encode("utf-8")], ranks)
+        ends, acc = [], 0
+        for t in ids:
+            acc += lens[t]
+            ends.append(acc)
+        return ids, ends
+
+    def encode_batches(batches):
+        ranks = ranks_bc.value
+        lens = vocab_len_bc.value
+        cache: dict = {}
+        for rb in batches:
+            col = rb.column(rb.schema.get_field_index(units_col))
+            n_units = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+            flat = pc.list_flatten(col)
+            if len(flat):
+                enc = pc.dictionary_encode(flat)
+                idx = enc.indices.to_numpy(zero_copy_only=False)
+                u_ids, u_ends = [], []
+                for w in enc.dictionary.to_pylist():
+                    hit = cache.get(w)
+                    if hit is None:
+                        hit = encode_word(w, ranks, lens)
+                        if len(cache) >= cache_size:
+                            cache.clear()
+                        cache[w] = hit
+                    u_ids.append(hit[0])
+                    u_ends.append(hit[1])
+                u_len = np.fromiter((len(a) for a in u_ids), np.int64, len(u_ids))
+                u_off = np.concatenate([[0], np.cumsum(u_len)])
+                tl = u_len[idx]                                   # tokens of each unit
+                unit_tok_off = np.concatenate([[0], np.cumsum(tl)])
+                gather = np.repeat(u_off[idx] - unit_tok_off[:-1], tl) + np.arange(unit_tok_off[-1])
+                tokens = np.fromiter(chain.from_iterable(u_ids), np.int32, int(u_off[-1]))[gather]
+                ends = np.fromiter(chain.from_iterable(u_ends), np.int32, int(u_off[-1]))[gather]
+            else:
+                tl = np.zeros(0, np.int64)
+                unit_tok_off = np.zeros(1, np.int64)
+                tokens = ends = np.zeros(0, np.int32)
+            row_unit_off = np.concatenate([[0], np.cumsum(n_units)])
+            row_tok_off = unit_tok_off[row_unit_off].astype(np.int32)
+            names = [f.name for f in rb.schema if f.name not in (units_col, cls_col)]
+            arrays = [rb.column(rb.schema.get_field_index(n)) for n in names]
+            arrays.append(pa.ListArray.from_arrays(pa.array(row_tok_off, pa.int32()), pa.array(tokens, pa.int32())))
+            names.append("ids")
+            if cls_col is not None:
+                cls = pc.list_flatten(rb.column(rb.schema.get_field_index(cls_col))).to_numpy(zero_copy_only=False)
+                cls_tok = np.repeat(cls, tl)
+                mask = ((cls_tok == 1) | ((cls_tok == 2) & (ends > 1))).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(row_tok_off, pa.int32()), pa.array(mask, pa.int32())))
+                names.append("mask")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+    return encode_batches
+
+
+def encode_units_narrow(df: DataFrame, model: BpeModel, units: str = "units", cls: str | None = None) -> DataFrame:
+    """Narrow encode: replace ``units array<string>`` by the flattened token ``ids`` (and a
+    token ``mask`` from per-unit classes ``cls``: 0 never, 1 always, 2 tokens ending past the
+    first byte) inside each partition with ``mapInArrow``; no shuffle. The merge table is a
+    broadcast variable bounded by the vocabulary size."""
+    sc = df.sparkSession.sparkContext
+    ranks_bc = sc.broadcast(model.ranks())
+    lens_bc = sc.broadcast({i: len(b) for i, b in model.vocab.items()})
+    fields = [f for f in df.schema.fields if f.name not in (units, cls)]
+    fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+    if cls is not None:
+        fields.append(T.StructField("mask", T.ArrayType(T.IntegerType())))
+    return df.mapInArrow(_arrow_unit_encoder(ranks_bc, lens_bc, units, cls), T.StructType(fields))
+
+
 def word_dictionary(words: DataFrame, model: BpeModel, word: str = "word") -> DataFrame:
     """Encode each row of a (distinct) word column once: ``(word, ids, ends)``."""
     sc = words.sparkSession.sparkContext
@@ -90,15 +178,26 @@ def encode_exploded(units: DataFrame, model: BpeModel, unit: str = "unit") -> Da
 
 def encode(df: DataFrame, model: BpeModel, keys: list[str], text: str = "text",
            max_len: int | None = None, bos: bool = False, out: str = "ids",
-           keep: list[str] = ()) -> DataFrame:
+           keep: list[str] = (), strategy: str = "narrow") -> DataFrame:
     """D2/D3 (+E1): ``(keys..., keep..., out array<int>)``; ``keys`` must identify a row and
-    ``keep`` columns must be functions of the keys. Rows without any unit get ``[]``."""
+    ``keep`` columns must be functions of the keys. Rows without any unit get ``[]``.
+
+    ``strategy="narrow"``: encode inside each partition (no shuffle, per-task word cache).
+    ``strategy="dictionary"``: explode units, encode the distinct words once, join back and
+    regroup (two shuffles; worth it only when words repeat across the whole corpus far more
+    than inside one task)."""
     units = F.col("_units")
     if bos:
         units = F.concat(F.array(F.lit(SPECIAL_TOKENS[0])), units)
     if max_len is not None:
         units = F.slice(units, 1, max_len)
-    with_units = with_text_units(df.select(*keys, *keep, text), text, "_units")
+    with_units = with_text_units(spread(df.select(*keys, *keep, text)), text, "_units")
+    if strategy == "narrow":
+        enc = encode_units_narrow(with_units.select(*keys, *keep, units.alias("_units")), model, "_units")
+        ids = F.col("ids")
+        if max_len is not None:
+            ids = F.slice(ids, 1, max_len)
+        return enc.select(*keys, *keep, ids.alias(out))
     exploded = with_units.select(*keys, *keep, F.posexplode_outer(units).alias("upos", "unit"))
     enc = encode_exploded(exploded, model)
     piece = F.when(F.col("unit").isNotNull(), F.struct("upos", "ids"))

@@ -27,10 +27,15 @@ def argmax(logits) -> Column:
 
 
 def logsumexp(logits) -> Column:
-    """Max-shifted log-sum-exp in double."""
+    """Log-sum-exp in double, one pass with a running max (numerically stable, O(n))."""
     x = _as_double(logits)
-    m = F.array_max(x)
-    return m + F.log(F.aggregate(x, F.lit(0.0).cast("double"), lambda acc, v: acc + F.exp(v - m)))
+    init = F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s"))
+
+    def step(acc, v):
+        m2 = F.greatest(acc["m"], v)
+        return F.struct(m2.alias("m"), (acc["s"] * F.exp(acc["m"] - m2) + F.exp(v - m2)).alias("s"))
+
+    return F.aggregate(x, init, step, lambda acc: acc["m"] + F.log(acc["s"]))
 
 
 def nll(logits, label, ignore: int = IGNORE_INDEX) -> Column:

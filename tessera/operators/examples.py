@@ -26,11 +26,12 @@ def shifted_rows(ids, keep, max_len: int, pad_id: int = PAD_ID, ignore: int = IG
     pad to ``max_len``, ``input_ids = ids[:-1]``, ``labels = ids[1:]`` with -100 where the
     shifted keep flag (times the attention mask) is 0. Returns two columns."""
     padded = A.pad(ids, max_len, pad_id)
-    n = F.size(col_(ids))
-    k = col_(keep)
+    keep_padded = A.pad(keep, max_len, 0)  # padding is never a label (attention mask)
     inputs = F.slice(padded, 1, max_len - 1)
-    labels = F.transform(F.slice(padded, 2, max_len - 1),
-                         lambda x, i: F.when((i + 1 < n) & (F.get(k, i + 1) == 1), x).otherwise(F.lit(ignore)))
+    # zip_with evaluates both arrays once; a lambda that indexes an outer array expression
+    # would re-evaluate it for every element
+    labels = F.zip_with(F.slice(padded, 2, max_len - 1), F.slice(keep_padded, 2, max_len - 1),
+                        lambda x, m: F.when(m == 1, x).otherwise(F.lit(ignore)))
     return inputs.alias("input_ids"), labels.alias("labels")
 
 

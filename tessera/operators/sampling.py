@@ -32,9 +32,13 @@ def top_k(logits, k: int = 5, clamp: bool = True) -> Column:
 def softmax_topk(top) -> Column:
     """Probabilities over the retained scores (max-shifted)."""
     t = col_(top)
-    m = F.array_max(F.transform(t, lambda e: e["score"]))
+    # retained scores are sorted, so the first one is the max; z is computed once per row by
+    # zipping it in as an array instead of referencing it inside the lambda
+    m = F.element_at(t, 1)["score"]
     z = F.aggregate(t, F.lit(0.0).cast("double"), lambda acc, e: acc + F.exp(e["score"] - m))
-    return F.transform(t, lambda e: F.struct(e["id"].alias("id"), (F.exp(e["score"] - m) / z).alias("p")))
+    zs = F.array_repeat(z, F.size(t))
+    return F.zip_with(t, zs, lambda e, s: F.struct(e["id"].alias("id"),
+                                                   (F.exp(e["score"] - F.lit(0.0) - m) / s).alias("p")))
 
 
 def sample_topk(probs, seed: int, *row_key) -> Column:
@@ -51,8 +55,9 @@ def sample_topk(probs, seed: int, *row_key) -> Column:
 def decode_bytes(ids, vocab_map: Column, skip_special: bool = True) -> Column:
     """Token ids to their concatenated bytes through a literal id -> bytes map."""
     c = F.filter(col_(ids), lambda x: x >= N_SPECIAL) if skip_special else col_(ids)
-    parts = F.transform(c, lambda i: F.try_element_at(vocab_map, i))
-    return F.aggregate(parts, F.lit(b"").cast("binary"), lambda acc, b: F.concat(acc, F.coalesce(b, F.lit(b"").cast("binary"))))
+    # hex of each token, joined, then decoded once: linear in the output size
+    parts = F.transform(c, lambda i: F.coalesce(F.hex(F.try_element_at(vocab_map, i)), F.lit("")))
+    return F.unhex(F.array_join(parts, ""))
 
 
 def bytes_to_text(b) -> Column:
