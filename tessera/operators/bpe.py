@@ -5,11 +5,13 @@ absorbs hot words) -> word-type table ``(symbols array<int>, cnt long)`` -> roun
 {pair counts (one small shuffle) -> ranked heads to the driver -> apply a batch of merges}.
 
 A round learns several merges at once, exactly as one-at-a-time greedy BPE would: the batch is
-the longest prefix of the ranked pairs (count desc, left id asc, right id asc) whose symbols
-are pairwise disjoint; the prefix ends after a pair of two equal symbols and before a pair whose
-merged string already exists (that pair is applied alone, reusing the existing id). Disjoint
-merges do not change each other's counts, and every pair they create is bounded by a pair that
-ranks after the prefix, so the greedy order is preserved.
+the longest prefix of the ranked pairs (count desc, left id asc, right id asc) in which no
+pair's left symbol is an earlier pair's right symbol and no pair's right symbol is an earlier
+pair's left symbol; the prefix ends after a pair of two equal symbols and before a pair whose
+merged string already exists (that pair is applied alone, reusing the existing id). Such merges
+do not change each other's counts (occurrences cannot overlap), and every pair they create is
+bounded by a pair that ranks after the prefix and loses ties to it (new ids are the largest),
+so the greedy order is preserved.
 
 Only the ranked heads (at most ``heads`` rows) and the merge table (bounded by ``vocab_size``)
 ever reach the driver; the word table stays distributed and is checkpointed to the reliable
@@ -44,9 +46,10 @@ def word_types(counts: DataFrame) -> DataFrame:
 
 def pair_counts(words: DataFrame, min_frequency: int = 2) -> DataFrame:
     """Weighted adjacent-pair counts ``(left int, right int, n long)`` with a minimum."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size("symbols") - 1),
-                        lambda i: F.struct(F.element_at("symbols", i).alias("left"),
-                                           F.element_at("symbols", i + 1).alias("right")))
+    s = F.col("symbols")
+    n = F.size(s) - 1
+    # arrays_zip of the array and its shift is a native (code-generated) expression
+    pairs = F.arrays_zip(F.slice(s, 1, n).alias("left"), F.slice(s, 2, n).alias("right"))
     return (words.select(F.explode(pairs).alias("p"), "cnt")
             .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right"))
             .agg(F.sum("cnt").alias("n"))
@@ -90,12 +93,16 @@ class BpeModel:
 
 
 def _select_batch(heads, model: BpeModel, by_bytes: dict, room: int, min_frequency: int):
-    """Longest exact prefix of the ranked heads (see module doc). Returns [(l, r, new, is_new)]."""
-    batch, used = [], set()
+    """Longest exact prefix of the ranked heads (see module doc). Returns [(l, r, new, is_new)].
+
+    Merging (a, b) changes the count of another pair (u, v) only when u == b (its left symbol
+    may be swallowed from the left) or v == a (its right symbol from the right); pairs that
+    share just the left or just the right symbol cannot overlap an (a, b) occurrence."""
+    batch, lefts, rights = [], set(), set()
     next_id = max(model.vocab) + 1
     for row in heads:
         left, right, n = int(row[0]), int(row[1]), int(row[2])
-        if n < min_frequency or left in used or right in used:
+        if n < min_frequency or left in rights or right in lefts:
             break
         merged = model.vocab[left] + model.vocab[right]
         existing = by_bytes.get(merged)
@@ -110,7 +117,8 @@ def _select_batch(heads, model: BpeModel, by_bytes: dict, room: int, min_frequen
         model.vocab[next_id] = merged
         next_id += 1
         room -= 1
-        used.update((left, right))
+        lefts.add(left)
+        rights.add(right)
         if left == right:
             break
     return batch

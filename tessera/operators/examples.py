@@ -5,6 +5,9 @@ Both builders push right truncation below every shuffle: a document keeps its fi
 ``max_len // 2`` rendered turns (each is at least two tokens) -- the turn limit is a
 ``row_number() <= n`` filter, which Spark applies map-side as a window group limit, so a huge
 conversation is cut before it is shuffled -- and every turn keeps its first ``max_len`` units.
+
+Words are encoded in place (``strategy="narrow"``, ``mapInArrow``; no shuffle) by default; the
+``"dictionary"`` strategy (distinct words, one encode each, join back) is kept for comparison.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions.text import IGNORE_INDEX, PAD_ID, SPECIAL_TOKENS, col_
 from .bpe import BpeModel
-from .encode import encode, encode_exploded, with_text_units
+from .encode import encode, encode_exploded, encode_units_narrow, with_text_units
 from .turns import KNOWN_ROLES, normalize_role
 
 IM_START, IM_END = SPECIAL_TOKENS[0], SPECIAL_TOKENS[1]
@@ -36,9 +39,9 @@ def shifted_rows(ids, keep, max_len: int, pad_id: int = PAD_ID, ignore: int = IG
 
 
 def pretrain_examples(docs: DataFrame, model: BpeModel, max_len: int = 512, key: str = "doc_id",
-                      text: str = "text", keep: list[str] = ()) -> DataFrame:
+                      text: str = "text", keep: list[str] = (), strategy: str = "narrow") -> DataFrame:
     """``bos + text`` -> ids truncated and padded to ``max_len`` -> shifted, padding masked."""
-    enc = encode(docs, model, [key], text, max_len=max_len, bos=True, keep=list(keep))
+    enc = encode(docs, model, [key], text, max_len=max_len, bos=True, keep=list(keep), strategy=strategy)
     ones = F.transform("ids", lambda x: F.lit(1))
     inputs, labels = shifted_rows(F.col("ids"), ones, max_len)
     return enc.select(key, *keep, F.size("ids").alias("n_tokens"), inputs, labels)
@@ -61,33 +64,40 @@ def with_turn_units(df: DataFrame, role: str, text: str, max_len: int, out: str
 
 
 def _encoded_turn_units(turns: DataFrame, model: BpeModel, max_len: int, key: str, order: str,
-                        role: str, text: str, limit_turns: bool) -> DataFrame:
+                        role: str, text: str, limit_turns: bool, strategy: str = "narrow") -> DataFrame:
     t = (turns.select(key, order, normalize_role(role).alias("role"), col_(text).alias("text"))
          .filter(F.col("role").isin(*KNOWN_ROLES)))
     if limit_turns:
         limit = max(max_len // 2, 1)
         t = (t.withColumn("_rk", F.row_number().over(Window.partitionBy(key).orderBy(order)))
              .filter(F.col("_rk") <= limit).drop("_rk"))
-    exploded = (with_turn_units(t, "role", "text", max_len, "_units")
-                .select(key, order, F.posexplode("_units").alias("upos", "_u"))
-                .select(key, order, "upos", F.col("_u.u").alias("unit"), F.col("_u.cls").alias("cls")))
-    enc = encode_exploded(exploded, model)
-    tok_mask = F.transform("ends", lambda e: F.when(F.col("cls") == 1, 1)
-                           .when((F.col("cls") == 2) & (e > 1), 1).otherwise(0))
-    seqs = (enc.withColumn("mask", tok_mask).groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct(order, "upos", "ids", "mask"))).alias("_u")))
+    units = with_turn_units(t, "role", "text", max_len, "_units")
+    if strategy == "narrow":
+        per_turn = encode_units_narrow(
+            units.select(key, order, F.transform("_units", lambda u: u["u"]).alias("_u"),
+                         F.transform("_units", lambda u: u["cls"]).alias("_c")), model, "_u", "_c")
+        seqs = per_turn.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "ids", "mask"))).alias("_u"))
+    else:
+        exploded = (units.select(key, order, F.posexplode("_units").alias("upos", "_u"))
+                    .select(key, order, "upos", F.col("_u.u").alias("unit"), F.col("_u.cls").alias("cls")))
+        enc = encode_exploded(exploded, model)
+        tok_mask = F.transform("ends", lambda e: F.when(F.col("cls") == 1, 1)
+                               .when((F.col("cls") == 2) & (e > 1), 1).otherwise(0))
+        seqs = (enc.withColumn("mask", tok_mask).groupBy(key)
+                .agg(F.array_sort(F.collect_list(F.struct(order, "upos", "ids", "mask"))).alias("_u")))
     return seqs.select(key, F.slice(F.flatten(F.transform("_u", lambda u: u["ids"])), 1, max_len).alias("ids"),
                        F.slice(F.flatten(F.transform("_u", lambda u: u["mask"])), 1, max_len).alias("mask"))
 
 
 def sft_examples(turns: DataFrame, model: BpeModel, max_len: int = 512, key: str = "conv_id",
-                 order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+                 order: str = "turn", role: str = "role", text: str = "text",
+                 strategy: str = "narrow") -> DataFrame:
     """F5 (with F4): chat rows where only assistant replies (and their end token) are labels.
 
     Input is flat turns; ``human`` becomes ``user`` and roles the template does not know
     render nothing. Output: ``(key, n_tokens, n_supervised, input_ids, labels)``.
     """
-    rows = _encoded_turn_units(turns, model, max_len, key, order, role, text, True)
+    rows = _encoded_turn_units(turns, model, max_len, key, order, role, text, True, strategy)
     inputs, labels = shifted_rows(F.col("ids"), F.col("mask"), max_len)
     out = rows.select(key, F.size("ids").alias("n_tokens"), inputs, labels)
     return out.withColumn("n_supervised", A.supervised_count("labels"))

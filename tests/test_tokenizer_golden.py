@@ -101,3 +101,16 @@ def test_decode_malformed_bytes_like_replace(spark, trained):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "k int, ids array<int>")
     got = [r.t for r in df.orderBy("k").select(D.decode("ids", D.vocab_map(model)).alias("t")).collect()]
     assert got == [bytes([0xE4, 0xBD, 0x41]).decode("utf-8", "replace"), bytes([0xFF, 0x42, 0xC3]).decode("utf-8", "replace")]
+
+
+def test_dictionary_strategy_equals_narrow(spark, trained):
+    model, _ = trained
+    conv = table(spark, SF_SMALL, "conversations")
+    a = {r.conv_id: (list(r.input_ids), list(r.labels)) for r in X.sft_examples(conv, model, 96).collect()}
+    b = {r.conv_id: (list(r.input_ids), list(r.labels))
+         for r in X.sft_examples(conv, model, 96, strategy="dictionary").collect()}
+    assert a == b
+    docs = table(spark, SF_SMALL, "documents")
+    c = {r.doc_id: list(r.labels) for r in X.pretrain_examples(docs, model, 96).collect()}
+    d = {r.doc_id: list(r.labels) for r in X.pretrain_examples(docs, model, 96, strategy="dictionary").collect()}
+    assert c == d
