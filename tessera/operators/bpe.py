@@ -141,32 +141,75 @@ def apply_merges(symbols, batch) -> "F.Column":
     return F.when(F.arrays_overlap(sym, lefts), folded).otherwise(sym)
 
 
+def symbol_char(i: int) -> str:
+    """One character per symbol id, order-preserving, skipping the surrogate block."""
+    cp = i + 256
+    return chr(cp + 0x800 if cp >= 0xD800 else cp)
+
+
+def char_symbol(c: str) -> int:
+    cp = ord(c)
+    return (cp - 0x800 if cp >= 0xE000 else cp) - 256
+
+
+def symbol_strings(words: DataFrame) -> DataFrame:
+    """``(symbols array<int>, cnt)`` -> ``(sym string, cnt)``, one character per symbol."""
+    base = sorted(ID_TO_BYTE)
+    lookup = F.array(*[F.lit(symbol_char(i)) for i in range(base[-1] + 1)])
+    return words.select(F.array_join(F.transform("symbols", lambda i: F.element_at(lookup, i + 1)), "")
+                        .alias("sym"), "cnt")
+
+
+def string_pair_counts(words: DataFrame, min_frequency: int = 2) -> DataFrame:
+    """Pair counts over symbol strings: the 2-character chunks at even and at odd offsets are
+    together every adjacent pair; a pair string orders like (left id, right id)."""
+    s = F.col("sym")
+    evens = F.regexp_extract_all(s, F.lit("(?s).."), 0)
+    odds = F.regexp_extract_all(F.substring(s, 2, 1 << 30), F.lit("(?s).."), 0)
+    return (words.select(F.explode(F.concat(evens, odds)).alias("pair"), "cnt")
+            .groupBy("pair").agg(F.sum("cnt").alias("n"))
+            .filter(F.col("n") >= min_frequency))
+
+
+def apply_string_merges(sym, batch) -> "F.Column":
+    """Apply a batch with literal left-to-right replacements (code-generated). Occurrences of
+    different batch pairs cannot overlap (see ``_select_batch``), so the order of the calls does
+    not matter and each call equals a left-to-right merge of its pair."""
+    out = col_(sym)
+    for (l, r, n, _) in batch:
+        out = F.replace(out, F.lit(symbol_char(l) + symbol_char(r)), F.lit(symbol_char(n)))
+    return out
+
+
 def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, heads: int = 256,
               checkpoint_every: int = 16, partitions: int | None = None) -> BpeModel:
     """Learn merges until ``vocab_size`` tokens (specials and bytes included).
 
     ``words`` is a word-type table ``(symbols array<int>, cnt long)`` from :func:`word_types`.
+    Each round is one Spark job: apply the last batch (narrow), count pairs (partial + final
+    aggregate), rank, and bring the top ``heads`` pairs to the driver.
     """
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
     model = BpeModel.base()
     by_bytes = {b: i for i, b in model.vocab.items()}
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    current = words.repartition(parts).checkpoint(eager=True)
+    current = symbol_strings(words).repartition(parts).checkpoint(eager=True)
     cached: DataFrame | None = None
     while len(model.vocab) < vocab_size:
-        ranked = (pair_counts(current, min_frequency)
-                  .orderBy(F.desc("n"), F.asc("left"), F.asc("right")).limit(heads).collect())
+        ranked = (string_pair_counts(current, min_frequency)
+                  .orderBy(F.desc("n"), F.asc("pair")).limit(heads).collect())
         if cached is not None:
             cached.unpersist()
             cached = None
         model.rounds += 1
-        batch = _select_batch(ranked, model, by_bytes, vocab_size - len(model.vocab), min_frequency)
+        heads_ids = [(char_symbol(r.pair[0]), char_symbol(r.pair[1]), r.n) for r in ranked]
+        batch = _select_batch(heads_ids, model, by_bytes, vocab_size - len(model.vocab), min_frequency)
         if not batch:
             break
         model.merges.extend((l, r, n) for (l, r, n, _) in batch)
-        nxt = (current.select(apply_merges("symbols", batch).alias("symbols"), "cnt")
-               .filter(F.size("symbols") >= 2))
+        nxt = (current.select(apply_string_merges("sym", batch).alias("sym"), "cnt")
+               .filter(F.length("sym") >= 2))
         prev = current
         if model.rounds % checkpoint_every == 0:
             current = nxt.checkpoint(eager=True)
