@@ -65,5 +65,7 @@ def spread(df, min_partitions: int | None = None):
     """Round-robin the rows over at least ``min_partitions`` (default: the cluster's cores) when
     the source yields fewer partitions, so CPU-heavy row work is not stuck in a few scan tasks.
     Large inputs already scan in many splits and pass through unchanged (no extra shuffle)."""
+    if df.isStreaming:  # a micro-batch's partitioning is decided by the source
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -1,0 +1 @@
+"""Structured Streaming forms of the row builders and run-log summaries."""
