@@ -170,6 +170,33 @@ def q_scalars(spark, sf):
     return span.select("run", _r("d").alias("duration_s"))
 
 
+@query("tokenizer_save_load")
+def q_tokenizer_save_load(spark, sf):
+    model = trained_model(spark, sf)
+    path = _scratch(spark, "tokenizer")
+    S.save_tokenizer(spark, model, path)
+    back = S.load_tokenizer(spark, path)
+    assert back.vocab == model.vocab and back.merges == model.merges
+    return back.vocab_df(spark).select(F.col("id").cast("long").alias("id"), F.hex("token_bytes").alias("token_hex"))
+
+
+@query("write_examples_by_split",
+       "WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS k, "
+       "count(*) OVER () AS n FROM documents) "
+       "SELECT CASE WHEN k < floor(n * 0.05) THEN 'val' ELSE 'train' END AS split, CAST(count(*) AS BIGINT) AS n_rows, "
+       "CAST(sum(least(length(text), 0) + 1) AS BIGINT) AS n_files_rows FROM r JOIN documents USING (doc_id) GROUP BY 1")
+def q_write_examples(spark, sf):
+    docs = _t(spark, sf, "documents")
+    split = G.exact_split(docs.select("doc_id", "text"), "doc_id", 0.05, 42)
+    rows = X.pretrain_examples(split, C.BpeModel.base(), max_len=BYTE_MAX_LEN, keep=["split"])
+    ordered = G.assign_batches(G.epoch_order(rows, "doc_id", epoch=0, shuffle=False), 64)
+    path = _scratch(spark, "examples")
+    S.write_examples(ordered, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.count(F.when(F.size("labels") == BYTE_MAX_LEN - 1, 1)).alias("n_files_rows"))
+
+
 # ==========================================================================================
 # B. projections, filters, conversation shaping
 
