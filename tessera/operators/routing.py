@@ -64,8 +64,8 @@ def balance_loss(routed: DataFrame, num_experts: int, n_tokens: DataFrame, exper
     per = routed.groupBy(*keys, expert).agg(F.sum("weight").alias("_w"))
     if keys:
         per = per.join(n_tokens, keys)
-    else:  # one global count: join on a constant key (one-row side, broadcast)
-        per = per.withColumn("_one", F.lit(1)).join(F.broadcast(n_tokens.withColumn("_one", F.lit(1))), "_one")
+    else:  # one global count: a scalar subquery, not a join
+        per = per.withColumn("n", n_tokens.select("n").scalar())
     term = F.lit(u) * (F.lit(math.log(u)) - F.log(F.col("_w") / F.col("n") + BALANCE_EPS))
     per_layer = per.groupBy(*keys).agg(F.sum(term).alias("_kl"), F.count(F.lit(1)).alias("_present"))
     absent = (F.lit(num_experts) - F.col("_present")) * (u * (math.log(u) - math.log(BALANCE_EPS)))
