@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import IGNORE_INDEX, col_
+from .ordering import running_agg
 
 
 def _as_double(arr) -> Column:
@@ -79,11 +80,10 @@ def total_loss(ce, aux=None, weight: float = 0.05) -> Column:
 
 def running_best(df: DataFrame, value: str, order: str, by: list[str], mode: str = "max",
                  out: str = "best_so_far", include=None) -> DataFrame:
-    """H6: best value so far per group (``include`` drops e.g. sanity-check rows first)."""
+    """H6: best value so far per group (``include`` drops e.g. sanity-check rows first).
+    Block-decomposed running aggregate, so one hot run is not a single task."""
     src = df if include is None else df.filter(include)
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    agg = F.max(value) if mode == "max" else F.min(value)
-    return src.withColumn(out, agg.over(w))
+    return running_agg(src, value, [order], by, "max" if mode == "max" else "min", out).drop("_pos")
 
 
 def merge_metrics(train: DataFrame, test: DataFrame, name: str = "name", value: str = "value") -> DataFrame:
@@ -127,38 +127,37 @@ def best_checkpoints(df: DataFrame, k: int, metric: str, order: str, by: list[st
 def early_stop_points(df: DataFrame, value: str, order: str, by: list[str], patience: int = 3,
                       mode: str = "min", check_finite: bool = True, stopping_threshold=None,
                       divergence_threshold=None) -> DataFrame:
-    """H10 with ``min_delta=0``: per check, whether it improves on the best so far, the checks
-    since the last improvement, and the first check that stops the run. Returns one row per run
-    with ``stop_at`` (null when the run never stops), ``reason`` and ``best``."""
+    """H10 with ``min_delta=0``: one row per run with ``stop_at`` (the check that stops it, null
+    when it never stops), ``reason`` and ``best`` (the best value held when stopping).
+
+    With a zero delta the accepted best is the running best, so every quantity is a running
+    aggregate: best before each check (exclusive running min/max of finite values) and the last
+    improving position (running max). Both are block-decomposed, so a hot run is split across
+    tasks; positions are dense within a run, so checks since the last improvement are a
+    difference of positions."""
+    how = "min" if mode == "min" else "max"
     v = F.col(value).cast("double")
-    prev = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    idx = F.row_number().over(Window.partitionBy(*by).orderBy(order))
     finite = ~(F.isnan(v) | (F.abs(v) == float("inf")))
     better = (lambda a, b: a < b) if mode == "min" else (lambda a, b: a > b)
-    prev_best = (F.min(F.when(finite, v)) if mode == "min" else F.max(F.when(finite, v))).over(prev)
-    steps = (df.withColumn("_v", v).withColumn("_i", idx)
-             .withColumn("_ok", finite)
-             .withColumn("_improved", F.col("_ok") & (prev_best.isNull() | better(F.col("_v"), prev_best))))
-    last_imp = F.max(F.when(F.col("_improved"), F.col("_i")).otherwise(F.lit(0))).over(upto)
-    steps = steps.withColumn("_wait", F.col("_i") - last_imp)
+    base = df.withColumn("_val", v).withColumn("_ok", finite)
+    steps = running_agg(base, F.when(F.col("_ok"), F.col("_val")), [order], by, how, "_prev", inclusive=False)
+    steps = steps.withColumn("_improved", F.col("_ok") & (F.col("_prev").isNull() | better(F.col("_val"), F.col("_prev"))))
+    last_imp = running_agg(steps.withColumnRenamed("_pos", "_p0"),
+                           F.when(F.col("_improved"), F.col("_p0")), [order], by, "max", "_last")
+    steps = last_imp.withColumn("_wait", F.col("_pos") - F.col("_last")).drop("_p0")
     reason = F.when(F.lit(check_finite) & ~F.col("_ok"), F.lit("non_finite"))
     if stopping_threshold is not None:
-        reason = reason.when(better(F.col("_v"), F.lit(float(stopping_threshold))), F.lit("threshold"))
+        reason = reason.when(better(F.col("_val"), F.lit(float(stopping_threshold))), F.lit("threshold"))
     if divergence_threshold is not None:
-        reason = reason.when(better(-F.col("_v"), F.lit(-float(divergence_threshold))), F.lit("divergence"))
+        reason = reason.when(better(-F.col("_val"), F.lit(-float(divergence_threshold))), F.lit("divergence"))
     reason = reason.when(F.col("_wait") >= patience, F.lit("patience"))
     steps = steps.withColumn("_reason", reason)
-    run = Window.partitionBy(*by)
-    steps = steps.withColumn("_si", F.min(F.when(F.col("_reason").isNotNull(), F.col("_i"))).over(run))
-    at_stop = F.col("_i") == F.col("_si")
-    # the best the callback holds when it stops: checks before the stopping one
-    before = F.col("_ok") & (F.col("_si").isNull() | (F.col("_i") < F.col("_si")))
-    best = F.min(F.when(before, F.col("_v"))) if mode == "min" else F.max(F.when(before, F.col("_v")))
-    return (steps.groupBy(*by)
-            .agg(F.max(F.when(at_stop, F.col(order))).alias("stop_at"),
-                 F.max(F.when(at_stop, F.col("_reason"))).alias("reason"),
-                 best.alias("best")))
+    stop = F.min_by(F.struct(F.col(order).alias("at"), F.col("_reason").alias("why"), F.col("_prev").alias("best")),
+                    F.when(F.col("_reason").isNotNull(), F.col("_pos")))
+    overall = (F.min if mode == "min" else F.max)(F.when(F.col("_ok"), F.col("_val")))
+    agg = steps.groupBy(*by).agg(stop.alias("_s"), overall.alias("_all"))
+    return agg.select(*by, F.col("_s.at").alias("stop_at"), F.col("_s.why").alias("reason"),
+                      F.when(F.col("_s").isNotNull(), F.col("_s.best")).otherwise(F.col("_all")).alias("best"))
 
 
 def early_stop_delta(df: DataFrame, value: str, order: str, by: list[str], patience: int = 3,

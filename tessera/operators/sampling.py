@@ -73,10 +73,11 @@ def text_deltas(df: DataFrame, vocab_map: Column, gen: str = "gen_id", step: str
     cut, and empty pieces are dropped. Windows are per generation and bounded by ``max_new``."""
     order = Window.partitionBy(gen).orderBy(step)
     w = order.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = df.withColumn("_n", F.row_number().over(order))
+    # keep the first max_new steps first: a row_number filter that Spark applies map-side
+    # (window group limit), so a long generation never reaches one task whole
+    ranked = df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_new)
     eos_at = F.min(F.when(F.col(token) == eos_id, F.col("_n"))).over(Window.partitionBy(gen))
-    live = ranked.withColumn("_eos", eos_at).filter(
-        (F.col("_n") <= max_new) & (F.col("_eos").isNull() | (F.col("_n") < F.col("_eos"))))
+    live = ranked.withColumn("_eos", eos_at).filter(F.col("_eos").isNull() | (F.col("_n") < F.col("_eos")))
     text = bytes_to_text(decode_bytes(F.collect_list(token).over(w), vocab_map))
     full = live.withColumn("full_text", text)
     prev = F.coalesce(F.lag("full_text").over(order), F.lit(""))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PY_SPACE_CLASS, SPECIAL_TOKENS, col_
+from .ordering import running_agg
 
 # Chat template pieces (rendering with trimmed blocks, as the reference's
 # template engine does). The assistant reply has no newline after its end token.
@@ -121,10 +122,12 @@ def assistant_spans(df: DataFrame, key: str = "conv_id", order: str = "turn", ro
     prompt: the content plus its end token, after the ``<|im_start|>assistant\\n`` header."""
     r = normalize_role(role)
     seg_len = F.length(turn_segment(r, text)).cast("long")
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(seg_len).over(w), F.lit(0)).cast("long")
-    start = before + len(GENERATION_PROMPT)
-    return (df.select(key, order, r.alias("role"), text)
+    # exclusive running sum of segment lengths; block-decomposed so a huge conversation is
+    # spread over tasks instead of one window partition
+    rows = running_agg(df.select(key, order, r.alias("role"), text), seg_len, [order], [key], "sum",
+                       "_before", inclusive=False).drop("_pos")
+    start = F.coalesce(F.col("_before"), F.lit(0)).cast("long") + len(GENERATION_PROMPT)
+    return (rows
             .withColumn("span_start", start)
             .withColumn("span_end", start + F.length(text).cast("long") + len(IM_END))
             .filter(F.col("role") == "assistant")
