@@ -14,12 +14,19 @@ SPLIT_SEED = 42  # fixed value: the reference seeds its split with 42 whatever t
 
 def exact_split(df: DataFrame, id_col: str, rate: float = 0.05, seed: int = SPLIT_SEED,
                 partitions: int | None = None) -> DataFrame:
-    """G1: ``val`` holds exactly ``int(n * rate)`` rows, chosen by a seeded hash order."""
-    keyed = df.withColumn("_k", hash_key(seed, id_col))
-    ranked, n = dense_index(keyed, ["_k", id_col], "_pos", partitions)
+    """G1: ``val`` holds exactly ``int(n * rate)`` rows, chosen by a seeded hash order.
+
+    Only the ``(hash key, id)`` projection is ranked (range partitioning, per-partition counts);
+    the row at position ``val_len - 1`` is the threshold, and the split itself is a narrow
+    comparison on the input, so the corpus is never shuffled or checkpointed for it."""
+    key = hash_key(seed, id_col)
+    ranked, n = dense_index(df.select(F.col(id_col), key.alias("_k")), ["_k", id_col], "_pos", partitions)
     val_len = int(n * rate)
-    return (ranked.withColumn("split", F.when(F.col("_pos") < val_len, "val").otherwise("train"))
-            .drop("_k", "_pos"))
+    if val_len <= 0:
+        return df.withColumn("split", F.lit("train"))
+    thr = ranked.filter(F.col("_pos") == val_len - 1).select("_k", id_col).first()
+    in_val = (key < F.lit(thr[0])) | ((key == F.lit(thr[0])) & (F.col(id_col) <= F.lit(thr[1])))
+    return df.withColumn("split", F.when(in_val, "val").otherwise("train"))
 
 
 def split_view(df: DataFrame, name: str) -> DataFrame:

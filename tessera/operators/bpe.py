@@ -182,7 +182,8 @@ def apply_string_merges(sym, batch) -> "F.Column":
 
 
 def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, heads: int = 256,
-              checkpoint_every: int = 16, partitions: int | None = None) -> BpeModel:
+              checkpoint_every: int = 16, partitions: int | None = None,
+              cache_rounds: bool = True) -> BpeModel:
     """Learn merges until ``vocab_size`` tokens (specials and bytes included).
 
     ``words`` is a word-type table ``(symbols array<int>, cnt long)`` from :func:`word_types`.
@@ -215,9 +216,11 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, heads:
             current = nxt.checkpoint(eager=True)
             if prev.is_cached:
                 prev.unpersist()
-        else:
+        elif cache_rounds:
             cached = prev if prev.is_cached else None
             current = nxt.persist()
+        else:  # recompute the short chain of literal replacements from the last checkpoint
+            current = nxt
     if current.is_cached:
         current.unpersist()
     return model

@@ -37,8 +37,7 @@ def softmax_topk(top) -> Column:
     m = F.element_at(t, 1)["score"]
     z = F.aggregate(t, F.lit(0.0).cast("double"), lambda acc, e: acc + F.exp(e["score"] - m))
     zs = F.array_repeat(z, F.size(t))
-    return F.zip_with(t, zs, lambda e, s: F.struct(e["id"].alias("id"),
-                                                   (F.exp(e["score"] - F.lit(0.0) - m) / s).alias("p")))
+    return F.zip_with(t, zs, lambda e, s: F.struct(e["id"].alias("id"), (F.exp(e["score"] - m) / s).alias("p")))
 
 
 def sample_topk(probs, seed: int, *row_key) -> Column:
