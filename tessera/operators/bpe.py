@@ -194,7 +194,9 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, heads:
     ensure_checkpoint_dir(spark)
     model = BpeModel.base()
     by_bytes = {b: i for i, b in model.vocab.items()}
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the word-type table is small next to the corpus: one partition per core is enough, and
+    # fewer tasks per round keep the per-round job short
+    parts = partitions or spark.sparkContext.defaultParallelism
     current = symbol_strings(words).repartition(parts).checkpoint(eager=True)
     cached: DataFrame | None = None
     while len(model.vocab) < vocab_size:
