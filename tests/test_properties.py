@@ -88,3 +88,23 @@ def test_hot_group_running_best_spreads(spark):
                                                  .rowsBetween(Window.unboundedPreceding, 0)))
     j = got.join(want.select("event_id", "w"), "event_id")
     assert j.filter(F.col("best_so_far") != F.col("w")).count() == 0
+
+
+def test_line_ids_across_many_splits(spark):
+    """Line numbers follow file order even when files are cut into many splits."""
+    import tempfile
+    from tessera.sources import io as S
+    docs = table(spark, SF_MID, "documents").select("doc_id", "text")
+    path = tempfile.mkdtemp(prefix="tessera-jsonl-", dir="/tmp") + "/corpus"
+    docs.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").select("text").write.json(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        back = S.read_corpus(spark, path)
+        assert back.rdd.getNumPartitions() > 5
+        got = [(r.row_id, r.text) for r in back.orderBy("row_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [r.text for r in docs.orderBy("doc_id").collect()]
+    assert [i for i, _ in got] == list(range(len(want)))
+    assert [t for _, t in got] == want
