@@ -36,13 +36,13 @@ def split_view(df: DataFrame, name: str) -> DataFrame:
 
 def epoch_order(df: DataFrame, id_col: str, epoch: int, seed: int = SPLIT_SEED, shuffle: bool = True,
                 out: str = "pos", partitions: int | None = None) -> DataFrame:
-    """A fresh seeded order for every epoch (``shuffle=False`` keeps ``id_col`` order)."""
-    if shuffle:
-        keyed = df.withColumn("_k", hash_key(seed, F.lit(epoch), id_col))
-        ranked, _ = dense_index(keyed, ["_k", id_col], out, partitions)
-        return ranked.drop("_k")
-    ranked, _ = dense_index(df, [id_col], out, partitions)
-    return ranked
+    """A fresh seeded order for every epoch (``shuffle=False`` keeps ``id_col`` order).
+
+    Only the ``(key, id)`` projection is ranked and checkpointed; positions join back on the
+    unique id (no hot keys), so wide training rows are shuffled once and never written twice."""
+    key = hash_key(seed, F.lit(epoch), id_col) if shuffle else F.col(id_col)
+    ranked, _ = dense_index(df.select(F.col(id_col), key.alias("_k")), ["_k", id_col], out, partitions)
+    return df.join(ranked.select(id_col, out), id_col)
 
 
 def assign_batches(df: DataFrame, size: int, pos: str = "pos", out: str = "batch_id") -> DataFrame:
