@@ -137,9 +137,9 @@ def early_stop_points(df: DataFrame, value: str, order: str, by: list[str], pati
     difference of positions."""
     how = "min" if mode == "min" else "max"
     v = F.col(value).cast("double")
-    finite = ~(F.isnan(v) | (F.abs(v) == float("inf")))
+    finite = ~(F.isnan(F.col("_val")) | (F.abs(F.col("_val")) == float("inf")))
     better = (lambda a, b: a < b) if mode == "min" else (lambda a, b: a > b)
-    base = df.withColumn("_val", v).withColumn("_ok", finite)
+    base = df.select(*by, order, v.alias("_val")).withColumn("_ok", finite)
     steps = running_agg(base, F.when(F.col("_ok"), F.col("_val")), [order], by, how, "_prev", inclusive=False)
     steps = steps.withColumn("_improved", F.col("_ok") & (F.col("_prev").isNull() | better(F.col("_val"), F.col("_prev"))))
     last_imp = running_agg(steps.withColumnRenamed("_pos", "_p0"),

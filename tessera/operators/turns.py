@@ -124,11 +124,12 @@ def assistant_spans(df: DataFrame, key: str = "conv_id", order: str = "turn", ro
     seg_len = F.length(turn_segment(r, text)).cast("long")
     # exclusive running sum of segment lengths; block-decomposed so a huge conversation is
     # spread over tasks instead of one window partition
-    rows = running_agg(df.select(key, order, r.alias("role"), text), seg_len, [order], [key], "sum",
-                       "_before", inclusive=False).drop("_pos")
+    # only lengths travel through the ranking, not the text
+    lens = df.select(key, order, r.alias("role"), seg_len.alias("_seg"), F.length(text).cast("long").alias("_len"))
+    rows = running_agg(lens, "_seg", [order], [key], "sum", "_before", inclusive=False).drop("_pos")
     start = F.coalesce(F.col("_before"), F.lit(0)).cast("long") + len(GENERATION_PROMPT)
     return (rows
             .withColumn("span_start", start)
-            .withColumn("span_end", start + F.length(text).cast("long") + len(IM_END))
+            .withColumn("span_end", start + F.col("_len") + len(IM_END))
             .filter(F.col("role") == "assistant")
             .select(key, order, "span_start", "span_end"))
