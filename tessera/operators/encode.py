@@ -209,10 +209,11 @@ def encode(df: DataFrame, model: BpeModel, keys: list[str], text: str = "text",
 
 
 def vocab_map(model: BpeModel) -> Column:
-    """Literal ``map<int, binary>`` of the vocabulary (bounded by the vocabulary size)."""
-    ids = ",".join(str(i) for i in sorted(model.vocab))
-    bins = ",".join("X'" + model.vocab[i].hex().upper() + "'" for i in sorted(model.vocab))
-    return F.expr(f"map_from_arrays(array({ids}), array({bins}))")
+    """Literal ``array<string>`` of hex-encoded token bytes indexed by id (ids are dense), so a
+    lookup is an O(1) array index; its size is bounded by the vocabulary size."""
+    n = max(model.vocab) + 1
+    items = ",".join("'" + model.vocab.get(i, b"").hex().upper() + "'" for i in range(n))
+    return F.expr(f"array({items})")
 
 
 def decode(ids, vmap: Column, skip_special: bool = True) -> Column:

@@ -51,11 +51,13 @@ def sample_topk(probs, seed: int, *row_key) -> Column:
     return F.when(folded["pick"] >= 0, folded["pick"]).otherwise(last)
 
 
-def decode_bytes(ids, vocab_map: Column, skip_special: bool = True) -> Column:
-    """Token ids to their concatenated bytes through a literal id -> bytes map."""
+def decode_bytes(ids, vocab_hex: Column, skip_special: bool = True) -> Column:
+    """Token ids to their concatenated bytes through a literal id-indexed array of hex strings
+    (``encode.vocab_map``): each token's hex is looked up by index, joined, and decoded once,
+    so the work is linear in the output size."""
     c = F.filter(col_(ids), lambda x: x >= N_SPECIAL) if skip_special else col_(ids)
-    # hex of each token, joined, then decoded once: linear in the output size
-    parts = F.transform(c, lambda i: F.coalesce(F.hex(F.try_element_at(vocab_map, i)), F.lit("")))
+    parts = F.transform(c, lambda i: F.coalesce(
+        F.when(i >= 0, F.try_element_at(vocab_hex, i + 1)), F.lit("")))
     return F.unhex(F.array_join(parts, ""))
 
 
@@ -64,7 +66,7 @@ def bytes_to_text(b) -> Column:
     return F.call_function("make_valid_utf8", col_(b).cast("string"))
 
 
-def text_deltas(df: DataFrame, vocab_map: Column, gen: str = "gen_id", step: str = "step",
+def text_deltas(df: DataFrame, vocab_hex: Column, gen: str = "gen_id", step: str = "step",
                 token: str = "token_id", eos_id: int = EOS_ID, max_new: int = 256) -> DataFrame:
     """Streamed text pieces of a generation: at each step the new suffix of the decoded
     prefix (Python-slice semantics, so a completed multi-byte character can replace an earlier
@@ -77,7 +79,7 @@ def text_deltas(df: DataFrame, vocab_map: Column, gen: str = "gen_id", step: str
     ranked = df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_new)
     eos_at = F.min(F.when(F.col(token) == eos_id, F.col("_n"))).over(Window.partitionBy(gen))
     live = ranked.withColumn("_eos", eos_at).filter(F.col("_eos").isNull() | (F.col("_n") < F.col("_eos")))
-    text = bytes_to_text(decode_bytes(F.collect_list(token).over(w), vocab_map))
+    text = bytes_to_text(decode_bytes(F.collect_list(token).over(w), vocab_hex))
     full = live.withColumn("full_text", text)
     prev = F.coalesce(F.lag("full_text").over(order), F.lit(""))
     return (full.withColumn("delta", F.substring(F.col("full_text"), F.length(prev) + 1, 1 << 30))
