@@ -124,23 +124,6 @@ def _select_batch(heads, model: BpeModel, by_bytes: dict, room: int, min_frequen
     return batch
 
 
-def apply_merges(symbols, batch) -> "F.Column":
-    """Apply a batch of merges to an ``array<int>`` in one left-to-right fold (JVM-side)."""
-    sym = col_(symbols)
-    table = F.create_map(*[x for (l, r, n, _) in batch for x in (F.lit((l << 32) | r), F.lit(n))])
-    lefts = F.array(*[F.lit(l) for l in sorted({b[0] for b in batch})])
-
-    def step(acc, x):
-        last = F.get(acc, F.size(acc) - 1)
-        key = F.shiftleft(last.cast("long"), 32) + x.cast("long")
-        hit = (F.size(acc) > 0) & F.map_contains_key(table, key)
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.try_element_at(table, key)))) \
-                .otherwise(F.concat(acc, F.array(x)))
-
-    folded = F.aggregate(sym, F.array().cast("array<int>"), step)
-    return F.when(F.arrays_overlap(sym, lefts), folded).otherwise(sym)
-
-
 def symbol_char(i: int) -> str:
     """One character per symbol id, order-preserving, skipping the surrogate block."""
     cp = i + 256
