@@ -350,7 +350,7 @@ def q_decode_roundtrip(spark, sf):
 # ==========================================================================================
 # E. language-model rows (byte-level tokenizer: no merges, so SQL can rebuild the ids)
 
-BYTE_MAX_LEN = 64
+BYTE_MAX_LEN = 512  # the reference's row length
 
 
 def _byte_rows_sql(max_len: int) -> str:
@@ -766,10 +766,11 @@ def q_cut_at_eos(spark, sf):
 
 @query("text_deltas")
 def q_text_deltas(spark, sf):
-    # generated tokens: each document's first 64 byte symbols, one per step (base vocabulary)
+    # generated tokens: each document's byte symbols, one per step, up to the generation cap of
+    # 256 new tokens (base vocabulary)
     model = C.BpeModel.base()
     docs = _t(spark, sf, "documents")
-    gen = D.encode(docs, model, ["doc_id"], max_len=64)
+    gen = D.encode(docs, model, ["doc_id"], max_len=256)
     steps = gen.select(F.col("doc_id").alias("gen_id"), F.posexplode("ids").alias("step", "token_id"))
     return I.text_deltas(steps, D.vocab_map(model))
 
