@@ -693,7 +693,29 @@ def q_early_stop(spark, sf):
     return e.select("user_id", "event_type", K.epoch_micros("stop_at").alias("stop_at_us"), "reason", "best")
 
 
-@query("early_stop_min_delta")
+_EARLY_STOP_DELTA_SQL = """
+WITH RECURSIVE e AS (
+  SELECT user_id, event_type, ts, value,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts) AS i FROM events),
+s(user_id, event_type, i, best, wait, stop_ts, done) AS (
+  SELECT DISTINCT user_id, event_type, CAST(0 AS BIGINT), CAST('Infinity' AS DOUBLE), 0,
+         CAST(NULL AS TIMESTAMP), false FROM e
+  UNION ALL
+  SELECT s.user_id, s.event_type, e.i,
+         CASE WHEN e.value + 1.0 < s.best THEN e.value ELSE s.best END,
+         CASE WHEN e.value + 1.0 < s.best THEN 0 ELSE s.wait + 1 END,
+         CASE WHEN NOT (e.value + 1.0 < s.best) AND s.wait + 1 >= 3 THEN e.ts END,
+         NOT (e.value + 1.0 < s.best) AND s.wait + 1 >= 3
+  FROM s JOIN e ON e.user_id = s.user_id AND e.event_type = s.event_type AND e.i = s.i + 1
+  WHERE NOT s.done)
+SELECT user_id, event_type, epoch_us(max(stop_ts)) AS stop_at_us,
+       CASE WHEN max(stop_ts) IS NOT NULL THEN 'patience' END AS reason,
+       CASE WHEN isinf(arg_max(best, i)) THEN NULL ELSE arg_max(best, i) END AS best
+FROM s GROUP BY user_id, event_type
+"""
+
+
+@query("early_stop_min_delta", _EARLY_STOP_DELTA_SQL)
 def q_early_stop_delta(spark, sf):
     e = H.early_stop_delta(_t(spark, sf, "events"), "value", "ts", ["user_id", "event_type"], patience=3,
                            min_delta=1.0, mode="min")
