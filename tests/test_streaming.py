@@ -51,3 +51,17 @@ def test_run_logs_stream_equal_batch(spark):
     got = {(r.run, r.tag): r.value for r in spark.sql(f"SELECT * FROM {name2}").collect()}
     want = {(r.run, r.tag): r.value for r in K.latest_metrics(scalars).collect()}
     assert got == want
+
+
+def test_jsonl_stream_to_rows(spark):
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    src = os.path.join(tempfile.mkdtemp(prefix="tessera-stream-", dir="/tmp"), "jsonl")
+    docs.repartition(4).write.json(src)
+    model = C.BpeModel.base()
+    stream = jobs.read_corpus_stream(spark, src, max_files_per_trigger=2)
+    name = "jsonl_" + uuid.uuid4().hex[:8]
+    q = jobs.start(jobs.pretrain_rows_stream(stream, model, 32), name)
+    q.awaitTermination(300)
+    got = {r.doc_id: list(r.input_ids) for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    want = {r.doc_id: list(r.input_ids) for r in X.pretrain_examples(docs, model, 32).collect()}
+    assert got == want
