@@ -19,7 +19,7 @@ from ..functions import arrays as A
 from ..functions.text import IGNORE_INDEX, PAD_ID, SPECIAL_TOKENS, col_
 from .bpe import BpeModel
 from .encode import encode, encode_exploded, encode_units_narrow, with_text_units
-from .turns import KNOWN_ROLES, normalize_role
+from .turns import KNOWN_ROLES, RAW_USER_ROLE, normalize_role
 
 IM_START, IM_END = SPECIAL_TOKENS[0], SPECIAL_TOKENS[1]
 
@@ -65,8 +65,9 @@ def with_turn_units(df: DataFrame, role: str, text: str, max_len: int, out: str
 
 def _encoded_turn_units(turns: DataFrame, model: BpeModel, max_len: int, key: str, order: str,
                         role: str, text: str, limit_turns: bool, strategy: str = "narrow") -> DataFrame:
-    t = (turns.select(key, order, normalize_role(role).alias("role"), col_(text).alias("text"))
-         .filter(F.col("role").isin(*KNOWN_ROLES)))
+    # filter on the raw role (only "human" is renamed), so the predicate reaches the parquet scan
+    t = (turns.filter(col_(role).isin(*KNOWN_ROLES, RAW_USER_ROLE))
+         .select(key, order, normalize_role(role).alias("role"), col_(text).alias("text")))
     if limit_turns:
         limit = max(max_len // 2, 1)
         t = (t.withColumn("_rk", F.row_number().over(Window.partitionBy(key).orderBy(order)))
