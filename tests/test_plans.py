@@ -40,3 +40,9 @@ def test_word_counts_aggregate_map_side_and_prune(spark):
 def test_no_cartesian_products(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_chat_role_filter_reaches_the_scan(spark):
+    plan = _plan(X.sft_examples(table(spark, SF_SMALL, "conversations"), C.BpeModel.base(), 512))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "PushedFilters: [In(role" in scan
