@@ -129,3 +129,16 @@ def test_metric_value_missing_raises(spark):
         assert "Metric value not found" in str(e)
     else:
         raise AssertionError("expected a failure")
+
+
+def test_best_checkpoints_all_ranks_equal_window(spark):
+    from pyspark.sql import Window
+    ev = table(spark, SF_SMALL, "events")
+    for mode in ("min", "max"):
+        got = {r.event_id: r.rank for r in H.best_checkpoints(ev, -1, "value", "ts", ["user_id", "event_type"], mode).collect()}
+        o = F.col("value").asc() if mode == "min" else F.col("value").desc()
+        want = {r.event_id: r.rk for r in ev.withColumn("rk", F.row_number().over(
+            Window.partitionBy("user_id", "event_type").orderBy(o, F.col("ts")))).collect()}
+        assert got == want
+        small = {r.event_id: r.rank for r in H.best_checkpoints(ev, 3, "value", "ts", ["user_id", "event_type"], mode).collect()}
+        assert small == {e: r for e, r in want.items() if r <= 3}
