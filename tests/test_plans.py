@@ -46,3 +46,18 @@ def test_chat_role_filter_reaches_the_scan(spark):
     plan = _plan(X.sft_examples(table(spark, SF_SMALL, "conversations"), C.BpeModel.base(), 512))
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "PushedFilters: [In(role" in scan
+
+
+def test_bounded_scan_and_lookup_push_down(spark):
+    from tessera.sources import io as S
+    docs = table(spark, SF_SMALL, "documents")
+    head = [l for l in _plan(S.head_lines(docs, 100, "doc_id")).splitlines() if "FileScan parquet" in l][0]
+    assert "PushedFilters: [IsNotNull(doc_id), LessThan(doc_id,100)]" in head
+    look = [l for l in _plan(S.rows_at(docs, [3, 5, 8], "doc_id")).splitlines() if "FileScan parquet" in l][0]
+    assert "In(doc_id, [3,5,8])" in look
+
+
+def test_tokenizer_training_reads_only_text_and_bounds_lines(spark):
+    docs = table(spark, SF_SMALL, "documents").filter("doc_id < 2000000")
+    scan = [l for l in _plan(C.word_counts(docs)).splitlines() if "FileScan parquet" in l][0]
+    assert "LessThan(doc_id,2000000)" in scan and "n_chars" not in scan
