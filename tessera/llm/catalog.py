@@ -2,19 +2,110 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from ..session import ensure_checkpoint_dir, table
-from . import minhash_dedup
+from . import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, quality, sharding, substring_dedup, token_files
+
+SHARDS = 16
+MIX_SEED, MIX_TEMPERATURE = 11, 0.7
+THRESHOLD = 0.3
+
+
+def op1_jump_shards(spark, sf_dir):
+    """All documents in 16 shards; with one more shard, rows move only into that one."""
+    rows = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op2_minhash_near_dedup(spark, sf_dir):
-    ensure_checkpoint_dir(spark)
     found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_best_fit_packing(spark, sf_dir):
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op4_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_substring_dedup(spark, sf_dir):
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), keep_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op6_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_edited(table(spark, sf_dir, "documents"))
+
+
+def op7_poisson_mix(spark, sf_dir):
+    """Sources mixed to shares in proportion to size ** 0.7, as large as the input on average."""
+    rows = mixing.mix(table(spark, sf_dir, "documents"), seed=MIX_SEED, temperature=MIX_TEMPERATURE)
+    return rows.select("doc_id", "source", F.md5("text").alias("text_md5"), F.col("_rate").alias("rate"),
+                       F.col("_copy").alias("copy"), F.col("_mix_key").alias("mix_key"))
+
+
+def op8_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), weights)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_line_dedup(spark, sf_dir):
+    """Every document with its aligned lines deleted; the text itself and how many lines went."""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op10_token_files(spark, sf_dir):
+    """Token files of all documents, read back."""
+    target = f"{ensure_checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), target)
+    return token_files.digests(spark, target)
+
+
+#: Copies, keys and rates follow from md5 and plain arithmetic, so DuckDB can repeat op7 row by row.
+OP7_SQL = f"""
+WITH RECURSIVE per AS (
+  SELECT source, sum(octet_length(encode(coalesce(text, ''))) + 1) AS size FROM documents GROUP BY source),
+rates AS (
+  SELECT source, round(pow(size::DOUBLE, {MIX_TEMPERATURE}) / (SELECT sum(pow(size::DOUBLE, {MIX_TEMPERATURE})) FROM per)
+                       * (SELECT sum(size) FROM per)::DOUBLE / size, 6) AS rate FROM per),
+terms AS (
+  SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM terms WHERE k + 1 <= ceil(rate + 12 * sqrt(rate) + 25)),
+drawn AS (
+  SELECT d.doc_id, d.source, md5(d.text) AS text_md5, r.rate,
+         ((('0x' || substr(md5('{MIX_SEED}|' || coalesce(d.doc_id::VARCHAR, '\\N') || '|1'), 1, 13))::BIGINT)::DOUBLE + 0.5) / {1 << 52} AS u
+  FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+counted AS (
+  SELECT any_value(d.doc_id) AS doc_id, any_value(d.source) AS source, any_value(d.text_md5) AS text_md5, any_value(d.rate) AS rate,
+         count(*) FILTER (t.c < d.u) AS n
+  FROM (SELECT *, row_number() OVER () AS rn FROM drawn) d JOIN terms t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.rn)
+SELECT doc_id, source, text_md5, rate, c.copy::INTEGER AS copy,
+       md5('place|{MIX_SEED}|' || coalesce(doc_id::VARCHAR, '\\N') || '|' || c.copy::VARCHAR) AS mix_key
+FROM counted, unnest(range(n)) AS c(copy)
+"""
+
+
 def queries():
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    def named(f):
+        def query(spark, sf_dir):
+            ensure_checkpoint_dir(spark)
+            return f(spark, sf_dir)
+        return query
+
+    return {name: named(f) for name, f in globals().items() if name[:2] == "op" and name[2].isdigit()}
 
 
 def oracle_sql():
-    return {}
+    return {"op7_poisson_mix": OP7_SQL}
