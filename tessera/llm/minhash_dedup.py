@@ -9,9 +9,9 @@ that meet have their collisions counted on the whole signatures; those with ``ma
 confirmed on the full shingle sets.
 
 Whole lists are never expanded into pairs. First each list is merged against one pivot (the set
-with most copies); afterwards only lists that still hold several components are compared, and
-there only sets outside the list's largest component against the members of other components, in blocks
-dealt over tasks. A pair inside one component needs no link, so the components lose none.
+with most copies). Afterwards the sets that met one pivot form a group, and only groups that still hold several components are
+compared: sets outside the largest component against the members of other components, in pieces dealt over tasks, which give
+back confirmed links only. A pair inside one component needs no link, so the components lose none.
 
 With 48 coordinates and 20 matches a pair at similarity 0.75 is missed with probability 2e-7.
 """
@@ -31,7 +31,12 @@ from .components import components
 
 COORDINATES = 48
 MATCHES = 20
-PIECE = 2048  # members of one list compared in one task at a time
+PIECE = 1 << 19  # shingles of one piece of a group; a task compares two pieces at a time
+
+
+def _known_id(name: str = "doc_id"):
+    """The id by which a set's text is fetched again; a null id stands for the smallest long."""
+    return F.coalesce(F.col(name), F.lit(-(1 << 63)).cast("long"))
 
 
 def _signatures(values: np.ndarray, off: np.ndarray, coordinates: int) -> np.ndarray:
@@ -130,7 +135,7 @@ def _collisions(pairs: DataFrame, nodes: DataFrame, coordinates: int, matches: i
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= 75 * union of the full shingle sets."""
-    one = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    one = docs.select(_known_id().alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     with_a = pairs.join(one.select(F.col("doc_id").alias("doc_a"), F.col("text_hash").alias("hash_a"), F.col("text").alias("text_a")),
                         ["doc_a", "hash_a"])
     both = with_a.join(one.select(F.col("doc_id").alias("doc_b"), F.col("text_hash").alias("hash_b"), F.col("text").alias("text_b")),
@@ -152,58 +157,74 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def _rest(prefixes: DataFrame, nodes: DataFrame, label: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """Candidate pairs between different components that still share a list.
+def _rest(groups: DataFrame, nodes: DataFrame, label: DataFrame, docs: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
+    """Confirmed links between different components that still share a pivot.
 
-    Of each such list, sets outside its largest component are compared with the members of other
-    components; members are dealt over pieces, so a list of any length spreads over tasks.
+    ``groups`` (p, node) holds the sets that meet a pivot in some list, itself included. Of a group, sets outside its largest
+    component ask the members of other components. Both are dealt into pieces of ``PIECE`` shingles, so a group
+    of any size spreads over tasks, which hold two pieces. Collisions are counted on the signatures, survivors confirmed on the full
+    sets, and one link for each asking set and component is given back.
     """
-    known = prefixes.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select("key", "node", "c")
-    per = known.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-    lists = per.groupBy("key").agg(F.count(F.lit(1)).alias("cs"), F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("top"))
-    lists = lists.where("cs > 1").select("key", F.col("top.c").alias("main"), F.expr(f"cast(ceil(m / {PIECE}) as int)").alias("pieces"))
-    open_ = known.join(lists, "key").join(nodes.select("node", "sig", "n"), "node")
-    members = open_.select("key", F.expr("cast(pmod(xxhash64(node), pieces) as int)").alias("piece"), F.lit(False).alias("asks"), "node", "c", "n", "sig")
-    asks = open_.where("c != main").select("key", F.explode(F.expr("sequence(0, pieces - 1)")).alias("piece"),
-                                           F.lit(True).alias("asks"), "node", "c", "n", "sig")
+    known = groups.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).join(nodes.select("node", "n"), "node")
+    per = known.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    open_ = per.groupBy("p").agg(F.count(F.lit(1)).alias("cs"), F.sum("n").alias("all"), F.max(F.struct("k", "c", "n")).alias("top")).where("cs > 1")
+    open_ = open_.select("p", F.col("top.c").alias("main"), F.expr(f"cast(ceil(all / {PIECE}) as int)").alias("mp"),
+                         F.expr(f"cast(greatest(1, ceil((all - top.n) / {PIECE})) as int)").alias("ap"))
+    text = docs.select(_known_id().alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = (known.drop("n").join(open_, "p").join(nodes.select("node", "n", "doc_id", "text_hash", "sig"), "node")
+            .join(text, ["doc_id", "text_hash"]))
+    own = lambda n: F.expr(f"cast(pmod(xxhash64(node), {n}) as int)")
+    to = ["p", "i", "j", "asks", "node", "c", "n", "sig", "text"]
+    members = rows.withColumns({"i": own("mp"), "j": F.explode(F.expr("sequence(0, ap - 1)")), "asks": F.lit(False)}).select(*to)
+    asks = rows.where("c != main").withColumns({"j": own("ap"), "i": F.explode(F.expr("sequence(0, mp - 1)")), "asks": F.lit(True)}).select(*to)
 
     def compare(batches):
-        """Rows arrive sorted by (key, piece): one list piece at a time is held."""
-        held, at = [], None
-
-        def pairs(rows: pa.Table):
-            sig = np.frombuffer(K.text_bytes_of(rows.column("sig").combine_chunks()), np.uint32).reshape(-1, coordinates)
-            node, c, n = (rows.column(x).to_numpy() for x in ("node", "c", "n"))
-            ask = rows.column("asks").to_numpy()
+        """Rows come sorted by (p, i, j): one pair of pieces is held at a time."""
+        def links(table: pa.Table):
+            table = table.combine_chunks()
+            column = lambda x: table.column(x).chunk(0)
+            sig = np.frombuffer(K.text_bytes_of(column("sig")), np.uint32).reshape(-1, coordinates)
+            node, c, n = (column(x).to_numpy() for x in ("node", "c", "n"))
+            ask = column("asks").to_numpy(zero_copy_only=False)
             who, others = np.flatnonzero(ask), np.flatnonzero(~ask)
-            found_a, found_b = [], []
+            values, off = None, None
+            found = []
             for i in who:
                 o = others[(c[others] != c[i]) & (100 * np.minimum(n[others], n[i]) >= 75 * np.maximum(n[others], n[i]))]
                 o = o[(sig[o] == sig[i]).sum(1) >= matches]
-                found_a.append(np.maximum(node[o], node[i]))
-                found_b.append(np.minimum(node[o], node[i]))
-            if found_a:
-                ab = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)]), axis=1)
-                if ab.shape[1]:
-                    yield pa.RecordBatch.from_arrays([pa.array(ab[0]), pa.array(ab[1])], names=["a", "b"])
+                if not len(o):
+                    continue
+                if values is None:
+                    values, off = K.shingles(*K.text_bytes(column("text")), words)
+                size = off[o + 1] - off[o]
+                at = np.repeat(off[o] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                mine = values[off[i]:off[i + 1]]
+                place = np.minimum(np.searchsorted(mine, values[at]), len(mine) - 1)
+                inter = np.bincount(np.repeat(np.arange(len(o)), size), mine[place] == values[at], len(o)).astype(np.int64)
+                o = o[100 * inter >= 75 * (size + len(mine) - inter)]
+                o = o[np.unique(c[o], return_index=True)[1]]
+                found += [(int(node[i]), int(x)) for x in node[o]]
+            if found:
+                a, b = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
+        held, at = [], None
         for batch in batches:
-            key = batch.column("key").to_numpy()
-            piece = batch.column("piece").to_numpy()
-            change = np.flatnonzero((key[1:] != key[:-1]) | (piece[1:] != piece[:-1])) + 1
-            cuts = [0, *change.tolist(), len(key)]
-            for i, j in zip(cuts, cuts[1:]):
-                now = (int(key[i]), int(piece[i]))
+            keys = [batch.column(x).to_numpy() for x in ("p", "i", "j")]
+            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            cuts = [0, *change.tolist(), batch.num_rows]
+            for x, y in zip(cuts, cuts[1:]):
+                now = tuple(int(k[x]) for k in keys) if y > x else at
                 if held and now != at:
-                    yield from pairs(pa.Table.from_batches(held))
+                    yield from links(pa.Table.from_batches(held))
                     held = []
-                held.append(batch.slice(i, j - i))
+                held.append(batch.slice(x, y - x))
                 at = now
         if held:
-            yield from pairs(pa.Table.from_batches(held))
+            yield from links(pa.Table.from_batches(held))
 
-    rows = members.unionByName(asks).repartition("key", "piece").sortWithinPartitions("key", "piece")
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    dealt = members.unionByName(asks).repartition("p", "i", "j").sortWithinPartitions("p", "i", "j")
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -223,24 +244,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = cut(shingle_sets(src, words=words, coordinates=coordinates))
     nodes = cut(sets.where("n_shingles > 0").groupBy("k1", "k2")
                 .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"),
-                     F.min_by(F.struct("doc_id", "text_hash", "sig"), F.struct("doc_id", "text_hash")).alias("r"))
+                     F.min_by(F.struct(_known_id().alias("doc_id"), "text_hash", "sig"), F.struct(_known_id(), "text_hash")).alias("r"))
                 .select("k1", "k2", "first_id", "copies", "n", "r.doc_id", "r.text_hash", "r.sig")
                 .withColumn("node", F.monotonically_increasing_id()))
     prefixes = cut(_prefixes(nodes, coordinates, matches))
     # first merge: every list against its pivot, the set with most copies
     ranked = prefixes.join(nodes.select("node", "copies"), "node")
     pivots = ranked.groupBy("key").agg(F.max(F.struct("copies", "node")).getField("node").alias("p"))
-    stars = (prefixes.join(pivots, "key").where("p != node")
-             .select(F.greatest("p", "node").alias("a"), F.least("p", "node").alias("b")).distinct())
+    groups = cut(prefixes.join(pivots, "key").select("p", "node").distinct())
+    stars = groups.where("p != node").select(F.greatest("p", "node").alias("a"), F.least("p", "node").alias("b")).distinct()
     links = cut(_confirmed(_collisions(stars, nodes, coordinates, matches), src, words))
     label = components(links)
-    # then whatever different components still share
-    rest = cut(_collisions(_rest(prefixes, nodes, label, coordinates, matches).join(links, ["a", "b"], "left_anti"),
-                           nodes, coordinates, matches))
-    if not is_empty(rest):
-        more = cut(_confirmed(rest, src, words))
-        if not is_empty(more):
-            label = components(links.unionByName(more))
+    # then whatever different components still meet
+    more = cut(_rest(groups, nodes, label, src, words, coordinates, matches))
+    if not is_empty(more):
+        label = components(links.unionByName(more))
     named = nodes.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
     lowest = named.groupBy("c").agg(F.min("first_id").alias("lowest"))
     by_set = named.join(lowest, "c").select("k1", "k2", "lowest")
