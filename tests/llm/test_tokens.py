@@ -1,6 +1,7 @@
 import sys
 import zlib
 from collections import Counter
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -17,11 +18,16 @@ pytest.importorskip("public_tokenizers")
 from tessera.llm import kernels, packing, token_files, tokens  # noqa: E402
 
 
-def plain(text):
+@lru_cache
+def tokenizer():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.default_path())
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def plain(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 ODD = ["a  b", " a", "a \n b", "a\n\nb", "\nA", " \nA", "é b", "é  b", "x  y", "x  y", "　 y", "y 　", "é ", "a\tb c", "don't we'll", "a\x1c b", "\x85 a",
