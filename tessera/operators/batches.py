@@ -12,6 +12,13 @@ from .ordering import dense_index, hash_key
 SPLIT_SEED = 42  # fixed value: the reference seeds its split with 42 whatever the run seed is
 
 
+def _unique(ranked: DataFrame, id_col: str) -> DataFrame:
+    """The ranked ids, or an error when an id is repeated (a position would not belong to one row)."""
+    if ranked.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").take(1):
+        raise ValueError(f"'{id_col}' must be unique")
+    return ranked
+
+
 def exact_split(df: DataFrame, id_col: str, rate: float = 0.05, seed: int = SPLIT_SEED,
                 partitions: int | None = None) -> DataFrame:
     """G1: ``val`` holds exactly ``int(n * rate)`` rows, chosen by a seeded hash order.
@@ -24,7 +31,7 @@ def exact_split(df: DataFrame, id_col: str, rate: float = 0.05, seed: int = SPLI
     val_len = int(n * rate)
     if val_len <= 0:
         return df.withColumn("split", F.lit("train"))
-    thr = ranked.filter(F.col("_pos") == val_len - 1).select("_k", id_col).first()
+    thr = _unique(ranked, id_col).filter(F.col("_pos") == val_len - 1).select("_k", id_col).first()
     in_val = (key < F.lit(thr[0])) | ((key == F.lit(thr[0])) & (F.col(id_col) <= F.lit(thr[1])))
     return df.withColumn("split", F.when(in_val, "val").otherwise("train"))
 
@@ -42,7 +49,7 @@ def epoch_order(df: DataFrame, id_col: str, epoch: int, seed: int = SPLIT_SEED,
     unique id (no hot keys), so wide training rows are shuffled once and never written twice."""
     key = hash_key(seed, F.lit(epoch), id_col) if shuffle else F.col(id_col)
     ranked, _ = dense_index(df.select(F.col(id_col), key.alias("_k")), ["_k", id_col], out, partitions)
-    return df.join(ranked.select(id_col, out), id_col)
+    return df.join(_unique(ranked, id_col).select(id_col, out), id_col)
 
 
 def assign_batches(df: DataFrame, size: int, pos: str = "pos", out: str = "batch_id") -> DataFrame:

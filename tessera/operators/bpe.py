@@ -20,11 +20,11 @@ checkpoint directory every few rounds to cut lineage.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import (BASE_VOCAB_SIZE, ID_TO_BYTE, SPECIAL_TOKENS, byte_symbols, col_,
                               nfkc, pretokens)
@@ -213,8 +213,10 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, heads:
 
 def train_tokenizer(docs: DataFrame, vocab_size: int = 32000, min_frequency: int = 2,
                     text_col: str = "text", order_col: str | None = "doc_id",
-                    max_lines: int | None = 2_000_000, **kw) -> BpeModel:
-    """End-to-end tokenizer training: bounded scan (A3), word counts (C4), merges."""
+                    max_lines: int | None = None, **kw) -> BpeModel:
+    """End-to-end tokenizer training over the whole corpus: word counts (C4), merges.
+
+    ``max_lines`` bounds the scan to the first lines (A3); ``order_col`` must then hold dense line numbers."""
     if max_lines is not None and order_col is not None:
         docs = docs.filter(F.col(order_col) < max_lines)
     return train_bpe(word_types(word_counts(docs, text_col)), vocab_size, min_frequency, **kw)
@@ -224,27 +226,37 @@ def train_tokenizer(docs: DataFrame, vocab_size: int = 32000, min_frequency: int
 # Applying a learned merge table to words (used by encode, D2): small per-word helper.
 
 def bpe_word(symbols: list[int], ranks: dict) -> list[int]:
-    """Apply merges lowest rank first; each merge replaces its occurrences left to right."""
-    while len(symbols) > 1:
-        best = None
-        for i in range(len(symbols) - 1):
-            hit = ranks.get((symbols[i], symbols[i + 1]))
-            if hit is not None and (best is None or hit[0] < best[0]):
-                best = hit
-                pair = (symbols[i], symbols[i + 1])
-        if best is None:
-            break
-        out, i, n = [], 0, len(symbols)
-        while i < n:
-            if i + 1 < n and symbols[i] == pair[0] and symbols[i + 1] == pair[1]:
-                out.append(best[1])
-                i += 2
-            else:
-                out.append(symbols[i])
-                i += 1
-        symbols = out
-    return symbols
-
-
-WORD_IDS_SCHEMA = T.StructType([T.StructField("word", T.StringType()),
-                                T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    """Apply merges lowest rank first; each merge replaces its occurrences left to right.
+
+    A heap of (rank, place) over a linked list of symbols: every merge touches its two neighbours only, so long
+    unbroken words take time in proportion to their length (times its logarithm)."""
+    n = len(symbols)
+    if n < 2:
+        return symbols
+    sym = list(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = []
+    for i in range(n - 1):
+        hit = ranks.get((sym[i], sym[i + 1]))
+        if hit is not None:
+            heap.append((hit[0], i, sym[i], sym[i + 1], hit[1]))
+    heapq.heapify(heap)
+    while heap:
+        _, i, left, right, new = heapq.heappop(heap)
+        j = after[i] if sym[i] == left else n
+        if j >= n or sym[j] != right:
+            continue  # one of the two has changed since
+        sym[i], sym[j] = new, None
+        k = after[j]
+        after[i] = k
+        if k < n:
+            before[k] = i
+            hit = ranks.get((new, sym[k]))
+            if hit is not None:
+                heapq.heappush(heap, (hit[0], i, new, sym[k], hit[1]))
+        p = before[i]
+        if p >= 0:
+            hit = ranks.get((sym[p], new))
+            if hit is not None:
+                heapq.heappush(heap, (hit[0], p, sym[p], new, hit[1]))
+    return [x for x in sym if x is not None]

@@ -40,10 +40,13 @@ def logsumexp(logits) -> Column:
 
 
 def nll(logits, label, ignore: int = IGNORE_INDEX) -> Column:
-    """H2: per-row cross-entropy ``logsumexp(x) - x[label]``; null for ignored rows."""
+    """H2: per-row cross-entropy ``logsumexp(x) - x[label]``; null for ignored rows. A label
+    that is no class fails the job."""
     x = _as_double(logits)
     lab = col_(label)
-    return F.when(lab != ignore, logsumexp(logits) - F.get(x, lab))
+    outside = F.raise_error(F.concat(F.lit("label out of range: "), lab.cast("string"))).cast("double")
+    picked = F.when((lab >= 0) & (lab < F.size(x)), F.get(x, lab)).otherwise(outside)
+    return F.when(lab != ignore, logsumexp(logits) - picked)
 
 
 def masked_accuracy(df: DataFrame, logits: str = "logits", label: str = "label",
@@ -87,13 +90,12 @@ def running_best(df: DataFrame, value: str, order: str, by: list[str], mode: str
 
 
 def merge_metrics(train: DataFrame, test: DataFrame, name: str = "name", value: str = "value") -> DataFrame:
-    """H7: union of two metric tables; on equal names the second (test) wins."""
+    """H7: union of two metric tables; on equal names the second (test) wins, also with a
+    null value."""
     t = train.select(F.col(name).alias("_n"), F.col(value).alias("_a"))
-    s = test.select(F.col(name).alias("_n"), F.col(value).alias("_b"))
+    s = test.select(F.col(name).alias("_n"), F.col(value).alias("_b"), F.lit(True).alias("_has"))
     return (t.join(s, "_n", "full")
-            .select(F.col("_n").alias(name),
-                    F.when(F.col("_b").isNotNull() | F.col("_a").isNull(), F.col("_b"))
-                    .otherwise(F.col("_a")).alias(value)))
+            .select(F.col("_n").alias(name), F.when(F.col("_has"), F.col("_b")).otherwise(F.col("_a")).alias(value)))
 
 
 def metric_value(df: DataFrame, metric: str, name: str = "name", value: str = "value") -> DataFrame:
@@ -115,24 +117,25 @@ GROUP_LIMIT_MAX = 1000  # Spark applies row_number() <= k map-side up to this k
 
 def best_checkpoints(df: DataFrame, k: int, metric: str, order: str, by: list[str],
                      mode: str = "min", out: str = "rank") -> DataFrame:
-    """H9: the best ``k`` checks per run (``k=-1`` keeps all, ``k=0`` none); NaN ranks last and
-    on equal values the earlier check wins.
+    """H9: the best ``k`` checks per run (``k=-1`` keeps all, ``k=0`` none); NaN ranks last but for
+    nulls, and on equal values the earlier check wins. The order is the same for every ``k``.
 
     Small ``k``: ``row_number() <= k``, limited map-side. ``k=-1`` or a large ``k``: ranks are
     global dense positions in ``(run, value, check)`` order minus each run's first position
     (range partitioning splits a hot run; the per-run start is a partial aggregate)."""
     v = F.col(metric).cast("double")
     worst = float("inf") if mode == "min" else float("-inf")
-    key = F.when(F.isnan(v), F.lit(worst)).otherwise(v)
+    key = F.when(v.isNull() | F.isnan(v), F.lit(worst)).otherwise(v)
+    missing = v.isNull()
     if 0 <= k <= GROUP_LIMIT_MAX:
         ordered = key.asc() if mode == "min" else key.desc()
-        ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(ordered, F.col(order).asc())))
+        ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(missing, ordered, F.col(order).asc())))
         return ranked.filter(F.col(out) <= k)
     asc_key = key if mode == "min" else -key
-    ranked, _ = dense_index(df.withColumn("_key", asc_key), [*by, "_key", order], "_p")
+    ranked, _ = dense_index(df.withColumn("_key", asc_key).withColumn("_null", missing), [*by, "_null", "_key", order], "_p")
     starts = ranked.groupBy(*by).agg(F.min("_p").alias("_p0"))
     res = ranked.join(starts, by).withColumn(out, (F.col("_p") - F.col("_p0") + 1).cast("int")) \
-                .drop("_key", "_p", "_p0")
+                .drop("_key", "_null", "_p", "_p0")
     return res if k < 0 else res.filter(F.col(out) <= k)
 
 
@@ -146,23 +149,27 @@ def early_stop_points(df: DataFrame, value: str, order: str, by: list[str], pati
     aggregate: best before each check (exclusive running min/max of finite values) and the last
     improving position (running max). Both are block-decomposed, so a hot run is split across
     tasks; positions are dense within a run, so checks since the last improvement are a
-    difference of positions."""
+    difference of positions. A null value counts as NaN: it stops the run with ``check_finite`` and never improves
+    without; infinities stop with ``check_finite`` and are values like others without. Both forms agree on this."""
     how = "min" if mode == "min" else "max"
     v = F.col(value).cast("double")
-    finite = ~(F.isnan(F.col("_val")) | (F.abs(F.col("_val")) == float("inf")))
+    number = F.col("_val").isNotNull() & ~F.isnan(F.col("_val"))
+    finite = number & (F.abs(F.col("_val")) != float("inf")) if check_finite else number
     better = (lambda a, b: a < b) if mode == "min" else (lambda a, b: a > b)
     base = df.select(*by, order, v.alias("_val")).withColumn("_ok", finite)
     steps = running_agg(base, F.when(F.col("_ok"), F.col("_val")), [order], by, how, "_prev", inclusive=False)
     steps = steps.withColumn("_improved", F.col("_ok") & (F.col("_prev").isNull() | better(F.col("_val"), F.col("_prev"))))
     last_imp = running_agg(steps.withColumnRenamed("_pos", "_p0"),
                            F.when(F.col("_improved"), F.col("_p0")), [order], by, "max", "_last")
-    steps = last_imp.withColumn("_wait", F.col("_pos") - F.col("_last")).drop("_p0")
+    first = last_imp.groupBy(*by).agg(F.min("_pos").alias("_first"))
+    steps = last_imp.join(first, by).withColumn("_wait", F.col("_pos") - F.col("_last")).drop("_p0")
+    steps = steps.withColumn("_since", F.col("_pos") - F.col("_first") + 1)  # checks of a run that never improved
     reason = F.when(F.lit(check_finite) & ~F.col("_ok"), F.lit("non_finite"))
     if stopping_threshold is not None:
-        reason = reason.when(better(F.col("_val"), F.lit(float(stopping_threshold))), F.lit("threshold"))
+        reason = reason.when(F.col("_ok") & better(F.col("_val"), F.lit(float(stopping_threshold))), F.lit("threshold"))
     if divergence_threshold is not None:
-        reason = reason.when(better(-F.col("_val"), F.lit(-float(divergence_threshold))), F.lit("divergence"))
-    reason = reason.when(F.col("_wait") >= patience, F.lit("patience"))
+        reason = reason.when(F.col("_ok") & better(-F.col("_val"), F.lit(-float(divergence_threshold))), F.lit("divergence"))
+    reason = reason.when(F.coalesce(F.col("_wait"), F.col("_since")) >= patience, F.lit("patience"))
     steps = steps.withColumn("_reason", reason)
     stop = F.min_by(F.struct(F.col(order).alias("at"), F.col("_reason").alias("why"), F.col("_prev").alias("best")),
                     F.when(F.col("_reason").isNotNull(), F.col("_pos")))
@@ -190,7 +197,7 @@ def early_stop_delta(df: DataFrame, value: str, order: str, by: list[str], patie
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         best = math.inf if mode == "min" else -math.inf
-        wait, stop_at, why = 0, None, None
+        wait, stop_at, why, improved = 0, None, None, False
         for at, cur in zip(pdf[order], pdf[value].astype(float)):
             if check_finite and not math.isfinite(cur):
                 stop_at, why = at, "non_finite"
@@ -202,14 +209,14 @@ def early_stop_delta(df: DataFrame, value: str, order: str, by: list[str], patie
                 stop_at, why = at, "divergence"
                 break
             if better(cur - delta, best):
-                best, wait = cur, 0
+                best, wait, improved = cur, 0, True
             else:
                 wait += 1
                 if wait >= patience:
                     stop_at, why = at, "patience"
                     break
         row = {b: [pdf[b].iloc[0]] for b in by}
-        row.update({"stop_at": [stop_at], "reason": [why], "best": [best if math.isfinite(best) else None]})
+        row.update({"stop_at": [stop_at], "reason": [why], "best": [best if improved else None]})
         return pd.DataFrame(row)
 
     return df.groupBy(*by).applyInPandas(scan, out_schema)

@@ -41,7 +41,8 @@ def shifted_rows(ids, keep, max_len: int, pad_id: int = PAD_ID, ignore: int = IG
 def pretrain_examples(docs: DataFrame, model: BpeModel, max_len: int = 512, key: str = "doc_id",
                       text: str = "text", keep: list[str] = (), strategy: str = "narrow") -> DataFrame:
     """``bos + text`` -> ids truncated and padded to ``max_len`` -> shifted, padding masked."""
-    enc = encode(docs, model, [key], text, max_len=max_len, bos=True, keep=list(keep), strategy=strategy)
+    whole = F.coalesce(F.col(text), F.raise_error(F.lit("document without text")).cast("string"))
+    enc = encode(docs.withColumn(text, whole), model, [key], text, max_len=max_len, bos=True, keep=list(keep), strategy=strategy)
     ones = F.transform("ids", lambda x: F.lit(1))
     inputs, labels = shifted_rows(F.col("ids"), ones, max_len)
     return enc.select(key, *keep, F.size("ids").alias("n_tokens"), inputs, labels)
@@ -66,8 +67,11 @@ def with_turn_units(df: DataFrame, role: str, text: str, max_len: int, out: str
 def _encoded_turn_units(turns: DataFrame, model: BpeModel, max_len: int, key: str, order: str,
                         role: str, text: str, limit_turns: bool, strategy: str = "narrow") -> DataFrame:
     # filter on the raw role (only "human" is renamed), so the predicate reaches the parquet scan
+    body = F.coalesce(col_(text), F.raise_error(F.lit("turn without text")).cast("string"))
     t = (turns.filter(col_(role).isin(*KNOWN_ROLES, RAW_USER_ROLE))
-         .select(key, order, normalize_role(role).alias("role"), col_(text).alias("text")))
+         .select(key, order, normalize_role(role).alias("role"), body.alias("text")))
+    # turns of unknown roles render nothing, but their conversation keeps its row
+    keys = turns.select(key).distinct()
     if limit_turns:
         limit = max(max_len // 2, 1)
         t = (t.withColumn("_rk", F.row_number().over(Window.partitionBy(key).orderBy(order)))
@@ -77,7 +81,9 @@ def _encoded_turn_units(turns: DataFrame, model: BpeModel, max_len: int, key: st
         per_turn = encode_units_narrow(
             units.select(key, order, F.transform("_units", lambda u: u["u"]).alias("_u"),
                          F.transform("_units", lambda u: u["cls"]).alias("_c")), model, "_u", "_c")
-        seqs = per_turn.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "ids", "mask"))).alias("_u"))
+        every = per_turn.select(key, F.struct(order, "ids", "mask").alias("_t"))
+        every = every.unionByName(keys.select(key, F.lit(None).cast(every.schema["_t"].dataType).alias("_t")))
+        seqs = every.groupBy(key).agg(F.array_sort(F.collect_list("_t")).alias("_u"))  # nulls are left out
     else:
         exploded = (units.select(key, order, F.posexplode("_units").alias("upos", "_u"))
                     .select(key, order, "upos", F.col("_u.u").alias("unit"), F.col("_u.cls").alias("cls")))
@@ -86,6 +92,8 @@ def _encoded_turn_units(turns: DataFrame, model: BpeModel, max_len: int, key: st
                                .when((F.col("cls") == 2) & (e > 1), 1).otherwise(0))
         seqs = (enc.withColumn("mask", tok_mask).groupBy(key)
                 .agg(F.array_sort(F.collect_list(F.struct(order, "upos", "ids", "mask"))).alias("_u")))
+        seqs = keys.join(seqs, key, "left")
+        seqs = seqs.withColumn("_u", F.coalesce("_u", F.array().cast(seqs.schema["_u"].dataType)))
     return seqs.select(key, F.slice(F.flatten(F.transform("_u", lambda u: u["ids"])), 1, max_len).alias("ids"),
                        F.slice(F.flatten(F.transform("_u", lambda u: u["mask"])), 1, max_len).alias("mask"))
 
@@ -104,6 +112,15 @@ def sft_examples(turns: DataFrame, model: BpeModel, max_len: int = 512, key: str
     return out.withColumn("n_supervised", A.supervised_count("labels"))
 
 
+def flat_turns(conversations: DataFrame, id_col: str = "row_id", col: str = "conversations") -> DataFrame:
+    """Nested ``[{from, value}]`` rows (A2) as flat turns ``(conv_id, turn, role, text)`` for the chat rows.
+
+    A conversation without turns keeps one turn of no known role, so it keeps its row."""
+    turns = conversations.select(F.col(id_col).alias("conv_id"), F.posexplode_outer(col).alias("turn", "_t"))
+    return turns.select("conv_id", F.coalesce("turn", F.lit(0)).cast("long").alias("turn"),
+                        F.coalesce(F.col("_t.from"), F.lit("")).alias("role"), F.col("_t.value").alias("text"))
+
+
 def assistant_mask(turns: DataFrame, model: BpeModel, max_len: int = 512, key: str = "conv_id",
                    order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """F4 on its own: ``(key, ids, mask)`` before shifting (mask 1 = assistant token)."""

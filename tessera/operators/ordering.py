@@ -16,22 +16,29 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+RANGE_BYTES = 128 << 20  # planned size of one range
+
+
 def dense_index(df: DataFrame, order_cols: list, out: str = "pos", partitions: int | None = None):
-    """Return ``(df + out long, total_rows)``; ``order_cols`` must form a unique key."""
+    """Return ``(df + out long, total_rows)``; ``order_cols`` must form a unique key.
+
+    The number of ranges follows from the planner's size estimate of the input (at least the
+    session's shuffle partitions); the offsets are a small joined table, one row per range."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // RANGE_BYTES, 1 << 17))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
-    counts = dict(ranged.groupBy(F.spark_partition_id().alias("pid")).count().collect())
-    n_parts = ranged.rdd.getNumPartitions()
-    offsets, acc = [], 0
-    for pid in range(n_parts):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    pid = F.spark_partition_id()
-    base = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    return ranged.withColumn(out, base + local), acc
+    counts = ranged.groupBy(F.spark_partition_id().alias("_di_pid")).count().collect()  # one row per range
+    rows, acc = [], 0
+    for pid, number in sorted(map(tuple, counts)):
+        rows.append((pid, acc))
+        acc += number
+    offsets = spark.createDataFrame(rows, "_di_pid int, _di_base long")
+    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    placed = ranged.withColumn("_di_pid", F.spark_partition_id()).withColumn("_di_local", local)
+    joined = placed.join(F.broadcast(offsets), "_di_pid")
+    return joined.withColumn(out, F.col("_di_base") + F.col("_di_local")).drop("_di_pid", "_di_base", "_di_local"), acc
 
 
 def hash_key(seed, *parts) -> "F.Column":

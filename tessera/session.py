@@ -15,17 +15,21 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def get_session(master: str | None = None, app: str = "tessera",
-                shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with AQE on and the UI off."""
+                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """Create (or reuse) a session with AQE on and the UI off.
+
+    ``spark.sql.shuffle.partitions`` is left as the cluster set it unless a number is given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
@@ -61,11 +65,28 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+NARROW = {"Project", "Filter", "Generate", "LogicalRelation", "Relation", "LogicalRDD", "LocalRelation", "Range"}
+
+
+def _narrow(df) -> bool:
+    """True if the plan is a scan with projections and filters only, so that counting its
+    partitions runs no upstream stage."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while True:
+        if plan.nodeName() not in NARROW:
+            return False
+        children = plan.children()
+        if children.size() != 1:
+            return children.size() == 0
+        plan = children.apply(0)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin the rows over at least ``min_partitions`` (default: the cluster's cores) when
-    the source yields fewer partitions, so CPU-heavy row work is not stuck in a few scan tasks.
-    Large inputs already scan in many splits and pass through unchanged (no extra shuffle)."""
-    if df.isStreaming:  # a micro-batch's partitioning is decided by the source
+    a plain scan yields fewer partitions, so CPU-heavy row work is not stuck in a few scan tasks.
+    Large inputs already scan in many splits and pass through unchanged (no extra shuffle); so does
+    anything behind a shuffle, whose partitions are not counted, since that would run it."""
+    if df.isStreaming or not _narrow(df):  # a micro-batch's partitioning is decided by the source
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

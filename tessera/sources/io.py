@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BOS_ID, EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID
@@ -16,32 +16,23 @@ SCALARS_SCHEMA = "run string, tag string, step long, wall_time double, value dou
 MAX_VOCAB_ROWS = 10_000_000  # a tokenizer larger than this is not loaded onto the driver
 
 
-MAX_SPLITS_TO_BROADCAST = 2_000_000  # one row per file split; above this the offsets are joined
-
-
 def _line_ids(df: DataFrame, out: str) -> DataFrame:
     """Dense line numbers in file order without moving the text.
 
     Each file split is read in order by one task, so a line's number is the number of lines in
-    earlier splits (ordered by file and split start) plus its row index inside its split. One
-    aggregate counts rows per split (one row per split, metadata-sized), the driver turns the
-    counts into offsets, and the offsets join back on (file, split start) -- broadcast, after a
-    size check on the number of splits."""
-    spark = df.sparkSession
+    earlier splits (ordered by file and split start) plus its row index inside its split. Counts and
+    rows belong to one lazy plan, so both scans are split alike whenever it runs, whatever the
+    split size or the number of cores is then; a row whose split has no count fails the job instead of
+    vanishing. The running sum is over one row per split (metadata-sized)."""
     keyed = (df.withColumn("_f", F.col("_metadata.file_path"))
              .withColumn("_b", F.col("_metadata.file_block_start"))
              .withColumn("_r", F.monotonically_increasing_id()))
     splits = keyed.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_r0"))
-    n_splits = splits.count()
-    rows, acc = [], 0
-    for s in splits.orderBy("_f", "_b").toLocalIterator():
-        rows.append((s["_f"], s["_b"], acc, s["_r0"]))
-        acc += s["_n"]
-    offsets = spark.createDataFrame(rows, "_f string, _b long, _off long, _r0 long")
-    if n_splits <= MAX_SPLITS_TO_BROADCAST:
-        offsets = F.broadcast(offsets)
-    joined = keyed.join(offsets, ["_f", "_b"])
-    return joined.withColumn(out, F.col("_off") + F.col("_r") - F.col("_r0")).drop("_f", "_b", "_r", "_off", "_r0")
+    before = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    joined = keyed.join(offsets, ["_f", "_b"], "left")
+    number = F.coalesce(F.col("_off") + F.col("_r") - F.col("_r0"), F.raise_error(F.lit("a file split changed while it was read")).cast("long"))
+    return joined.withColumn(out, number).drop("_f", "_b", "_r", "_off", "_r0")
 
 
 def read_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", field: str = "text",
