@@ -19,15 +19,21 @@ from ..session import ensure_checkpoint_dir
 RANGE_BYTES = 128 << 20  # planned size of one range
 
 
+def _input_bytes(df: DataFrame) -> int:
+    """Planned bytes of the tables a plan reads (of those whose size is known)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 56)  # unknown sizes are given as the largest long
+
+
 def dense_index(df: DataFrame, order_cols: list, out: str = "pos", partitions: int | None = None):
     """Return ``(df + out long, total_rows)``; ``order_cols`` must form a unique key.
 
-    The number of ranges follows from the planner's size estimate of the input (at least the
-    session's shuffle partitions); the offsets are a small joined table, one row per range."""
+    The number of ranges follows from the size of the tables read (at least the session's
+    shuffle partitions); the offsets are a small joined table, one row per range."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // RANGE_BYTES, 1 << 17))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _input_bytes(df) // RANGE_BYTES)
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
     counts = ranged.groupBy(F.spark_partition_id().alias("_di_pid")).count().collect()  # one row per range
     rows, acc = [], 0

@@ -3,8 +3,9 @@
 Every entry is ``name -> (spark_fn(spark, sf_dir) -> DataFrame, oracle_sql or None)``. Oracle SQL
 is DuckDB SQL over the same parquet tables; columns carry the same names, integer columns are
 BIGINT on both sides and doubles are rounded to 6 places. Arrays are compared as strings.
-Queries whose work cannot be written in SQL (BPE merges, NFKC-aware encode, sequential
-early stopping with a delta, text deltas) have no oracle and are golden-tested in ``tests/``.
+Merge training is repeated in SQL step by step (one character per symbol, as many steps as the
+registered vocabulary has merges); ids, rows and masks follow from its final strings. Text deltas have no oracle and are
+tested against brute force in ``tests/``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
-from ..functions.text import BYTE_TO_ID, nfkc, pretokens, split_specials
+from ..functions.text import BYTE_TO_ID, SPECIAL_TOKENS, nfkc, pretokens, split_specials
 from ..operators import batches as G
 from ..operators import bpe as C
 from ..operators import encode as D
@@ -54,7 +55,7 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return os.path.join(base, "tessera-io", f"{what}-{uuid.uuid4().hex}")
 
 
-TOKENIZER_VOCAB = 300  # small vocabulary for the registered end-to-end queries
+TOKENIZER_VOCAB = 400  # vocabulary of the registered end-to-end queries
 
 
 @functools.lru_cache(maxsize=8)
@@ -95,6 +96,34 @@ def _duck_words(col: str) -> str:
     return _DUCK_WORDS.format(col=col)
 
 
+def _bpe_cte(vocab: int = TOKENIZER_VOCAB) -> str:
+    """CTEs that train merges greedily: ``enc`` (word, sym: one character, id + 256, per symbol),
+    ``merges`` (rank, left, right, new) and ``voc`` (id, token_hex) with specials, bytes and merges."""
+    first = len(BYTE_TO_ID) + 3
+    steps = vocab - first
+    parts = [f"w0 AS MATERIALIZED (SELECT word, count(*) AS cnt, array_to_string(list_transform({_duck_byte_ids('word')}, lambda b: chr(b + 256)), '') AS sym "
+             f"FROM (SELECT unnest({_duck_words('text')}) AS word FROM documents) GROUP BY word)"]
+    for k in range(steps):
+        parts.append(f"p{k} AS MATERIALIZED (SELECT pair, sum(cnt) AS n FROM (SELECT unnest(list_transform(range(1, length(sym)), "
+                     f"lambda i: substr(sym, i, 2))) AS pair, cnt FROM w{k}) GROUP BY pair HAVING sum(cnt) >= 2 ORDER BY n DESC, pair LIMIT 1)")
+        parts.append(f"w{k + 1} AS MATERIALIZED (SELECT word, cnt, replace(sym, (SELECT pair FROM p{k}), chr({first + 256 + k})) AS sym FROM w{k})")
+    parts.append(f"enc AS MATERIALIZED (SELECT word, sym FROM w{steps})")
+    parts.append("merges AS MATERIALIZED (" + " UNION ALL ".join(
+        f"SELECT {k} AS rank, unicode(substr(pair, 1, 1)) - 256 AS l, unicode(substr(pair, 2, 1)) - 256 AS r, {first + k} AS new FROM p{k}" for k in range(steps)) + ")")
+    specials = ", ".join(f"'{t.encode().hex().upper()}'" for t in SPECIAL_TOKENS)
+    base = ", ".join(f"'{b:02X}'" for b, _ in sorted(enumerate(BYTE_TO_ID), key=lambda x: x[1]))
+    parts.append(f"grown AS (SELECT -1 AS k, [{specials}, {base}] AS hexes UNION ALL SELECT rank, list_append(hexes, hexes[l + 1] || hexes[r + 1]) "
+                 "FROM grown JOIN merges ON rank = k + 1)")
+    parts.append("voc AS MATERIALIZED (SELECT unnest(range(0, len(hexes))) AS id, unnest(hexes) AS token_hex FROM (SELECT hexes FROM grown ORDER BY k DESC LIMIT 1))")
+    return "WITH RECURSIVE " + ", ".join(parts)
+
+
+_IDS_OF_SYM = "list_transform(range(1, length(sym) + 1), lambda i: unicode(substr(sym, i, 1)) - 256)"
+_DOC_IDS = (", d AS (SELECT doc_id, unnest(" + _duck_words("text") + ") AS word, generate_subscripts(" + _duck_words("text") + ", 1) AS i FROM documents), "
+            "doc_syms AS (SELECT doc_id, string_agg(sym, '' ORDER BY i) AS sym FROM d JOIN enc USING (word) GROUP BY doc_id), "
+            "doc_ids AS (SELECT doc_id, CASE WHEN sym IS NULL THEN [] ELSE " + _IDS_OF_SYM + " END AS ids FROM documents LEFT JOIN doc_syms USING (doc_id))")
+
+
 # ==========================================================================================
 # A. sources and sinks
 
@@ -103,10 +132,11 @@ def q_corpus_size(spark, sf):
     return S.corpus_size(_t(spark, sf, "documents"))
 
 
-@query("head_lines", "SELECT doc_id, n_chars FROM documents WHERE doc_id < 2000000")
+@query("head_lines", "SELECT doc_id, n_chars FROM documents WHERE doc_id < (SELECT count(*) // 2 FROM documents)")
 def q_head_lines(spark, sf):
-    # the reference's bounded scan: the first MAX_LINES = 2,000,000 lines in file order
-    return S.head_lines(_t(spark, sf, "documents"), 2_000_000, "doc_id").select("doc_id", "n_chars")
+    # the limit is the operator: here the first half of the lines (ids are dense line numbers)
+    docs = _t(spark, sf, "documents")
+    return S.head_lines(docs, docs.count() // 2, "doc_id").select("doc_id", "n_chars")
 
 
 @query("rows_at", "SELECT doc_id, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
@@ -170,7 +200,7 @@ def q_scalars(spark, sf):
     return span.select("run", _r("d").alias("duration_s"))
 
 
-@query("tokenizer_save_load")
+@query("tokenizer_save_load", _bpe_cte() + " SELECT CAST(id AS BIGINT) AS id, token_hex FROM voc")
 def q_tokenizer_save_load(spark, sf):
     model = trained_model(spark, sf)
     path = _scratch(spark, "tokenizer")
@@ -233,9 +263,11 @@ def q_fold_turns(spark, sf):
 
 @query("known_roles",
        "SELECT role, CAST(count(*) AS BIGINT) AS n FROM conversations "
-       "WHERE role IN ('user', 'system', 'assistant') GROUP BY role")
+       "WHERE role IN ('user', 'system', 'assistant') AND (conv_id + turn) % 7 <> 3 GROUP BY role")
 def q_known_roles(spark, sf):
-    return B.known_roles(_t(spark, sf, "conversations")).groupBy("role") \
+    # every seventh turn is given a role that the template does not know
+    turns = _t(spark, sf, "conversations").withColumn("role", F.when((F.col("conv_id") + F.col("turn")) % 7 == 3, "tool").otherwise(F.col("role")))
+    return B.known_roles(turns).groupBy("role") \
             .agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -252,10 +284,12 @@ def q_with_system_turn(spark, sf):
 
 @query("drop_blank_replies",
        "SELECT role, CAST(count(*) AS BIGINT) AS n FROM conversations "
-       "WHERE NOT (role = 'assistant' AND trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') = '') "
+       "WHERE NOT (role = 'assistant' AND (conv_id % 5 = 2 OR trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') = '')) "
        "GROUP BY role")
 def q_drop_blank(spark, sf):
-    return B.drop_blank_replies(_t(spark, sf, "conversations")).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+    # the turns of every fifth conversation are blanked, so its replies go and its other turns stay
+    turns = _t(spark, sf, "conversations").withColumn("text", F.when(F.col("conv_id") % 5 == 2, " \t\n\r\u3000").otherwise(F.col("text")))
+    return B.drop_blank_replies(turns).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("keep_last",
@@ -281,10 +315,12 @@ def q_pretoken_counts(spark, sf):
     return docs.select("doc_id", F.size(pretokens(nfkc("text"))).cast("long").alias("n_pretokens"))
 
 
-@query("nfkc_lengths", "SELECT doc_id, CAST(length(nfc_normalize(text)) AS BIGINT) AS n_chars FROM documents")
+@query("nfkc_lengths", "SELECT doc_id, CAST(length(nfc_normalize(text)) AS BIGINT) AS n_chars, md5(nfc_normalize(text)) AS text_md5 FROM documents")
 def q_nfkc(spark, sf):
-    # the oracle can only do NFC; on these tables no text changes under either form
-    return _t(spark, sf, "documents").select("doc_id", F.length(nfkc("text")).cast("long").alias("n_chars"))
+    # vowels are made full-width first; NFKC turns them back (SQL has NFC only, which the texts are in)
+    wide = _t(spark, sf, "documents").withColumn("text", F.translate("text", "aeiouAEIOU", "\uff41\uff45\uff49\uff4f\uff55\uff21\uff25\uff29\uff2f\uff35"))
+    back = wide.select("doc_id", nfkc("text").alias("text"))
+    return back.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 @query("byte_pair_counts",
@@ -297,16 +333,18 @@ def q_byte_pairs(spark, sf):
     return C.pair_counts(C.word_types(C.word_counts(_t(spark, sf, "documents"))), 2)
 
 
-@query("tokenizer_vocab")
+@query("tokenizer_vocab", _bpe_cte() + f" SELECT CAST(id AS BIGINT) AS id, token_hex, id < {len(SPECIAL_TOKENS)} AS is_special FROM voc")
 def q_tokenizer_vocab(spark, sf):
     model = trained_model(spark, sf)
     return model.vocab_df(spark).select(F.col("id").cast("long").alias("id"),
                                         F.hex("token_bytes").alias("token_hex"), "is_special")
 
 
-@query("tokenizer_merges")
+@query("tokenizer_merges", _bpe_cte() + ' SELECT CAST(rank AS BIGINT) AS rank, CAST(l AS BIGINT) AS "left", CAST(r AS BIGINT) AS "right", '
+       "CAST(new AS BIGINT) AS new FROM merges")
 def q_tokenizer_merges(spark, sf):
-    return trained_model(spark, sf).merges_df(spark)
+    merges = trained_model(spark, sf).merges_df(spark)
+    return merges.select(*[F.col(c).cast("long").alias(c) for c in merges.columns])
 
 
 # ==========================================================================================
@@ -329,7 +367,7 @@ def q_split_specials(spark, sf):
     return prompts.select("conv_id", F.size(split_specials("prompt")).cast("long").alias("n_pieces"))
 
 
-@query("encode_lengths")
+@query("encode_lengths", _bpe_cte() + _DOC_IDS + " SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens FROM doc_ids")
 def q_encode_lengths(spark, sf):
     model = trained_model(spark, sf)
     enc = D.encode(_t(spark, sf, "documents"), model, ["doc_id"])
@@ -380,7 +418,11 @@ def q_supervision_stats(spark, sf):
                                             F.col("n_unsupervised_rows").cast("long").alias("n_unsupervised_rows"))
 
 
-@query("pretrain_rows")
+@query("pretrain_rows",
+       _bpe_cte() + _DOC_IDS + ", b AS (SELECT doc_id, ([0] || ids)[1:512] AS ids FROM doc_ids), "
+       "p AS (SELECT doc_id, len(ids) AS n, ids || list_transform(range(0, 512 - len(ids)), lambda i: 1) AS padded FROM b) "
+       "SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, CAST(n - 1 AS BIGINT) AS n_supervised, array_to_string(padded[1:511], ' ') AS input_ids, "
+       "array_to_string(list_transform(range(1, 512), lambda i: CASE WHEN i < n THEN padded[i + 1] ELSE -100 END), ' ') AS labels FROM p")
 def q_pretrain_rows(spark, sf):
     rows = X.pretrain_examples(_t(spark, sf, "documents"), trained_model(spark, sf), max_len=512)
     return rows.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"),
@@ -439,7 +481,37 @@ def q_sft_bytes(spark, sf):
                        F.array_join("input_ids", " ").alias("input_ids"), F.array_join("labels", " ").alias("labels"))
 
 
-@query("sft_rows")
+def _chat_ids_sql(max_len: int) -> str:
+    """``c`` (conv_id, ids, mask) of the trained tokenizer: turns are cut into words and words into
+    tokens; a reply's tokens count from the second word on, of that word those that reach past its first byte."""
+    seg = "role || chr(10) || text"
+    return (", t AS (SELECT conv_id, turn, role, unnest(" + _duck_words(seg) + ") AS word, generate_subscripts(" + _duck_words(seg) + ", 1) AS i "
+            "FROM conversations WHERE role IN ('user', 'system', 'assistant')), "
+            "known AS MATERIALIZED (SELECT DISTINCT word FROM t), "
+            # chat words that no document holds go through the same merges in rank order
+            "fresh AS (SELECT word, -1 AS k, array_to_string(list_transform(" + _duck_byte_ids("word") + ", lambda b: chr(b + 256)), '') AS sym FROM known "
+            "UNION ALL SELECT word, rank, replace(sym, chr(CAST(l + 256 AS INTEGER)) || chr(CAST(r + 256 AS INTEGER)), chr(CAST(new + 256 AS INTEGER))) "
+            "FROM fresh JOIN merges ON rank = k + 1), "
+            "chat AS MATERIALIZED (SELECT word, arg_max(sym, k) AS sym FROM fresh GROUP BY word), "
+            "width AS (SELECT list(CAST(length(token_hex) // 2 AS BIGINT) ORDER BY id) AS w FROM voc), "
+            "wordy AS MATERIALIZED (SELECT word, " + _IDS_OF_SYM + " AS ids FROM chat), "
+            "tok AS MATERIALIZED (SELECT word, ids, list_transform(range(1, len(ids) + 1), lambda j: list_sum(list_transform(ids[1:j], lambda x: w[x + 1]))) AS ends "
+            "FROM wordy, width), "
+            "turns AS (SELECT conv_id, turn, role, flatten(list(ids ORDER BY i)) AS ids, "
+            "flatten(list(list_transform(ends, lambda e: CASE WHEN role <> 'assistant' OR i = 1 THEN 0 WHEN i = 2 AND e <= 1 THEN 0 ELSE 1 END) ORDER BY i)) AS mask "
+            "FROM t JOIN tok USING (word) GROUP BY conv_id, turn, role), "
+            "closed AS (SELECT conv_id, turn, [0] || ids || [1] || (CASE WHEN role = 'assistant' THEN [] ELSE [201] END) AS ids, "
+            "[0] || mask || (CASE WHEN role = 'assistant' THEN [1] ELSE [0, 0] END) AS mask FROM turns), "
+            f"c AS (SELECT conv_id, coalesce(flatten(list(ids ORDER BY turn) FILTER (ids IS NOT NULL)), [])[1:{max_len}] AS ids, "
+            f"coalesce(flatten(list(mask ORDER BY turn) FILTER (ids IS NOT NULL)), [])[1:{max_len}] AS mask "
+            "FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN closed USING (conv_id) GROUP BY conv_id) ")
+
+
+@query("sft_rows",
+       _bpe_cte() + _chat_ids_sql(512) + ", p AS (SELECT conv_id, len(ids) AS n, mask, ids || list_transform(range(0, 512 - len(ids)), lambda i: 1) AS padded FROM c), "
+       "q AS (SELECT conv_id, n, padded, list_transform(range(1, 512), lambda i: CASE WHEN i < n AND mask[i + 1] = 1 THEN padded[i + 1] ELSE -100 END) AS labels FROM p) "
+       "SELECT conv_id, CAST(n AS BIGINT) AS n_tokens, CAST(len(list_filter(labels, lambda x: x <> -100)) AS BIGINT) AS n_supervised, "
+       "array_to_string(padded[1:511], ' ') AS input_ids, array_to_string(labels, ' ') AS labels FROM q")
 def q_sft_rows(spark, sf):
     rows = X.sft_examples(_t(spark, sf, "conversations"), trained_model(spark, sf), max_len=512)
     return rows.select("conv_id", F.col("n_tokens").cast("long").alias("n_tokens"),
@@ -447,7 +519,8 @@ def q_sft_rows(spark, sf):
                        F.array_join("input_ids", " ").alias("input_ids"), F.array_join("labels", " ").alias("labels"))
 
 
-@query("assistant_mask")
+@query("assistant_mask", _bpe_cte() + _chat_ids_sql(512) + "SELECT conv_id, CAST(len(ids) AS BIGINT) AS n_tokens, "
+       "CAST(coalesce(list_sum(mask), 0) AS BIGINT) AS n_assistant FROM c")
 def q_assistant_mask(spark, sf):
     m = X.assistant_mask(_t(spark, sf, "conversations"), trained_model(spark, sf), max_len=512)
     return m.select("conv_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -541,14 +614,17 @@ def q_shard(spark, sf):
 # H. evaluation: embeddings as 64-class logits (label 0..9); events as a metric log
 
 _E_DOUBLE = "list_transform(embedding, lambda x: x::DOUBLE)"
-_NLL_CTE = ("WITH m AS (SELECT vec_id, label, " + _E_DOUBLE + " AS x FROM embeddings), "
+_NLL_CTE = ("WITH m AS (SELECT vec_id, CASE WHEN vec_id % 7 = 3 OR vec_id // 64 = 2 THEN -100 ELSE label END AS label, " + _E_DOUBLE + " AS x FROM embeddings), "
             "m2 AS (SELECT vec_id, label, x, list_max(x) AS mx FROM m), "
-            "l AS (SELECT vec_id, label, mx + ln(list_sum(list_transform(x, lambda v: exp(v - mx)))) - x[label + 1] AS nll, "
+            "l AS (SELECT vec_id, label, mx + ln(list_sum(list_transform(x, lambda v: exp(v - mx)))) - CASE WHEN label <> -100 THEN x[label + 1] END AS nll, "
             "row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM m2) ")
 
 
-def _preds(spark, sf) -> DataFrame:
-    return _t(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("logits"))
+def _preds(spark, sf, ignoring: bool = True) -> DataFrame:
+    # every seventh label, and all of the third batch, are ignored positions
+    ignored = (F.col("vec_id") % 7 == 3) | (F.floor(F.col("vec_id") / 64) == 2)
+    label = F.when(ignored, F.lit(-100)).otherwise(F.col("label")) if ignoring else F.col("label")
+    return _t(spark, sf, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("logits"))
 
 
 @query("argmax", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS pred FROM embeddings")
@@ -563,14 +639,14 @@ def q_nll(spark, sf):
 
 @query("masked_accuracy",
        "SELECT round(avg(CASE WHEN list_position(embedding, list_max(embedding)) - 1 = label THEN 1.0 ELSE 0.0 END), 6) "
-       "AS accuracy, CAST(count(*) AS BIGINT) AS n_tokens FROM embeddings WHERE label <> -100")
+       "AS accuracy, CAST(count(*) AS BIGINT) AS n_tokens FROM embeddings WHERE vec_id % 7 <> 3 AND vec_id // 64 <> 2")
 def q_accuracy(spark, sf):
     a = H.masked_accuracy(_preds(spark, sf))
     return a.select(_r("accuracy").alias("accuracy"), F.col("n_tokens").cast("long").alias("n_tokens"))
 
 
-def _batched_preds(spark, sf) -> DataFrame:
-    p = G.epoch_order(_preds(spark, sf), "vec_id", epoch=0, shuffle=False)
+def _batched_preds(spark, sf, ignoring: bool = True) -> DataFrame:
+    p = G.epoch_order(_preds(spark, sf, ignoring), "vec_id", epoch=0, shuffle=False)
     return G.assign_batches(p, 64)
 
 
@@ -621,7 +697,7 @@ def _balance_sql(group: str) -> str:
        "SELECT CAST(ce.batch_id AS BIGINT) AS batch_id, round(ce + 0.05 * balance_loss, 6) AS total_loss "
        "FROM ce JOIN bl ON ce.batch_id = bl.batch_id")
 def q_total_loss(spark, sf):
-    pos = _batched_preds(spark, sf).select(F.col("vec_id").alias("token_id"), "batch_id", "logits", "label")
+    pos = _batched_preds(spark, sf, ignoring=False).select(F.col("vec_id").alias("token_id"), "batch_id", "logits", "label")
     routed = _routed(spark, sf).join(pos.select("token_id", "batch_id"), "token_id")
     n_tok = pos.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
     aux = J.balance_loss(routed, 8, n_tok, by=("batch_id",))
@@ -671,10 +747,14 @@ def q_metric_value(spark, sf):
 
 
 @query("best_checkpoints",
+       "WITH v AS (SELECT *, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'inf'::DOUBLE ELSE value END AS v FROM events) "
        "SELECT event_id, rank FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type "
-       "ORDER BY value, ts) AS rank FROM events) WHERE rank <= 3")
+       "ORDER BY v IS NULL, v, ts) AS rank FROM v) WHERE rank <= 3")
 def q_best_checkpoints(spark, sf):
-    b = H.best_checkpoints(_t(spark, sf, "events"), 3, "value", "ts", ["user_id", "event_type"], "min")
+    # some values are missing (rank last) or NaN (rank like the worst value)
+    k = F.col("event_id") % 5
+    ev = _t(spark, sf, "events").withColumn("value", F.when(k == 1, float("nan")).when(k != 0, F.col("value")))
+    b = H.best_checkpoints(ev, 3, "value", "ts", ["user_id", "event_type"], "min")
     return b.select("event_id", F.col("rank").cast("long").alias("rank"))
 
 
@@ -723,10 +803,14 @@ def q_early_stop_delta(spark, sf):
 
 
 @query("non_finite",
+       "WITH v AS (SELECT CASE event_id % 11 WHEN 0 THEN 'nan'::DOUBLE WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE "
+       "WHEN 3 THEN NULL ELSE value END AS value FROM events) "
        "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(CASE WHEN isnan(value) OR isinf(value) THEN 1 END) AS BIGINT) "
-       "AS n_non_finite FROM events")
+       "AS n_non_finite FROM v")
 def q_non_finite(spark, sf):
-    ev = _t(spark, sf, "events")
+    k = F.col("event_id") % 11
+    odd = F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, float("-inf")).when(k == 3, F.lit(None)).otherwise(F.col("value"))
+    ev = _t(spark, sf, "events").withColumn("value", odd)
     return ev.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(H.non_finite("value"), 1)).alias("n_non_finite"))
 
 
