@@ -1,11 +1,11 @@
-"""Column functions over token-id arrays (D3, D4, D6, E1-E3, E5, B7, I5). All JVM-side."""
+"""Column functions over token-id arrays (D3, D4, D6, E5, B7, I5). All JVM-side."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BOS_ID, EOS_ID, IGNORE_INDEX, N_SPECIAL, PAD_ID, col_
+from .text import EOS_ID, IGNORE_INDEX, N_SPECIAL, PAD_ID, col_
 
 
 def truncate(ids, max_len: int) -> Column:
@@ -19,36 +19,6 @@ def pad(ids, max_len: int, pad_id: int = PAD_ID) -> Column:
     return F.concat(c, F.array_repeat(F.lit(pad_id), F.greatest(F.lit(max_len) - F.size(c), F.lit(0))))
 
 
-def attention_mask(ids, max_len: int) -> Column:
-    """1 for real ids, 0 for padding, as ``array<int>`` of length ``max_len``."""
-    n = F.size(col_(ids))
-    return F.transform(F.sequence(F.lit(0), F.lit(max_len - 1)), lambda i: F.when(i < n, 1).otherwise(0))
-
-
-def with_bos(ids, bos_id: int = BOS_ID) -> Column:
-    """Prepend the BOS id."""
-    return F.concat(F.array(F.lit(bos_id)), col_(ids))
-
-
-def shift_inputs(ids) -> Column:
-    """``ids[:-1]``."""
-    c = col_(ids)
-    return F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
-
-
-def shift_labels(ids) -> Column:
-    """``ids[1:]``."""
-    c = col_(ids)
-    return F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
-
-
-def mask_labels(labels, keep_mask, ignore: int = IGNORE_INDEX) -> Column:
-    """``labels[i]`` where ``keep_mask[i + 1]`` is set, else ``ignore`` (mask is unshifted)."""
-    m = col_(keep_mask)
-    shifted = F.slice(m, 2, F.greatest(F.size(m) - 1, F.lit(0)))
-    return F.zip_with(col_(labels), shifted, lambda x, k: F.when(k == 1, x).otherwise(F.lit(ignore)))
-
-
 def supervised_count(labels, ignore: int = IGNORE_INDEX) -> Column:
     """E5: number of labels that enter the loss."""
     return F.size(F.filter(col_(labels), lambda x: x != ignore))

@@ -177,8 +177,3 @@ def byte_symbols(word) -> Column:
 
 # Characters Python's str.isspace() accepts, generated from the rule (29 code points).
 PY_SPACE_CLASS = "[" + "".join(f"\\x{{{c:04X}}}" for c in range(0x110000) if chr(c).isspace()) + "]"
-
-
-def strip_unicode(text) -> Column:
-    """Python ``str.strip()`` equivalent (Unicode white space), JVM-side."""
-    return F.regexp_replace(col_(text), f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")

@@ -56,14 +56,6 @@ def pair_counts(words: DataFrame, min_frequency: int = 2) -> DataFrame:
             .filter(F.col("n") >= min_frequency))
 
 
-def base_vocab(spark: SparkSession) -> DataFrame:
-    """Special tokens then the 256 byte symbols, with their fixed ids."""
-    rows = [(i, bytearray(s.encode()), True) for i, s in enumerate(SPECIAL_TOKENS)]
-    rows += [(i, bytearray([b]), False) for i, b in sorted(ID_TO_BYTE.items())]
-    schema = "id int, token_bytes binary, is_special boolean"
-    return spark.createDataFrame(rows, schema)
-
-
 @dataclass
 class BpeModel:
     """A learned tokenizer: merges in rank order and the id -> bytes vocabulary."""

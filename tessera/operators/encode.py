@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import (BYTE_TO_ID, SPECIAL_TOKENS, col_, is_special, nfkc_pieces,
                               pretokens, special_id, split_specials)
+from ..functions.arrays import truncate
 from ..session import spread
 from .bpe import BpeModel, bpe_word
 
@@ -190,13 +191,13 @@ def encode(df: DataFrame, model: BpeModel, keys: list[str], text: str = "text",
     if bos:
         units = F.concat(F.array(F.lit(SPECIAL_TOKENS[0])), units)
     if max_len is not None:
-        units = F.slice(units, 1, max_len)
+        units = truncate(units, max_len)
     with_units = with_text_units(spread(df.select(*keys, *keep, text)), text, "_units")
     if strategy == "narrow":
         enc = encode_units_narrow(with_units.select(*keys, *keep, units.alias("_units")), model, "_units")
         ids = F.col("ids")
         if max_len is not None:
-            ids = F.slice(ids, 1, max_len)
+            ids = truncate(ids, max_len)
         return enc.select(*keys, *keep, ids.alias(out))
     exploded = with_units.select(*keys, *keep, F.posexplode_outer(units).alias("upos", "unit"))
     enc = encode_exploded(exploded, model)
@@ -204,7 +205,7 @@ def encode(df: DataFrame, model: BpeModel, keys: list[str], text: str = "text",
     seqs = enc.groupBy(*keys, *keep).agg(F.array_sort(F.collect_list(piece)).alias("_u"))
     ids = F.flatten(F.transform("_u", lambda u: u["ids"]))
     if max_len is not None:
-        ids = F.slice(ids, 1, max_len)
+        ids = truncate(ids, max_len)
     return seqs.select(*keys, *keep, ids.alias(out))
 
 

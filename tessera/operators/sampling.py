@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import EOS_ID, N_SPECIAL, col_
+from ..functions.arrays import drop_specials
+from ..functions.text import EOS_ID, col_
 from .ordering import hash_uniform
 
 
@@ -55,7 +56,7 @@ def decode_bytes(ids, vocab_hex: Column, skip_special: bool = True) -> Column:
     """Token ids to their concatenated bytes through a literal id-indexed array of hex strings
     (``encode.vocab_map``): each token's hex is looked up by index, joined, and decoded once,
     so the work is linear in the output size."""
-    c = F.filter(col_(ids), lambda x: x >= N_SPECIAL) if skip_special else col_(ids)
+    c = drop_specials(ids) if skip_special else col_(ids)
     parts = F.transform(c, lambda i: F.coalesce(
         F.when(i >= 0, F.try_element_at(vocab_hex, i + 1)), F.lit("")))
     return F.unhex(F.array_join(parts, ""))

@@ -62,11 +62,6 @@ def known_roles(df: DataFrame, role: str = "role") -> DataFrame:
     return df.filter(F.col(role).isin(*KNOWN_ROLES))
 
 
-def known_role_messages(messages) -> Column:
-    """B4 (nested)."""
-    return F.filter(col_(messages), lambda m: m["role"].isin(*KNOWN_ROLES))
-
-
 def with_system_turn(df: DataFrame, prompt: str, key: str = "conv_id", order: str = "turn",
                      role: str = "role", text: str = "text") -> DataFrame:
     """B5 (flat): add one system turn before the first turn of every conversation."""
@@ -75,12 +70,6 @@ def with_system_turn(df: DataFrame, prompt: str, key: str = "conv_id", order: st
     return df.select(key, order, role, text).unionByName(sys_rows)
 
 
-def with_system_message(messages, prompt: str) -> Column:
-    """B5 (nested)."""
-    return F.concat(F.array(F.struct(F.lit("system").alias("role"), F.lit(prompt).alias("content"))),
-                    col_(messages))
-
-
 def is_blank(text) -> Column:
     """True when Python's ``str.strip()`` would leave nothing."""
     return F.regexp_like(F.coalesce(col_(text), F.lit("")), F.lit(f"^{PY_SPACE_CLASS}*$"))
@@ -100,12 +89,6 @@ def turn_segment(role, content) -> Column:
              .otherwise(F.lit("")))
 
 
-def render_messages(messages, add_generation_prompt: bool = False) -> Column:
-    """F1/F2 (nested): the whole conversation as one prompt string."""
-    body = F.array_join(F.transform(col_(messages), lambda m: turn_segment(m["role"], m["content"])), "")
-    return F.concat(body, F.lit(GENERATION_PROMPT)) if add_generation_prompt else body
-
-
 def render_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
                 text: str = "text", add_generation_prompt: bool = False) -> DataFrame:
     """F1/F2 (flat): ``(key, prompt)``; segments are rendered per row, then joined in order."""
