@@ -22,9 +22,10 @@ from .hnsw import Graph
 
 SHARDS = 6
 SHARD_ROWS = 1 << 16  # more shards are made so that none expects more vectors
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 13
+SPREAD = 8  # partitions for each group, so that few groups share one (a set number isn't merged again)
 AUDIT = 256
-BEAM = 48
+BEAM = 24
 SLACK = 0.05
 
 
@@ -116,11 +117,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                          "x": pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
                          "copies": pa.array([table.column("copies").combine_chunks()], pa.list_(pa.int64())), "links": pa.array([packed], pa.binary())})
 
-    dealt = distinct.withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)"))
+    dealt = distinct.withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)")).repartition(shards * SPREAD, "dim", "shard")
     graphs = cut(dealt.groupBy("dim", "shard").applyInArrow(build, "shard int, dim int, nodes array<long>, x binary, copies array<long>, links binary"))
-    asked = graphs.withColumn("block", F.explode(F.expr(f"sequence(0, {blocks - 1})")))
+    groups = shards * blocks * 2
+    asked = graphs.withColumn("block", F.explode(F.expr(f"sequence(0, {blocks - 1})"))).repartition(groups, "dim", "shard", "block")
     queries = distinct.select("node", "dim", "v", F.expr(f"cast(pmod(shiftright(h, 20), {blocks}) as int)").alias("block"))
-    queries = queries.withColumn("shard", F.explode(F.expr(f"sequence(0, {shards - 1})")))
+    queries = queries.withColumn("shard", F.explode(F.expr(f"sequence(0, {shards - 1})"))).repartition(groups, "dim", "shard", "block")
 
     def ask(key, right, left):
         out = {"node": [], "links": [], "other": [], "beam": []}

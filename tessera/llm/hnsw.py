@@ -14,7 +14,7 @@ NONE = -1
 class Graph:
     """Layers of neighbour lists; layer 0 holds all vectors, each further one a random part."""
 
-    def __init__(self, vectors: np.ndarray, degree: int = 16, beam: int = 48, seed: int = 7):
+    def __init__(self, vectors: np.ndarray, degree: int = 12, beam: int = 32, seed: int = 7):
         self.x = np.ascontiguousarray(vectors, np.float32)
         self.degree = degree
         n = len(self.x)
