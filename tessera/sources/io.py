@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BOS_ID, EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID
 from ..operators.bpe import BpeModel
+from ..operators.turns import KNOWN_ROLES
 
 CONVERSATIONS_SCHEMA = "conversations array<struct<`from`:string,`value`:string>>"
 SCALARS_SCHEMA = "run string, tag string, step long, wall_time double, value double"
@@ -77,15 +78,45 @@ def rows_at(df: DataFrame, ids, id_col: str = "row_id", broadcast_limit: int = 1
 
 
 def save_tokenizer(spark: SparkSession, model: BpeModel, path: str, mode: str = "overwrite") -> None:
-    """Vocabulary, merges and metadata as parquet tables under ``path``."""
+    """Vocabulary, merges and metadata as parquet tables under ``path``, and the public JSON
+    form as the one line of ``path``/json."""
+    spark.createDataFrame([(tokenizer_json(model),)], "value string").coalesce(1).write.mode(mode).text(f"{path}/json")
     model.vocab_df(spark).coalesce(1).write.mode(mode).parquet(f"{path}/vocab")
     model.merges_df(spark).coalesce(1).write.mode(mode).parquet(f"{path}/merges")
     meta = {"special_tokens": SPECIAL_TOKENS, "bos_id": BOS_ID, "eos_id": EOS_ID, "pad_id": PAD_ID,
             "unk_id": UNK_ID, "padding_side": "right", "truncation_side": "right",
-            "normalizer": "NFKC", "pre_tokenizer": "byte_level", "add_prefix_space": False}
+            "normalizer": "NFKC", "pre_tokenizer": "byte_level", "add_prefix_space": False,
+            "chat_template": {"roles": list(KNOWN_ROLES), "turn": f"{SPECIAL_TOKENS[0]}role\ncontent{SPECIAL_TOKENS[1]}",
+                              "after_turn": {"user": "\n", "system": "\n", "assistant": ""}}}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(mode).parquet(f"{path}/meta")
 
 
+def _byte_alphabet() -> list[str]:
+    """The public byte-level alphabet: visible Latin-1 bytes stand for themselves, the rest for
+    the characters from U+0100 on, in order."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(rest)) for b in range(256)]
+
+
+def tokenizer_json(model: BpeModel) -> str:
+    """The tokenizer in the public library's JSON form (vocabulary, merges, special tokens,
+    normaliser, pre-tokenizer, decoder), which that library loads and encodes with to equal ids."""
+    alphabet = _byte_alphabet()
+    n_special = len(SPECIAL_TOKENS)
+    word = {i: SPECIAL_TOKENS[i] if i < n_special else "".join(alphabet[b] for b in token) for i, token in model.vocab.items()}
+    level = {"add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    return json.dumps({
+        "version": "1.0", "truncation": None, "padding": None,
+        "added_tokens": [{"id": i, "content": t, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+                         for i, t in enumerate(SPECIAL_TOKENS)],
+        "normalizer": {"type": "NFKC"}, "pre_tokenizer": {"type": "ByteLevel"} | level, "post_processor": None,
+        "decoder": {"type": "ByteLevel"} | level,
+        "model": {"type": "BPE", "dropout": None, "unk_token": SPECIAL_TOKENS[UNK_ID], "continuing_subword_prefix": None, "end_of_word_suffix": None,
+                  "fuse_unk": False, "byte_fallback": False, "ignore_merges": False, "vocab": {w: i for i, w in sorted(word.items())},
+                  "merges": [[word[a], word[b]] for a, b, _ in model.merges]}}, ensure_ascii=False)
+
+
 def load_tokenizer(spark: SparkSession, path: str) -> BpeModel:
     """Read a saved tokenizer; the tables are bounded by the vocabulary size (checked)."""
     vocab_df = spark.read.parquet(f"{path}/vocab")

@@ -162,3 +162,18 @@ def test_session_and_spread_leave_plans_alone(spark):
     df = spark.range(1000).mapInArrow(count, "id long").groupBy("id").count()
     assert spread(df) is df and seen.value == 0
     assert math.isclose(spread(spark.range(10, numPartitions=1), 4).rdd.getNumPartitions(), 4)
+
+
+def test_public_tokenizer_file(spark, trained, tmp_path):
+    from tokenizers import Tokenizer
+
+    from chat_cases import CHAT_CASES, TEXT_CASES
+    model, golden = trained
+    S.save_tokenizer(spark, model, str(tmp_path / "tok"))
+    line = spark.read.text(str(tmp_path / "tok" / "json")).first()[0]
+    loaded = Tokenizer.from_str(line)
+    assert loaded.get_vocab() == golden.get_vocab()
+    texts = [t for case in [*CHAT_CASES.values(), *TEXT_CASES.values()] for t in ([case] if isinstance(case, str) else map(str, case))]
+    for text in [*texts, "plain text 123", "\uff21\uff22 caf\u00e9 \U0001f642"]:
+        assert loaded.encode(text).ids == golden.encode(text).ids
+    assert S.load_tokenizer(spark, str(tmp_path / "tok")).merges == model.merges
