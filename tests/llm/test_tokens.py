@@ -70,7 +70,9 @@ def test_pieces_and_sequences(spark):
             assert offset == at
             at += length
         assert at <= 256
-    assert len(sequences) == packing.lower_bound(Counter(r.length for r in got), 256)
+    # 22 sequences beside the full pieces cannot hold these: of 41 pieces over 85 two fit at most (180 and 185 with none), and what
+    # 20 pairs and they leave free takes six of the eight pieces of 42 to 60, so one more than the bound is the optimum
+    assert len(sequences) <= packing.lower_bound(Counter(r.length for r in got), 256) + 1
     assert packing.pack(X.empty(spark)).count() == 0
 
 
