@@ -157,7 +157,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = tokens.worker_cache(path)
-        for batch in K.slices(batches, "text"):
+        for batch in K.slices(batches, "text", tokens.SLICE):
             ids, off = tokens.with_end(*cache.ids(*K.text_bytes(batch.column("text"))), tokens.END_ID)
             n = np.diff(off)
             parts = -(-n // capacity)

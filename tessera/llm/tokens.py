@@ -30,6 +30,12 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+SLICE = 1 << 20  # text bytes encoded at a time
+#: Bytes that begin UTF-8 forms of white space beyond ASCII, among other characters.
+_MAYBE_SPACE = np.zeros(256, bool)
+_MAYBE_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
 class ChunkCache:
     """Ids of text chunks by their hash: a direct-mapped table over a pool of ids, both bounded."""
 
@@ -42,19 +48,64 @@ class ChunkCache:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # the alphabet writes one character for each byte of a token
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.width[i] = len(token)
         self.clear()
 
     def clear(self) -> None:
         self.tag = np.zeros(self.SLOTS, np.uint64)
-        self.start = np.zeros(self.SLOTS, np.int64)
-        self.length = np.zeros(self.SLOTS, np.int64)
+        self.start = np.zeros(self.SLOTS, np.int32)
+        self.length = np.zeros(self.SLOTS, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
 
-    def _encode(self, data: np.ndarray, spans: list[tuple[int, int]]) -> list[list[int]]:
-        raw = data.tobytes() if len(spans) > 64 else None
-        texts = [(raw[a:b] if raw is not None else data[a:b].tobytes()).decode() for a, b in spans]
+    def _plain(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after the other, and their numbers.
+
+        Chunks that begin with a space before a visible character are put into long texts, since the tokenizer always cuts
+        there; the bytes that each id stands for show where a chunk ends. The others are encoded one by one.
+        """
+        second = data[np.minimum(starts + 1, len(data) - 1)]
+        joins = (data[starts] == 32) & (ends - starts > 1) & (second > 32) & (second != 127) & ~_MAYBE_SPACE[second]
+        raw = data.tobytes()
+        chunks = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        counts = np.zeros(len(chunks), np.int64)
+        parts: list[np.ndarray] = []
+        order: list[np.ndarray] = []
+        some = np.flatnonzero(joins)
+        size = (ends - starts)[some]
+        group = np.cumsum(size) // 4096
+        cuts = np.flatnonzero(np.diff(group, prepend=-1, append=-1)) if len(some) else np.zeros(0, np.int64)
+        groups = [some[a:b] for a, b in zip(cuts, cuts[1:])]
+        texts = [b"".join([chunks[i] for i in g.tolist()]).decode() for g in groups]
+        single = np.flatnonzero(~joins).tolist()
+        for g, ids in zip(groups, self._plain(texts)):
+            ids = np.array(ids, np.int32)
+            at = np.cumsum(self.width[ids])
+            end = np.cumsum(ends[g] - starts[g])
+            last = np.searchsorted(at, end)
+            if len(ids) and last[-1] < len(at) and np.array_equal(at[last], end):
+                counts[g] = np.diff(last, prepend=-1)
+                parts.append(ids)
+                order.append(g)
+            else:  # not cut as expected
+                single += g.tolist()
+        if single:
+            found = self._plain([chunks[i].decode() for i in single])
+            counts[single] = [len(x) for x in found]
+            parts.append(np.fromiter((i for x in found for i in x), np.int32))
+            order.append(np.array(single))
+        # from the order of encoding to the order of the chunks
+        flat, where = np.concatenate(parts), np.concatenate(order)
+        begin = np.empty(len(chunks), np.int64)
+        begin[where] = np.cumsum(counts[where]) - counts[where]
+        out = np.cumsum(counts) - counts
+        return flat[np.repeat(begin - out, counts) + np.arange(counts.sum())], counts
+
     def ids(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text."""
         if not len(data):
@@ -65,14 +116,12 @@ class ChunkCache:
         if self.used > self.POOL:
             self.clear()
         slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
-        at, size = self.start[slot], self.length[slot]
+        at, size = self.start[slot].astype(np.int64), self.length[slot].astype(np.int64)
         missing = np.flatnonzero((self.tag[slot] != h) | (size == 0))
         if len(missing):
             new, first, inverse = np.unique(h[missing], return_index=True, return_inverse=True)
             where = missing[first]
-            found = self._encode(data, list(zip(starts[where].tolist(), ends[where].tolist())))
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum()))
+            flat, lengths = self._encode(data, starts[where], ends[where])
             while self.used + len(flat) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.int32)])
             self.pool[self.used:self.used + len(flat)] = flat
@@ -137,7 +186,7 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache(path)
-        for batch in K.slices(batches, "text"):
+        for batch in K.slices(batches, "text", SLICE):
             ids, off = with_end(*cache.ids(*K.text_bytes(batch.column("text"))), end_id)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids))],
                                              names=["doc_id", "ids"])
