@@ -21,10 +21,11 @@ def is_empty(df: DataFrame) -> bool:
 def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
     """Rows in global order, written once: column ``_p`` is the piece, ``_i`` the place in it.
 
-    Ties of the whole order key are placed arbitrarily but once: the checkpoint keeps the choice.
+    Choosing the ranges reads the rows before they are dealt out, so they are checkpointed first, lest their work be
+    done twice. Ties of the whole order key are placed arbitrarily but once: the checkpoint keeps the choice.
     """
     keys = [f"_k{i}" for i in range(len(order))]
-    tied = df.select("*", *[c.alias(k) for c, k in zip(order, keys)]).withColumn("_tie", F.rand(17))
+    tied = cut(df.select("*", *[c.alias(k) for c, k in zip(order, keys)]).withColumn("_tie", F.rand(17)))
     cols = [F.col(k) for k in keys] + [F.col("_tie")]
     rows = cut(tied.repartitionByRange(*cols).sortWithinPartitions(*cols).drop(*keys, "_tie"))
     return rows.withColumn("_p", F.spark_partition_id()).withColumn(
