@@ -3,7 +3,7 @@
 Equal vectors are taken together first, with their number, so copies cost nothing. Distinct vectors are dealt to
 shards by hash, and each shard's graph is built in one task. Every vector queries every shard, in blocks of
 queries. In each (shard, block) an audit compares sampled queries with brute force over the
-shard; while it misses links, the beam and the margin are doubled, up to an exact scan. Hits are verified with cosine in double
+shard; while it misses links, the beam is doubled and the margin grows, and after three failures the block scans the shard. Hits are verified with cosine in double
 precision. A task gives back counts per query and a spanning forest of its links, never all pairs of a group.
 """
 
@@ -25,7 +25,8 @@ SHARD_ROWS = 1 << 16  # more shards are made so that none expects more vectors
 BLOCK_ROWS = 1 << 13
 SPREAD = 8  # partitions for each group, so that few groups share one (a set number isn't merged again)
 AUDIT = 256
-BEAM = 24
+BEAM = 32
+WIDER = 4  # beams up to so many times the first are tried, then the shard is scanned
 SLACK = 0.05
 
 
@@ -72,14 +73,15 @@ def _pairs(graph: Graph, shard: np.ndarray, queries: np.ndarray, least: float, b
     margin = 1e-5  # of single precision; verified below
     sample = np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(np.int64) if len(queries) else np.zeros(0, np.int64)
     truth = np.concatenate([np.argwhere(queries[s:s + 1] @ shard.T >= least)[:, 1] + i * len(shard) for i, s in enumerate(sample)]) if len(sample) else np.zeros(0, np.int64)
+    most = beam * WIDER
     while True:
-        if beam >= len(shard):  # exact
+        if beam > most or beam >= len(shard):  # exact
             found = [np.argwhere(queries[i:i + 512] @ shard.T >= least - margin) + [i, 0] for i in range(0, len(queries), 512)]
             rows, nodes = np.concatenate(found).T if found else (np.zeros(0, np.int64),) * 2
         else:
             r, nodes = graph.within(q32[sample], beam, least - margin, slack)
             if len(np.setdiff1d(truth, r * len(shard) + nodes)):
-                beam, slack = beam * 2, min(2 * slack, 0.4)
+                beam, slack = beam * 2, slack + SLACK
                 continue
             rows, nodes = graph.within(q32, beam, least - margin, slack)
         sims = np.concatenate([np.einsum("rd,rd->r", queries[rows[i:i + (1 << 16)]], shard[nodes[i:i + (1 << 16)]])
