@@ -1,8 +1,7 @@
 """Line de-duplication by pairwise alignment (patience diff).
 
-A line is shared if several documents hold it, and rare if at most ``rare_share`` of all different
-texts do (copies of a text count once). Each document is paired with the first holder of each of
-its rare shared lines, so a line gives one partner, never all pairs of its holders. A pair's common lines are aligned: lines unique in both
+A line is shared if several documents hold it. Each document is paired with the first holder of each of
+its shared lines, so a line gives one partner, never all pairs of its holders. A pair's common lines are aligned: lines unique in both
 are matched by the longest increasing subsequence of their places, then the gaps between matches in the same way. Aligned
 lines are deleted from the later document.
 """
@@ -19,9 +18,6 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-RARE_SHARE = 0.01
-RARE_LEAST = 10
-
 
 def patience(first: list[int], later: list[int]) -> list[int]:
     """Indices of ``later`` aligned with ``first``; both are line hashes in document order."""
@@ -74,15 +70,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                              "_key": F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("\\N")), text)})
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float = RARE_SHARE,
-                  rare_least: int = RARE_LEAST) -> DataFrame:
-    """(_key, lines): the 0-based line numbers to delete from each document that loses any."""
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float | None = None,
+                  rare_least: int | None = None) -> DataFrame:
+    """(_key, lines): the 0-based line numbers to delete from each document that loses any.
+
+    With ``rare_share`` or ``rare_least``, documents are paired with first holders of rare lines only: those in at most
+    that share of all different texts or that many (copies of a text count once).
+    """
     src = _keyed(docs, id_col, text_col).select("_id", "_key", "_text", F.xxhash64("_text").alias("_t"))
     lines = src.select("_id", "_key", "_t", F.posexplode(F.split("_text", "\n", -1)).alias("pos", "line"))
     own = cut(lines.where("line rlike '\\\\S'").groupBy("_id", "_key", "_t", F.xxhash64("line").alias("line"))
               .agg(F.array_sort(F.collect_set("pos")).alias("pos")))  # places of one line in one document
-    texts = own.agg(F.approx_count_distinct("_t", 0.01)).first()[0]
-    most = max(rare_least, int(rare_share * texts))
+    most = 1 << 62
+    if rare_share is not None or rare_least is not None:
+        texts = own.agg(F.approx_count_distinct("_t", 0.01)).first()[0] if rare_share else 0
+        most = max(rare_least or 0, int((rare_share or 0) * texts))
     # holders and different texts of a line, counted exactly with partial aggregates
     held = own.groupBy("line", "_t").agg(F.min(F.struct("_id", "_key")).alias("f"), F.max(F.struct("_id", "_key")).alias("l"))
     rare = held.groupBy("line").agg(F.min("f").alias("f"), F.max("l").alias("l"), F.count(F.lit(1)).alias("texts"))
@@ -106,8 +108,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.groupBy("_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("lines")).where("size(lines) > 0")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float = RARE_SHARE,
-                rare_least: int = RARE_LEAST) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float | None = None,
+                rare_least: int | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with aligned lines deleted from ``text_col``, and n_lines, n_removed.
 
     The earlier document of a pair has the smaller id (a null id is smallest; equal ids by text hash). Rows equal

@@ -145,3 +145,9 @@ def test_lines_match_brute_force(spark, least):
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], want[r[0], r[1], keys[r[0], r[1]]]) for r in rows)
     assert line_dedup.dedup_lines(X.empty(spark)).count() == 0
     assert zlib.crc32(b"") == 0
+
+
+def test_lines_of_many_texts_are_deleted(spark):
+    docs = spark.createDataFrame([(i, f"p{i}\ncommon\nq{i}") for i in range(30)], "doc_id long, text string")
+    got = line_dedup.dedup_lines(docs).collect()
+    assert {r.doc_id: r.text for r in got} == {i: f"p{i}\nq{i}" if i else "p0\ncommon\nq0" for i in range(30)}
