@@ -1,4 +1,5 @@
 import hashlib
+import random
 import sys
 import zlib
 from collections import Counter
@@ -151,3 +152,34 @@ def test_lines_of_many_texts_are_deleted(spark):
     docs = spark.createDataFrame([(i, f"p{i}\ncommon\nq{i}") for i in range(30)], "doc_id long, text string")
     got = line_dedup.dedup_lines(docs).collect()
     assert {r.doc_id: r.text for r in got} == {i: f"p{i}\nq{i}" if i else "p0\ncommon\nq0" for i in range(30)}
+
+
+def brute_all_lines(rows):
+    """Each document aligned with all earlier ones."""
+    docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+    lines = [[x for x in enumerate(r[1].split("\n")) if x[1].strip()] if r[1] is not None else [] for r in docs]
+    out = {}
+    for b, doc in enumerate(docs):
+        gone = set()
+        for a in range(b):
+            common = {x for _, x in lines[a]} & {x for _, x in lines[b]}
+            first, later = [x for _, x in lines[a] if x in common], [x for x in lines[b] if x[1] in common]
+            gone |= {later[j][0] for j in line_dedup.patience(first, [x for _, x in later])}
+        out[doc] = "\n".join(x for i, x in enumerate(doc[1].split("\n")) if i not in gone) if doc[1] is not None else None
+    return out
+
+
+def test_lines_of_all_earlier_documents(spark, monkeypatch):
+    rng = random.Random(5)
+    extra = [*[f"p{i}\ncommon\nq{i}" for i in range(30)],  # a line of many texts
+             "r2\nr1", "r1\nr2", "r1\nr2",  # a block whose first line holder has another order
+             "s", "c1\ns\nc2", "c1\ns\nc2", "m\nk\nm", "k\nm\nm", "m\nm\nk\nm", "u\nt\nv", "t\nu\nw\nv", "u\nw\nt\nv", "w\nu\nv\nt"]
+    extra += ["\n".join(f"z{rng.randrange(9)}" for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    rows = [(r[0], r[1], "s") for r in X.rows()] + [(700 + i, t, "s") for i, t in enumerate(extra)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string").repartition(3)
+    keys = {(r.doc_id, r.text): r.k for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\\N")), "text").alias("k")).collect()}
+    want = brute_all_lines([(r[0], r[1], keys[r[0], r[1]]) for r in rows])
+    monkeypatch.setattr(line_dedup, "HOLDERS", 8)
+    got = line_dedup.dedup_lines(docs).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], want[r[0], r[1], keys[r[0], r[1]]]) for r in rows)
+    assert {r.text for r in got if r.doc_id in (732, 735)} == {""}
