@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import drop_specials
-from ..functions.text import EOS_ID, col_
+from ..functions.text import EOS_ID, N_SPECIAL, col_
 from .ordering import hash_uniform
 
 
@@ -67,22 +67,33 @@ def bytes_to_text(b) -> Column:
     return F.call_function("make_valid_utf8", col_(b).cast("string"))
 
 
+#: The end of hex bytes that starts a character and lacks bytes of it (one U+FFFD when decoded).
+_UNFINISHED = ("(?:C[2-9A-F]|D[0-9A-F]|E[0-9A-F]|F[0-4]|E0[AB][0-9A-F]|E[1-9A-CEF][89AB][0-9A-F]|ED[89][0-9A-F]"
+               "|F0[9AB][0-9A-F]|F[1-3][89AB][0-9A-F]|F48[0-9A-F]|F0[9AB][0-9A-F][89AB][0-9A-F]"
+               "|F[1-3][89AB][0-9A-F][89AB][0-9A-F]|F48[0-9A-F][89AB][0-9A-F])$")
+
+
 def text_deltas(df: DataFrame, vocab_hex: Column, gen: str = "gen_id", step: str = "step",
-                token: str = "token_id", eos_id: int = EOS_ID, max_new: int = 256) -> DataFrame:
+                token: str = "token_id", eos_id: int = EOS_ID, max_new: int | None = None) -> DataFrame:
     """Streamed text pieces of a generation: at each step the new suffix of the decoded
     prefix (Python-slice semantics, so a completed multi-byte character can replace an earlier
-    U+FFFD without being emitted); steps at or after the first EOS and beyond ``max_new`` are
-    cut, and empty pieces are dropped. Windows are per generation and bounded by ``max_new``."""
+    U+FFFD without being emitted); steps at or after the first EOS and, if given, beyond
+    ``max_new`` are cut, and empty pieces are dropped. A step is decoded with the unfinished
+    character before it (at most 3 bytes), so the work is linear in the output size."""
     order = Window.partitionBy(gen).orderBy(step)
-    w = order.rowsBetween(Window.unboundedPreceding, 0)
-    # keep the first max_new steps first: a row_number filter that Spark applies map-side
-    # (window group limit), so a long generation never reaches one task whole
-    ranked = df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_new)
-    eos_at = F.min(F.when(F.col(token) == eos_id, F.col("_n"))).over(Window.partitionBy(gen))
-    live = ranked.withColumn("_eos", eos_at).filter(F.col("_eos").isNull() | (F.col("_n") < F.col("_eos")))
-    text = bytes_to_text(decode_bytes(F.collect_list(token).over(w), vocab_hex))
-    full = live.withColumn("full_text", text)
-    prev = F.coalesce(F.lag("full_text").over(order), F.lit(""))
-    return (full.withColumn("delta", F.substring(F.col("full_text"), F.length(prev) + 1, 1 << 30))
+    if max_new is not None:
+        # keep the first max_new steps first: a row_number filter that Spark applies map-side
+        # (window group limit), so a long generation never reaches one task whole
+        df = df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_new)
+    ended = F.max(F.col(token) == eos_id).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    live = df.withColumn("_ended", ended).filter(~F.coalesce("_ended", F.lit(False)))
+    # steps without bytes emit nothing; each other step has a byte, so three steps are looked back
+    own = live.withColumn("_hex", F.when(F.col(token) >= N_SPECIAL, F.try_element_at(vocab_hex, F.col(token) + 1))).filter(F.col("_hex") != "")
+    before = F.concat(*[F.coalesce(F.lag("_hex", k).over(order), F.lit("")) for k in (3, 2, 1)])
+    held = own.withColumn("_before", before).withColumn("_held", F.when(  # ASCII finishes at once
+        F.substring("_before", -2, 1) >= "8", F.regexp_extract(F.substring("_before", -6, 6), _UNFINISHED, 0)).otherwise(""))
+    text = bytes_to_text(F.unhex(F.concat("_held", "_hex")))
+    skip = F.when(F.col("_held") != "", 2).otherwise(1)
+    return (held.withColumn("delta", F.substring(text, skip, F.lit((1 << 31) - 1)))
             .filter(F.length("delta") > 0)
             .select(gen, step, "delta"))

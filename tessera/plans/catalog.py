@@ -872,11 +872,11 @@ def q_cut_at_eos(spark, sf):
 
 @query("text_deltas")
 def q_text_deltas(spark, sf):
-    # generated tokens: each document's byte symbols, one per step, up to the generation cap of
-    # 256 new tokens (base vocabulary)
+    # generated tokens: each document's byte symbols, one per step (base vocabulary); dealt by
+    # document before they become rows, so that the windows need no shuffle of steps
     model = C.BpeModel.base()
     docs = _t(spark, sf, "documents")
-    gen = D.encode(docs, model, ["doc_id"], max_len=256)
+    gen = D.encode(docs, model, ["doc_id"]).repartition("doc_id")
     steps = gen.select(F.col("doc_id").alias("gen_id"), F.posexplode("ids").alias("step", "token_id"))
     return I.text_deltas(steps, D.vocab_map(model))
 

@@ -5,6 +5,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tessera.functions.timefmt import format_duration
 from tessera.operators import evaluate as H
@@ -121,6 +122,38 @@ def test_text_deltas_vs_bruteforce(spark):
         assert sorted(got.get(r.doc_id, [])) == want
 
 
+def test_text_deltas_of_long_and_malformed_generations(spark):
+    model = C.BpeModel.base()
+    ids = {b[0]: t for t, b in model.vocab.items() if t >= 3}
+    rng = np.random.default_rng(3)
+    edges = [0x41, 0x7F, 0x80, 0x8F, 0x90, 0x9F, 0xA0, 0xBF, 0xC1, 0xC2, 0xDF, 0xE0, 0xE1, 0xEC, 0xED, 0xEF, 0xF0, 0xF1, 0xF3, 0xF4, 0xF5, 0xFF]
+    gens = {0: [ids[b] for b in ("añ日😀" * 60).encode()], 1: [0, *[ids[b] for b in "😀é".encode()], 1, ids[0x41]]}
+    gens |= {g: [ids[b] for b in rng.choice(edges, 400)] for g in range(2, 12)}
+    gens[12] = [t for b in "é日😀".encode() for t in (ids[b], 0, 2)]  # special tokens inside characters
+    steps = spark.createDataFrame([(g, s, int(t)) for g, x in gens.items() for s, t in enumerate(x)], "gen_id long, step int, token_id int")
+    got = {}
+    for r in I.text_deltas(steps.repartition(5), D.vocab_map(model)).collect():
+        got.setdefault(r.gen_id, []).append((r.step, r.delta))
+    for g, x in gens.items():
+        prev, want, data = "", [], b""
+        for s, t in enumerate(x):
+            if t == 1:
+                break
+            data += model.vocab[t] if t >= 3 else b""
+            full = data.decode("utf-8", "replace")
+            if full[len(prev):]:
+                want.append((s, full[len(prev):]))
+            prev = full
+        assert sorted(got.get(g, [])) == want, g
+
+
+def test_text_deltas_query_takes_whole_texts(spark):
+    docs = table(spark, SF_SMALL, "documents").selectExpr("doc_id", "octet_length(text) as n")
+    steps = entry.queries()["text_deltas"](spark, SF_SMALL).groupBy("gen_id").agg(F.max("step").alias("step"))
+    short = docs.join(steps, docs.doc_id == steps.gen_id, "left").where("n > 0 and (step is null or step < n - 4)")
+    assert short.count() == 0
+
+
 def test_metric_value_missing_raises(spark):
     df = spark.createDataFrame([("a", 1.0)], "name string, value double")
     try:
