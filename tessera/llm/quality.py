@@ -107,15 +107,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           sample: int = SAMPLE) -> np.ndarray:
     """Weights fitted on the ``sample`` labelled, not held-out documents with the smallest id hash.
 
-    Ids labelled differently by several rows, null labels and labels other than 0 and 1 are left out. Without any
-    usable row the weights are zero (every score 0.5).
+    Ids labelled differently by several rows, null labels and labels other than 0 and 1 are left out. Of documents with
+    equal ids, the one with the smallest text hash counts. Without any usable row the weights are zero (every score 0.5).
     """
     named = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
     named = named.where((F.col("y").isin(0, 1)) & ~held_out(F.col("id")))
     one = named.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top")
     chosen = one.withColumn("r", F.xxhash64("id")).orderBy("r", "id").limit(sample)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(chosen), "id")  # at most `sample` rows
+    # one row of a repeated id, so that `sample` bounds the documents too
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id", "r", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, "text"):
@@ -135,7 +136,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([fit_weights(rows).tobytes()])], names=["w"])
 
-    # repeated ids may add documents, so the bound is kept on documents too
     table = rows.mapInArrow(vectors, "r long, y int, i array<int>, v array<float>")
     got = table.repartition(1).sortWithinPartitions("r", F.xxhash64("i")).mapInArrow(fit, "w binary").collect()
     return np.frombuffer(got[0]["w"], np.float32) if got else np.zeros((1 << BITS) + 1, np.float32)

@@ -54,6 +54,14 @@ def test_train_without_usable_labels(spark):
     assert {r.score for r in quality.score(X.table(spark), weights).collect()} == {0.5}
 
 
+def test_one_document_of_a_repeated_id_is_learnt(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 13)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, f"word{i % 2} text {i}") for i in range(1, 13)] + [(2, f"other row {k}") for k in range(40)], "doc_id long, text string")
+    once = docs.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    weights = quality.train(once, labels)
+    assert weights.any() and np.array_equal(weights, quality.train(docs.repartition(3), labels))
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
     columns = docs.columns
