@@ -61,7 +61,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("quality", quality_filter), ("lines", line_dedup_stage), ("near_dedup", near_dedup),
           ("mix", mix_sources), ("pack", pack_sequences)]
 
-#: A trained model, component search and tokenisation are beyond SQL; tests compare with brute force.
+#: A trained model, component search and tokenisation are beyond SQL; tests compare operators with brute force, and of the
+#: stages check columns, counts and invariants.
 ORACLE_SQL = None
 
 
