@@ -7,14 +7,11 @@ two-level aggregates (partial aggregation map-side), windows are partitioned by
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import IGNORE_INDEX, col_
-from .ordering import dense_index, running_agg
+from .prefix import StopRule, early_stop_scan, running_agg
 
 
 def _as_double(arr) -> Column:
@@ -82,11 +79,11 @@ def total_loss(ce, aux=None, weight: float = 0.05) -> Column:
 
 
 def running_best(df: DataFrame, value: str, order: str, by: list[str], mode: str = "max",
-                 out: str = "best_so_far", include=None) -> DataFrame:
-    """H6: best value so far per group (``include`` drops e.g. sanity-check rows first).
-    Block-decomposed running aggregate, so one hot run is not a single task."""
+                 out: str = "best_so_far", include=None, keep: list[str] | None = None) -> DataFrame:
+    """H6: best value so far per group (``include`` drops e.g. sanity-check rows first). A prefix scan with
+    carries, so one hot run is not a single task; ``keep`` names the columns to carry along (default: all)."""
     src = df if include is None else df.filter(include)
-    return running_agg(src, value, [order], by, "max" if mode == "max" else "min", out).drop("_pos")
+    return running_agg(src, value, [order], by, "max" if mode == "max" else "min", out, keep=keep)
 
 
 def merge_metrics(train: DataFrame, test: DataFrame, name: str = "name", value: str = "value") -> DataFrame:
@@ -120,9 +117,8 @@ def best_checkpoints(df: DataFrame, k: int, metric: str, order: str, by: list[st
     """H9: the best ``k`` checks per run (``k=-1`` keeps all, ``k=0`` none); NaN ranks last but for
     nulls, and on equal values the earlier check wins. The order is the same for every ``k``.
 
-    Small ``k``: ``row_number() <= k``, limited map-side. ``k=-1`` or a large ``k``: ranks are
-    global dense positions in ``(run, value, check)`` order minus each run's first position
-    (range partitioning splits a hot run; the per-run start is a partial aggregate)."""
+    Small ``k``: ``row_number() <= k``, limited map-side. ``k=-1`` or a large ``k``: ranks are a running
+    count in ``(run, value, check)`` order (a prefix scan, which splits a hot run)."""
     v = F.col(metric).cast("double")
     worst = float("inf") if mode == "min" else float("-inf")
     key = F.when(v.isNull() | F.isnan(v), F.lit(worst)).otherwise(v)
@@ -132,94 +128,36 @@ def best_checkpoints(df: DataFrame, k: int, metric: str, order: str, by: list[st
         ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(missing, ordered, F.col(order).asc())))
         return ranked.filter(F.col(out) <= k)
     asc_key = key if mode == "min" else -key
-    ranked, _ = dense_index(df.withColumn("_key", asc_key).withColumn("_null", missing), [*by, "_null", "_key", order], "_p")
-    starts = ranked.groupBy(*by).agg(F.min("_p").alias("_p0"))
-    res = ranked.join(starts, by).withColumn(out, (F.col("_p") - F.col("_p0") + 1).cast("int")) \
-                .drop("_key", "_null", "_p", "_p0")
+    ranked = running_agg(df.withColumn("_key", asc_key).withColumn("_null", missing), F.lit(1), ["_null", "_key", order], by, "sum", out)
+    res = ranked.withColumn(out, F.col(out).cast("int")).drop("_key", "_null")
     return res if k < 0 else res.filter(F.col(out) <= k)
 
 
+def early_stop(df: DataFrame, value: str, order: str, by: list[str], patience: int = 3, min_delta: float = 0.0, mode: str = "min",
+               check_finite: bool = True, stopping_threshold=None, divergence_threshold=None, partitions: int | None = None) -> DataFrame:
+    """One row per run with ``stop_at`` (the check that stops it, null when it never stops), ``reason`` and ``best`` (the best
+    value held when stopping, null when none improved).
+
+    The accepted best depends on earlier decisions when ``min_delta`` is not zero. A block of a run's checks is summed
+    up as a map from the state that comes in to the state that goes out (see ``prefix.StopSummary``); the maps are folded along
+    the run, so a run holding all rows spreads over tasks. A null value counts as NaN: it stops the run with ``check_finite`` and never
+    improves without; infinities stop with ``check_finite`` and are values like others without."""
+    rule = StopRule(patience, min_delta, mode, check_finite, stopping_threshold, divergence_threshold)
+    return early_stop_scan(df, value, order, by, rule, partitions)
+
+
 def early_stop_points(df: DataFrame, value: str, order: str, by: list[str], patience: int = 3,
                       mode: str = "min", check_finite: bool = True, stopping_threshold=None,
                       divergence_threshold=None) -> DataFrame:
-    """H10 with ``min_delta=0``: one row per run with ``stop_at`` (the check that stops it, null
-    when it never stops), ``reason`` and ``best`` (the best value held when stopping).
-
-    With a zero delta the accepted best is the running best, so every quantity is a running
-    aggregate: best before each check (exclusive running min/max of finite values) and the last
-    improving position (running max). Both are block-decomposed, so a hot run is split across
-    tasks; positions are dense within a run, so checks since the last improvement are a
-    difference of positions. A null value counts as NaN: it stops the run with ``check_finite`` and never improves
-    without; infinities stop with ``check_finite`` and are values like others without. Both forms agree on this."""
-    how = "min" if mode == "min" else "max"
-    v = F.col(value).cast("double")
-    number = F.col("_val").isNotNull() & ~F.isnan(F.col("_val"))
-    finite = number & (F.abs(F.col("_val")) != float("inf")) if check_finite else number
-    better = (lambda a, b: a < b) if mode == "min" else (lambda a, b: a > b)
-    base = df.select(*by, order, v.alias("_val")).withColumn("_ok", finite)
-    steps = running_agg(base, F.when(F.col("_ok"), F.col("_val")), [order], by, how, "_prev", inclusive=False)
-    steps = steps.withColumn("_improved", F.col("_ok") & (F.col("_prev").isNull() | better(F.col("_val"), F.col("_prev"))))
-    last_imp = running_agg(steps.withColumnRenamed("_pos", "_p0"),
-                           F.when(F.col("_improved"), F.col("_p0")), [order], by, "max", "_last")
-    first = last_imp.groupBy(*by).agg(F.min("_pos").alias("_first"))
-    steps = last_imp.join(first, by).withColumn("_wait", F.col("_pos") - F.col("_last")).drop("_p0")
-    steps = steps.withColumn("_since", F.col("_pos") - F.col("_first") + 1)  # checks of a run that never improved
-    reason = F.when(F.lit(check_finite) & ~F.col("_ok"), F.lit("non_finite"))
-    if stopping_threshold is not None:
-        reason = reason.when(F.col("_ok") & better(F.col("_val"), F.lit(float(stopping_threshold))), F.lit("threshold"))
-    if divergence_threshold is not None:
-        reason = reason.when(F.col("_ok") & better(-F.col("_val"), F.lit(-float(divergence_threshold))), F.lit("divergence"))
-    reason = reason.when(F.coalesce(F.col("_wait"), F.col("_since")) >= patience, F.lit("patience"))
-    steps = steps.withColumn("_reason", reason)
-    stop = F.min_by(F.struct(F.col(order).alias("at"), F.col("_reason").alias("why"), F.col("_prev").alias("best")),
-                    F.when(F.col("_reason").isNotNull(), F.col("_pos")))
-    overall = (F.min if mode == "min" else F.max)(F.when(F.col("_ok"), F.col("_val")))
-    agg = steps.groupBy(*by).agg(stop.alias("_s"), overall.alias("_all"))
-    return agg.select(*by, F.col("_s.at").alias("stop_at"), F.col("_s.why").alias("reason"),
-                      F.when(F.col("_s").isNotNull(), F.col("_s.best")).otherwise(F.col("_all")).alias("best"))
+    """H10 with ``min_delta=0``."""
+    return early_stop(df, value, order, by, patience, 0.0, mode, check_finite, stopping_threshold, divergence_threshold)
 
 
 def early_stop_delta(df: DataFrame, value: str, order: str, by: list[str], patience: int = 3,
                      min_delta: float = 0.0, mode: str = "min", check_finite: bool = True,
                      stopping_threshold=None, divergence_threshold=None) -> DataFrame:
-    """H10 for any ``min_delta``: the accepted best depends on earlier decisions, so each run's
-    check sequence (one value per validation, bounded by the epoch count) is scanned in order
-    with ``applyInPandas``."""
-    sign = -1.0 if mode == "min" else 1.0
-    delta = min_delta * sign
-
-    def better(a, b):
-        return a < b if mode == "min" else a > b
-
-    out_schema = ", ".join([f"{b} {dict(df.dtypes)[b]}" for b in by]) + \
-        f", stop_at {dict(df.dtypes)[order]}, reason string, best double"
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        best = math.inf if mode == "min" else -math.inf
-        wait, stop_at, why, improved = 0, None, None, False
-        for at, cur in zip(pdf[order], pdf[value].astype(float)):
-            if check_finite and not math.isfinite(cur):
-                stop_at, why = at, "non_finite"
-                break
-            if stopping_threshold is not None and better(cur, stopping_threshold):
-                stop_at, why = at, "threshold"
-                break
-            if divergence_threshold is not None and better(-cur, -divergence_threshold):
-                stop_at, why = at, "divergence"
-                break
-            if better(cur - delta, best):
-                best, wait, improved = cur, 0, True
-            else:
-                wait += 1
-                if wait >= patience:
-                    stop_at, why = at, "patience"
-                    break
-        row = {b: [pdf[b].iloc[0]] for b in by}
-        row.update({"stop_at": [stop_at], "reason": [why], "best": [best if improved else None]})
-        return pd.DataFrame(row)
-
-    return df.groupBy(*by).applyInPandas(scan, out_schema)
+    """H10 for any ``min_delta``."""
+    return early_stop(df, value, order, by, patience, min_delta, mode, check_finite, stopping_threshold, divergence_threshold)
 
 
 def best_trial(df: DataFrame, metric: str, params: list[str], mode: str = "max") -> DataFrame:

@@ -10,7 +10,7 @@ in-partition row index. Two narrow passes plus one range shuffle; no data-sized
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -26,6 +26,11 @@ def _input_bytes(df: DataFrame) -> int:
     return sum(x for x in sizes if x < 1 << 56)  # unknown sizes are given as the largest long
 
 
+def range_count(df: DataFrame) -> int:
+    """Ranges for ordering ``df``: from the size of the tables read, at least the session's shuffle partitions."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _input_bytes(df) // RANGE_BYTES)
+
+
 def dense_index(df: DataFrame, order_cols: list, out: str = "pos", partitions: int | None = None):
     """Return ``(df + out long, total_rows)``; ``order_cols`` must form a unique key.
 
@@ -33,7 +38,7 @@ def dense_index(df: DataFrame, order_cols: list, out: str = "pos", partitions: i
     shuffle partitions); the offsets are a small joined table, one row per range."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _input_bytes(df) // RANGE_BYTES)
+    n = partitions or range_count(df)
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
     counts = ranged.groupBy(F.spark_partition_id().alias("_di_pid")).count().collect()  # one row per range
     rows, acc = [], 0
@@ -60,35 +65,3 @@ def hash_uniform(seed, *parts) -> "F.Column":
     h = F.conv(F.substring(hash_key(seed, *parts), 1, 13), 16, 10).cast("double")
     return h / float(1 << 52)
 
-
-def running_agg(df: DataFrame, value, order: list, by: list, how: str = "sum", out: str = "running",
-                inclusive: bool = True, block_rows: int = 4096, partitions: int | None = None) -> DataFrame:
-    """Running ``sum``/``max``/``min`` of ``value`` per group ``by`` in ``order`` without putting a
-    hot group in one task.
-
-    Rows get global dense positions by range partitioning on ``(by, order)`` (a group holding a
-    third of all rows is split across partitions), positions are cut into blocks of
-    ``block_rows``, each block is reduced (partial aggregation), a window over the *blocks* of a
-    group gives the value before each block, and a window *inside* each block (at most
-    ``block_rows`` rows) gives the rest. ``inclusive=False`` excludes the current row. The result
-    equals the plain window (null when the frame holds no non-null value). Adds ``out`` and the
-    helper position column ``_pos``."""
-    fn = {"sum": F.sum, "max": F.max, "min": F.min}[how]
-    v = F.col(value) if isinstance(value, str) else value
-    ranked, _ = dense_index(df.withColumn("_ra_v", v), [*by, *order], "_pos", partitions)
-    ranked = ranked.withColumn("_ra_blk", F.floor(F.col("_pos") / block_rows).cast("long"))
-    blocks = ranked.groupBy(*by, "_ra_blk").agg(fn("_ra_v").alias("_ra_bv"))
-    before = Window.partitionBy(*by).orderBy("_ra_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_ra_before", fn("_ra_bv").over(before)).drop("_ra_bv")
-    inside = Window.partitionBy(*by, "_ra_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding,
-                                                                        0 if inclusive else -1)
-    rows = ranked.withColumn("_ra_in", fn("_ra_v").over(inside))
-    joined = rows.join(blocks, [*by, "_ra_blk"])
-    a, b = F.col("_ra_before"), F.col("_ra_in")
-    if how == "sum":
-        comb = F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-    elif how == "max":
-        comb = F.greatest(a, b)
-    else:
-        comb = F.least(a, b)
-    return joined.withColumn(out, comb).drop("_ra_v", "_ra_blk", "_ra_before", "_ra_in")

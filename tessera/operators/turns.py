@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PY_SPACE_CLASS, SPECIAL_TOKENS, col_
-from .ordering import running_agg
+from .prefix import running_agg
 
 # Chat template pieces (rendering with trimmed blocks, as the reference's
 # template engine does). The assistant reply has no newline after its end token.
@@ -105,11 +105,10 @@ def assistant_spans(df: DataFrame, key: str = "conv_id", order: str = "turn", ro
     prompt: the content plus its end token, after the ``<|im_start|>assistant\\n`` header."""
     r = normalize_role(role)
     seg_len = F.length(turn_segment(r, text)).cast("long")
-    # exclusive running sum of segment lengths; block-decomposed so a huge conversation is
-    # spread over tasks instead of one window partition
-    # only lengths travel through the ranking, not the text
+    # exclusive running sum of segment lengths by a prefix scan, so a huge conversation is spread over tasks;
+    # only lengths travel, not the text
     lens = df.select(key, order, r.alias("role"), seg_len.alias("_seg"), F.length(text).cast("long").alias("_len"))
-    rows = running_agg(lens, "_seg", [order], [key], "sum", "_before", inclusive=False).drop("_pos")
+    rows = running_agg(lens, "_seg", [order], [key], "sum", "_before", inclusive=False)
     start = F.coalesce(F.col("_before"), F.lit(0)).cast("long") + len(GENERATION_PROMPT)
     return (rows
             .withColumn("span_start", start)

@@ -714,7 +714,7 @@ _METRIC_LOG = "user_id, event_type, ts, value, event_id"
        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far FROM events")
 def q_best_so_far(spark, sf):
     ev = _t(spark, sf, "events")
-    return H.running_best(ev, "value", "ts", ["user_id", "event_type"], "max").select("event_id", "best_so_far")
+    return H.running_best(ev, "value", "ts", ["user_id", "event_type"], "max", keep=["event_id"]).select("event_id", "best_so_far")
 
 
 _TRAIN_METRICS_SQL = "SELECT 'm_' || event_type AS name, round(avg(value), 6) AS value FROM events GROUP BY event_type"

@@ -1,14 +1,17 @@
 """Operators against brute-force Python on small inputs derived from the driver's tables."""
 
 import math
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tessera.functions.timefmt import format_duration
 from tessera.operators import evaluate as H
+from tessera.operators.prefix import StopRule
 from tessera.operators import routing as J
 from tessera.operators import sampling as I
 from tessera.operators import bpe as C
@@ -72,6 +75,31 @@ def test_early_stop_both_forms_vs_bruteforce(spark):
             assert d[key].reason == why and d[key].stop_at == (pts[i][0] if i is not None else None)
 
 
+@pytest.mark.parametrize("parts", [1, 9])
+def test_early_stop_of_hot_and_odd_runs(spark, parts):
+    """Runs cut into many pieces, every rule, against one check after the other."""
+    rng = random.Random(8)
+    pool = [None, math.nan, math.inf, -math.inf] + [round(rng.uniform(0, 3), 2) for _ in range(40)]
+    rows = [("hot", s, 5 - s * 0.01 + rng.choice([0, 0.3])) for s in range(400)] + [("late", s, 1.0 if s else 0.5) for s in range(60)]
+    rows += [(f"r{k}", s, rng.choice(pool if k % 3 == 0 else pool[4:])) for k in range(40) for s in range(rng.randrange(1, 30))] + [(None, 3, 0.1), (None, 4, 0.2)]
+    df = spark.createDataFrame(rows, "run string, step long, v double").repartition(3)
+    runs = {}
+    for run, step, v in sorted(rows, key=lambda r: r[1]):
+        runs.setdefault(run, []).append((step, math.nan if v is None else v))
+    for mode, delta, patience, check, threshold, diverge in [("min", 0.0, 3, True, None, None), ("min", 0.2, 4, True, None, 2.9), ("max", 0.1, 1, False, 2.95, None),
+                                                             ("min", 0.05, 50, False, None, None), ("max", 0.0, 120, True, None, 0.02), ("min", 0.3, 0, True, 0.02, None)]:
+        rule = StopRule(patience, delta, mode, check, threshold, diverge)
+        want = {}
+        for run, checks in runs.items():
+            state = rule.start()
+            for at, v in checks:
+                state = rule.step(state, at, v)
+            want[run] = (state[3], state[4], state[0] if state[2] else None)
+        found = H.early_stop(df, "v", "step", ["run"], patience, delta, mode, check, threshold, diverge, partitions=parts).collect()
+        assert len(found) == len(runs)
+        assert {r.run: (r.stop_at, r.reason, r.best) for r in found} == want
+
+
 def test_balance_loss_vs_numpy(spark):
     emb = table(spark, SF_SMALL, "embeddings")
     gates = emb.select(F.col("vec_id").alias("token_id"), F.posexplode(F.slice("embedding", 1, 8)).alias("expert_id", "gate"))

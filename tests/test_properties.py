@@ -1,6 +1,9 @@
 """Properties over the driver's tables: lossless pre-tokens, exact splits, shapes, labels,
 independence from partitioning, dense ids equal to a global row_number."""
 
+import random
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -64,30 +67,42 @@ def test_shard_matches_distributed_sampler(spark):
     assert got == want
 
 
-def test_running_agg_equals_window(spark):
-    from tessera.operators.ordering import running_agg
-    ev = table(spark, SF_SMALL, "events")
+@pytest.mark.parametrize("parts", [1, 7])
+def test_running_agg_equals_window(spark, parts):
+    from tessera.operators.prefix import running_agg
+    rng = random.Random(2)
+    odd = [None, float("nan"), float("inf"), float("-inf"), 1.5, -2.0, 0.25]
+    rows = [(i, rng.choice(["a", "b", None]) if i % 3 else "hot", i, rng.choice(odd if i % 2 else odd[4:]), rng.choice([None, 3, -4, 5])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, run string, step long, d double, k int").withColumns({"_value": F.lit(1), "_part": F.lit(2)})
     for how, fn in (("sum", F.sum), ("max", F.max), ("min", F.min)):
         for inclusive in (True, False):
-            got = running_agg(ev, "value", ["ts"], ["user_id", "event_type"], how, "r", inclusive, block_rows=5)
-            w = Window.partitionBy("user_id", "event_type").orderBy("ts") \
-                      .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-            want = ev.withColumn("w", fn("value").over(w))
-            j = got.join(want, "event_id")
-            assert j.count() == ev.count()
-            assert j.filter(~F.equal_null(F.round("r", 6), F.round("w", 6))).count() == 0
+            for value in ("d", "k"):
+                if value == "d" and how == "sum":
+                    src = df.withColumn("d", F.when(F.abs("d") < 10, F.col("d")))
+                else:
+                    src = df
+                got = running_agg(src.select("id", "run", "step", value), value, ["step"], ["run"], how, "r", inclusive, partitions=parts)
+                assert got.columns == ["id", "run", "step", value, "r"]
+                w = Window.partitionBy("run").orderBy("step").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+                want = {r.id: r.w for r in src.withColumn("w", fn(value).over(w)).collect()}
+                found = {r.id: r.r for r in got.collect()}
+                assert found.keys() == want.keys()
+                assert all(str(found[i]) == str(want[i]) for i in want), (how, inclusive, value)
+    assert running_agg(df.limit(0).select("id", "run", "step", "d"), "d", ["step"], ["run"]).count() == 0
 
 
 def test_hot_group_running_best_spreads(spark):
-    """One run holding every row still yields the exact running best, and the work inside a
-    block window never exceeds the block size."""
+    """One run holding every row: exact, one exchange, and the checkpoint holds only wanted columns."""
     from tessera.operators import evaluate as H
     ev = table(spark, SF_SMALL, "events").withColumn("user_id", F.lit(1))
-    got = H.running_best(ev, "value", "ts", ["user_id"], "max")
-    want = ev.withColumn("w", F.max("value").over(Window.partitionBy("user_id").orderBy("ts")
-                                                 .rowsBetween(Window.unboundedPreceding, 0)))
+    got = H.running_best(ev, "value", "ts", ["user_id"], "max", keep=["event_id"])
+    assert got.columns == ["user_id", "ts", "event_id", "best_so_far"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "props" not in plan  # the one exchange is behind the checkpoint
+    assert got.rdd.getNumPartitions() > 1
+    want = ev.withColumn("w", F.max("value").over(Window.partitionBy("user_id").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)))
     j = got.join(want.select("event_id", "w"), "event_id")
-    assert j.filter(F.col("best_so_far") != F.col("w")).count() == 0
+    assert j.count() == ev.count() and j.filter(F.col("best_so_far") != F.col("w")).count() == 0
 
 
 def test_line_ids_across_many_splits(spark):
