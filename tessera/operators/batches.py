@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import dense_index, hash_key
@@ -12,26 +15,66 @@ from .ordering import dense_index, hash_key
 SPLIT_SEED = 42  # fixed value: the reference seeds its split with 42 whatever the run seed is
 
 
+DIGITS = 4  # hex digits of the order key counted at a time: at most 65,536 rows come to the driver
+FEW = 10_000  # rows of the last bucket, whose keys are sorted
+
+
 def _unique(ranked: DataFrame, id_col: str) -> DataFrame:
-    """The ranked ids, or an error when an id is repeated (a position would not belong to one row)."""
-    if ranked.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").take(1):
+    """The ranked ids, or an error when an id is repeated (a position would not belong to one row). Equal ids have equal
+    keys, so they are neighbours in one range: no shuffle is needed to find them."""
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, found = [], False
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column(0)
+                codes = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                found |= bool(np.any(codes[1:] == codes[:-1])) or last == [column[0].as_py()]
+                last = [column[-1].as_py()]
+        yield pa.RecordBatch.from_arrays([pa.array([found])], names=["repeated"])
+
+    if ranked.select(id_col).mapInArrow(repeats, "repeated boolean").filter("repeated").take(1):
         raise ValueError(f"'{id_col}' must be unique")
     return ranked
 
 
-def exact_split(df: DataFrame, id_col: str, rate: float = 0.05, seed: int = SPLIT_SEED,
-                partitions: int | None = None) -> DataFrame:
+def _kth_key(rows: DataFrame, key: Column, id_col: str, choose) -> tuple | None:
+    """(key, id) of the row at position ``choose(n) - 1`` in (key, id) order, n being the number of rows; None where that is negative.
+
+    Selection by digits: count rows by the key's next digits, go on in the bucket that holds the position, and sort only a
+    bucket of ``FEW`` rows. Rows are read a few times and never shuffled. Raises if an id is repeated around the position."""
+    left, prefix = None, ""
+    while True:
+        inside = rows.filter(key.startswith(prefix)) if prefix else rows
+        counts = sorted(map(tuple, inside.groupBy(F.substring(key, len(prefix) + 1, DIGITS)).count().collect()))
+        if left is None:
+            left = choose(sum(c for _, c in counts))
+            if left <= 0:
+                return None
+        for digits, n in counts:
+            if left <= n:
+                break
+            left -= n
+        prefix += digits
+        if n <= FEW or len(prefix) >= 32:
+            break
+    if n > FEW:  # a whole key shared by so many rows
+        raise ValueError(f"'{id_col}' must be unique")
+    last = sorted(map(tuple, rows.filter(key.startswith(prefix)).select(key, id_col).collect()))
+    if len(set(last)) < len(last):
+        raise ValueError(f"'{id_col}' must be unique")
+    return last[left - 1]
+
+
+def exact_split(df: DataFrame, id_col: str, rate: float = 0.05, seed: int = SPLIT_SEED) -> DataFrame:
     """G1: ``val`` holds exactly ``int(n * rate)`` rows, chosen by a seeded hash order.
 
-    Only the ``(hash key, id)`` projection is ranked (range partitioning, per-partition counts);
-    the row at position ``val_len - 1`` is the threshold, and the split itself is a narrow
-    comparison on the input, so the corpus is never shuffled or checkpointed for it."""
+    The row at position ``val_len - 1`` of that order is found by counting hash digits (two or three aggregates of the id
+    column, see ``_kth_key``); the split itself is a narrow comparison on the input, so nothing is shuffled or
+    checkpointed for it. Ids must be unique; repeated ids around the threshold, where they could not be split exactly, raise."""
     key = hash_key(seed, id_col)
-    ranked, n = dense_index(df.select(F.col(id_col), key.alias("_k")), ["_k", id_col], "_pos", partitions)
-    val_len = int(n * rate)
-    if val_len <= 0:
+    thr = _kth_key(df.select(id_col), key, id_col, lambda n: int(n * rate))
+    if thr is None:
         return df.withColumn("split", F.lit("train"))
-    thr = _unique(ranked, id_col).filter(F.col("_pos") == val_len - 1).select("_k", id_col).first()
     in_val = (key < F.lit(thr[0])) | ((key == F.lit(thr[0])) & (F.col(id_col) <= F.lit(thr[1])))
     return df.withColumn("split", F.when(in_val, "val").otherwise("train"))
 

@@ -210,23 +210,6 @@ def q_tokenizer_save_load(spark, sf):
     return back.vocab_df(spark).select(F.col("id").cast("long").alias("id"), F.hex("token_bytes").alias("token_hex"))
 
 
-@query("write_examples_by_split",
-       "WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS k, "
-       "count(*) OVER () AS n FROM documents) "
-       "SELECT CASE WHEN k < floor(n * 0.05) THEN 'val' ELSE 'train' END AS split, CAST(count(*) AS BIGINT) AS n_rows, "
-       "CAST(sum(least(length(text), 0) + 1) AS BIGINT) AS n_files_rows FROM r JOIN documents USING (doc_id) GROUP BY 1")
-def q_write_examples(spark, sf):
-    docs = _t(spark, sf, "documents")
-    split = G.exact_split(docs.select("doc_id", "text"), "doc_id", 0.05, 42)
-    rows = X.pretrain_examples(split, C.BpeModel.base(), max_len=BYTE_MAX_LEN, keep=["split"])
-    ordered = G.assign_batches(G.epoch_order(rows, "doc_id", epoch=0, shuffle=False), 64)
-    path = _scratch(spark, "examples")
-    S.write_examples(ordered, path)
-    back = spark.read.parquet(path)
-    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.count(F.when(F.size("labels") == BYTE_MAX_LEN - 1, 1)).alias("n_files_rows"))
-
-
 # ==========================================================================================
 # B. projections, filters, conversation shaping
 
@@ -587,6 +570,23 @@ def q_limit_first(spark, sf):
     return G.limit_batches(G.assign_batches(_epoch1(spark, sf), 64), 3).select("doc_id", "batch_id")
 
 
+@query("write_examples_by_split",
+       _EPOCH_CTE + ", v AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM s WHERE split = 'val'), "
+       "placed AS (SELECT 'train' AS split, doc_id, pos FROM e UNION ALL SELECT 'val', doc_id, pos FROM v), " +
+       _byte_rows_sql(BYTE_MAX_LEN).removeprefix("WITH ") +
+       "SELECT split, doc_id, CAST(pos AS BIGINT) AS pos, CAST(pos // 64 AS BIGINT) AS batch_id, CAST(n AS BIGINT) AS n_tokens, "
+       f"md5(array_to_string(padded[1:{BYTE_MAX_LEN - 1}], ' ')) AS input_md5, md5(array_to_string(list_transform(range(1, {BYTE_MAX_LEN}), "
+       "lambda i: CASE WHEN i < n THEN padded[i + 1] ELSE -100 END), ' ')) AS labels_md5 FROM placed JOIN p USING (doc_id)")
+def q_write_examples(spark, sf):
+    split = G.exact_split(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id", 0.05, 42)
+    rows = X.pretrain_examples(split, C.BpeModel.base(), max_len=BYTE_MAX_LEN, keep=["split"])
+    path = _scratch(spark, "examples")
+    S.write_epoch(rows, path, "doc_id", epoch=1, seed=42)
+    back = S.read_epoch(spark, path, 64)
+    return back.select("split", "doc_id", "pos", "batch_id", F.col("n_tokens").cast("long").alias("n_tokens"),
+                       F.md5(F.array_join("input_ids", " ")).alias("input_md5"), F.md5(F.array_join("labels", " ")).alias("labels_md5"))
+
+
 @query("epoch_plan",
        _SPLIT_CTE + ", c AS (SELECT count(*) AS n FROM s WHERE split = 'train') "
        "SELECT CAST(n AS BIGINT) AS n_rows, CAST(ceil(n / 16) AS BIGINT) AS batches_per_epoch, "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BOS_ID, EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID
 from ..operators.bpe import BpeModel
+from ..operators.ordering import hash_key, range_count
 from ..operators.turns import KNOWN_ROLES
 
 CONVERSATIONS_SCHEMA = "conversations array<struct<`from`:string,`value`:string>>"
@@ -140,6 +141,34 @@ def write_examples(df: DataFrame, path: str, split: str = "split", batch: str =
     writer.parquet(path)
 
 
+def write_epoch(df: DataFrame, path: str, id_col: str, epoch: int, seed: int = 42, split: str = "split", mode: str = "overwrite",
+                partitions: int | None = None) -> None:
+    """A7 with G3: training rows written once in the epoch's order, one folder per split.
+
+    ``train`` rows follow the epoch's hash order, other splits that of their ids. The rows are exchanged once, by range of (split, order);
+    no position is computed or joined, since a row's place is its place in the files (see ``read_epoch``)."""
+    key = F.when(F.col(split) == "train", hash_key(seed, F.lit(epoch), id_col))
+    rows = df.withColumn("_order", key)
+    order = [split, "_order", id_col]
+    out = rows.repartitionByRange(partitions or range_count(df), *order).sortWithinPartitions(*order).drop("_order")
+    out.write.mode(mode).partitionBy(split).parquet(path)
+
+
+def read_epoch(spark: SparkSession, path: str, size: int, split: str = "split", pos: str = "pos", batch: str = "batch_id") -> DataFrame:
+    """Rows of ``write_epoch`` with their place in their split and their batch.
+
+    File numbers ascend with the order, so a place is the rows of the split's earlier files plus the row's index in its
+    file: one count a file, from the footers, joined as a table of one row a file."""
+    rows = spark.read.parquet(path)
+    rows = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    number = lambda pattern: F.regexp_extract("_file", pattern, 1).cast("int")
+    files = rows.groupBy(split, "_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(split).orderBy(number(r"part-(\d+)-[^/]*$"), number(r"[.-]c(\d+)[^/]*$")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = rows.join(F.broadcast(starts), "_file").withColumn(pos, F.col("_start") + F.col("_row"))
+    return placed.withColumn(batch, F.expr(f"{pos} div {int(size)}")).drop("_file", "_row", "_start")
+
+
 def write_metrics(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Metrics as CSV with a header."""
     df.write.mode(mode).option("header", True).csv(path)

@@ -61,3 +61,45 @@ def test_tokenizer_training_reads_only_text_and_bounds_lines(spark):
     docs = table(spark, SF_SMALL, "documents").filter("doc_id < 2000000")
     scan = [l for l in _plan(C.word_counts(docs)).splitlines() if "FileScan parquet" in l][0]
     assert "LessThan(doc_id,2000000)" in scan and "n_chars" not in scan
+
+
+def test_split_and_epoch_layout_exchange_rows_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import batches as G
+    from tessera.sources import io as S
+    split = G.exact_split(table(spark, SF_SMALL, "documents").select("doc_id", "text"), "doc_id", 0.1, 42)
+    assert "Exchange" not in _plan(split)
+    S.write_epoch(split, str(tmp_path / "e"), "doc_id", epoch=3, partitions=5)
+    back = S.read_epoch(spark, str(tmp_path / "e"), 16)
+    assert "SinglePartition" not in _plan(back) and "SortMergeJoin" not in _plan(back)
+    rows = back.collect()
+    want = {r.doc_id: (r.split, r.text) for r in split.collect()}
+    assert {r.doc_id: (r.split, r.text) for r in rows} == want and len(rows) == len(want)
+    ranked = G.epoch_order(G.split_view(split, "train"), "doc_id", epoch=3).collect()
+    assert {r.doc_id: r.pos for r in rows if r.split == "train"} == {r.doc_id: r.pos for r in ranked}
+    val = sorted(r.doc_id for r in rows if r.split == "val")
+    assert {r.doc_id: r.pos for r in rows if r.split == "val"} == {d: i for i, d in enumerate(val)}
+    assert all(r.batch_id == r.pos // 16 for r in rows)
+    # several files a task, numbered after each other
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        S.write_epoch(split, str(tmp_path / "f"), "doc_id", epoch=3, partitions=3)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert {r.doc_id: r.pos for r in S.read_epoch(spark, str(tmp_path / "f"), 16).collect()} == {r.doc_id: r.pos for r in rows}
+    assert split.agg(F.count_if(F.col("split") == "val")).first()[0] == int(len(rows) * 0.1)
+
+
+def test_exact_split_of_deep_buckets(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import batches as G
+    monkeypatch.setattr(G, "FEW", 3)
+    monkeypatch.setattr(G, "DIGITS", 1)
+    df = spark.range(3000).withColumnRenamed("id", "doc_id")
+    for rate in (0.0, 0.0004, 0.05, 0.5, 0.9999, 1.0):
+        split = G.exact_split(df, "doc_id", rate, 7)
+        order = [r.doc_id for r in df.orderBy(F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string")))).collect()]
+        assert {r.doc_id for r in split.collect() if r.split == "val"} == set(order[:int(3000 * rate)])
+    assert G.exact_split(df.limit(0), "doc_id", 0.5).count() == 0

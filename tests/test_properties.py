@@ -27,7 +27,7 @@ def test_exact_split_sizes_and_disjoint(spark):
     s = G.exact_split(docs, "doc_id", 0.05, 42)
     counts = dict(s.groupBy("split").count().collect())
     assert counts == {"val": 50, "train": 950}
-    s2 = G.exact_split(docs.repartition(7), "doc_id", 0.05, 42, partitions=3)
+    s2 = G.exact_split(docs.repartition(7), "doc_id", 0.05, 42)
     assert sorted(r.doc_id for r in s.filter("split = 'val'").collect()) == \
         sorted(r.doc_id for r in s2.filter("split = 'val'").collect())
 
