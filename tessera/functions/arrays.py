@@ -19,6 +19,13 @@ def pad(ids, max_len: int, pad_id: int = PAD_ID) -> Column:
     return F.concat(c, F.array_repeat(F.lit(pad_id), F.greatest(F.lit(max_len) - F.size(c), F.lit(0))))
 
 
+def attention_mask(ids, max_len: int) -> Column:
+    """1 for each id, 0 for each place that ``pad`` fills, by place and not by id: the pad id is
+    also the end token's (input must already be truncated)."""
+    n = F.least(F.size(col_(ids)), F.lit(max_len))
+    return F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(max_len) - n))
+
+
 def supervised_count(labels, ignore: int = IGNORE_INDEX) -> Column:
     """E5: number of labels that enter the loss."""
     return F.size(F.filter(col_(labels), lambda x: x != ignore))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from chat_cases import CHAT_CASES, TEXT_CASES, library_pretrain_row, library_sft_row
 from conftest import SF_SMALL
+from tessera.sources.io import tokenizer_json
+from tessera.functions.text import SPECIAL_TOKENS
 from tessera.functions.text import BYTE_ORDER
 from tessera.operators import encode as D
 from tessera.operators import examples as X
@@ -114,3 +116,19 @@ def test_dictionary_strategy_equals_narrow(spark, trained):
     c = {r.doc_id: list(r.labels) for r in X.pretrain_examples(docs, model, 96).collect()}
     d = {r.doc_id: list(r.labels) for r in X.pretrain_examples(docs, model, 96, strategy="dictionary").collect()}
     assert c == d
+
+
+def test_vocabulary_of_a_thousand_equals_library(spark, trained):
+    from conftest import SF_SMALL
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
+
+    from tessera.operators import bpe
+    from tessera.session import table
+    docs = table(spark, SF_SMALL, "documents")
+    model = bpe.train_tokenizer(docs, vocab_size=1000)
+    tok = Tokenizer(models.BPE(unk_token=SPECIAL_TOKENS[2]))
+    tok.pre_tokenizer, tok.normalizer = pre_tokenizers.ByteLevel(add_prefix_space=False), normalizers.NFKC()
+    trainer = trainers.BpeTrainer(vocab_size=1000, min_frequency=2, special_tokens=SPECIAL_TOKENS, initial_alphabet=pre_tokenizers.ByteLevel.alphabet())
+    tok.train_from_iterator([r.text for r in docs.orderBy("doc_id").collect()], trainer)
+    shown = tokenizer_json(model)
+    assert json.loads(shown)["model"]["vocab"] == tok.get_vocab()
