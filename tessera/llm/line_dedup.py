@@ -17,10 +17,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_names
 
 HOLDERS = 1 << 12  # holders of a line that one task compares with the documents where the line is left
 
@@ -69,11 +69,9 @@ def patience(first: list[int], later: list[int]) -> list[int]:
     return aligned
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns _id, _key (one for equal id and text) and _text."""
-    text = F.col(text_col).cast("string")
-    return docs.withColumns({"_id": F.col(id_col).cast("long"), "_text": text,
-                             "_key": F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("\\N")), text)})
+def _key(id_col: str, text_col: str) -> Column:
+    """One number for equal id and text."""
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("\\N")), F.col(text_col).cast("string"))
 
 
 def _most(own: DataFrame, rare_share: float | None, rare_least: int | None) -> int:
@@ -159,7 +157,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     With ``rare_share`` or ``rare_least``, documents are paired with first holders of rare lines only: those in at most
     that share of all different texts or that many (copies of a text count once).
     """
-    src = _keyed(docs, id_col, text_col).select("_id", "_key", "_text", F.xxhash64("_text").alias("_t"))
+    body = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("_id"), _key(id_col, text_col).alias("_key"), body.alias("_text"), F.xxhash64(body).alias("_t"))
     lines = src.select("_id", "_key", "_t", F.posexplode(F.split("_text", "\n", -1)).alias("pos", "line"))
     own = cut(lines.where("line rlike '\\\\S'").groupBy("_id", "_key", "_t", F.xxhash64("line").alias("line"))
               .agg(F.array_sort(F.collect_set("pos")).alias("pos")))  # places of one line in one document
@@ -193,15 +192,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     in id and text are one document, each returned. Blank lines are never matched or deleted; null texts stay null with no
     lines (n_lines 0), an empty text has one. Existing n_lines and n_removed columns are replaced. An empty table gives none.
     """
-    rows = _keyed(docs.drop("n_lines", "n_removed"), id_col, text_col)
-    gone = removed_lines(docs, id_col, text_col, rare_share, rare_least)
-    joined = rows.join(gone, "_key", "left")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
+    key, body, lines = free_names(rows, "_key", "_text", "_lines")
+    gone = removed_lines(docs, id_col, text_col, rare_share, rare_least).select(F.col("_key").alias(key), F.col("lines").alias(lines))
+    joined = rows.withColumns({key: _key(id_col, text_col), body: F.col(text_col).cast("string")}).join(gone, key, "left")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts = batch.column("_text").to_pylist(), []
-            removed = batch.column("lines")
+            texts, counts = batch.column(body).to_pylist(), []
+            removed = batch.column(lines)
             sizes = [len(x) if x is not None else 0 for x in removed.to_pylist()] if removed.null_count < len(removed) else [0] * len(removed)
             for i, text in enumerate(texts):
                 if text is None:
@@ -217,5 +217,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     types = {f.name: "string" if f.name == text_col else f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", n_lines long, n_removed long"
-    wanted = [F.col(f"`{c}`") for c in kept] + [F.col("_text"), F.col("lines")]
+    wanted = [F.col(f"`{c}`") for c in kept] + [F.col(body), F.col(lines)]
     return joined.select(*wanted).mapInArrow(rebuild, schema)

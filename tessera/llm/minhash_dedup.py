@@ -9,10 +9,15 @@ that meet have their collisions counted on the whole signatures; those with ``ma
 confirmed on the full shingle sets.
 
 Whole lists are never expanded into pairs. First each list is merged against one pivot (the set
-with most copies). Afterwards the sets that met one pivot form a group, and only groups that still hold several components are
-compared: sets outside the largest component against the members of other components, in pieces dealt over tasks, which give
+with most copies), and each set is confirmed with the pivot whose signature is most like its own. Afterwards the sets that met one pivot
+form a group, and only groups that still hold several components are compared: sets outside the largest component against
+the members of other components, in pieces dealt over tasks. First on signatures alone: each set is confirmed with the member
+most like it, until that finds no new link. What then still matches in signature is compared on full sets inside tasks, which give
 back confirmed links only. A pair inside one component needs no link, so the components lose none.
 
+Texts are fetched once: those of sets that share a posting value with others are written to one table, by which all
+confirmations are served.
+
 With 48 coordinates and 20 matches a pair at similarity 0.75 is missed with probability 2e-7.
 """
 
@@ -26,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import cut, is_empty
+from .common import cut, discard, free_names, is_empty, written
 from .components import components
 
 COORDINATES = 48
 MATCHES = 20
 PIECE = 1 << 19  # shingles of one piece of a group; a task compares two pieces at a time
+SEEN = 1 << 16  # (id, text hash) that a task remembers, so as to send a repeated row once
+ROUNDS = 3  # of best matches, before what is left is compared on full sets
 
 
 def _known_id(name: str = "doc_id"):
@@ -112,102 +119,60 @@ def _prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     return own.select("node", F.explode(F.expr(f"slice(p, 1, size(p) - {matches} + 1)")).alias("e")).select("e.key", "node")
 
 
-def _sizes_fit(a: str, b: str) -> str:
-    """The smaller set must hold 75 per cent of the larger for a similarity of 0.75."""
-    return f"100 * least({a}, {b}) >= 75 * greatest({a}, {b})"
+def _texts(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, text) of every set in ``groups``: the only pass over the texts after hashing."""
+    wanted = groups.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
+    rows = docs.select(_known_id().alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            kept = []
+            for i, key in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist())):
+                if key not in seen:
+                    kept.append(i)
+                    seen.add(key)
+            if len(seen) > SEEN:
+                seen.clear()
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    sent = rows.mapInArrow(once, "doc_id long, text string, text_hash long")
+    return sent.join(wanted, ["doc_id", "text_hash"]).select("node", "text")
 
 
-def _collisions(pairs: DataFrame, nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """Pairs whose whole signatures agree in ``matches`` coordinates or more, with their documents."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"),
-                                  F.col("doc_id").alias(f"doc_{x}"), F.col("text_hash").alias(f"hash_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit("n_a", "n_b"))
+def _best_pivots(groups: DataFrame, nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """(p, node): of the pivots that a set meets, the one whose whole signature agrees most, in ``matches`` coordinates or more."""
+    side = lambda x, y: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{y}"), F.col("sig").alias(f"sig_{y}"))
+    both = groups.where("p != node").join(side("p", "a"), "p").join(side("node", "b"), "node")
+    both = both.where("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
 
     def run(batches):
         for batch in batches:
             x, y = (np.frombuffer(K.text_bytes_of(batch.column(c)), np.uint32).reshape(-1, coordinates) for c in ("sig_a", "sig_b"))
-            hit = np.flatnonzero((x == y).sum(1) >= matches)
+            same = (x == y).sum(1)
+            hit = np.flatnonzero(same >= matches)
             if len(hit):
-                yield batch.select(["a", "b", "doc_a", "hash_a", "doc_b", "hash_b"]).take(pa.array(hit))
+                at = pa.array(hit)
+                yield pa.RecordBatch.from_arrays([batch.column("p").take(at), batch.column("node").take(at), pa.array(same[hit].astype(np.int32))], names=["p", "node", "hits"])
 
-    return both.mapInArrow(run, "a long, b long, doc_a long, hash_a long, doc_b long, hash_b long")
+    found = both.select("p", "node", "sig_a", "sig_b").mapInArrow(run, "p long, node long, hits int")
+    return found.groupBy("node").agg(F.max(F.struct("hits", "p")).getField("p").alias("p")).select("p", "node")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= 75 * union of the full shingle sets."""
-    one = docs.select(_known_id().alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    with_a = pairs.join(one.select(F.col("doc_id").alias("doc_a"), F.col("text_hash").alias("hash_a"), F.col("text").alias("text_a")),
-                        ["doc_a", "hash_a"])
-    both = with_a.join(one.select(F.col("doc_id").alias("doc_b"), F.col("text_hash").alias("hash_b"), F.col("text").alias("text_b")),
-                       ["doc_b", "hash_b"]).select("a", "b", "text_a", "text_b")
+def _pieces(n: str) -> str:
+    return f"cast(greatest(1, ceil({n} / {PIECE})) as int)"
 
-    def run(batches):
-        for batch in K.slices(batches, "text_a", K.BLOCK // 2):
-            va, oa = K.shingles(*K.text_bytes(batch.column("text_a")), words)
-            vb, ob = K.shingles(*K.text_bytes(batch.column("text_b")), words)
-            hit = []
-            for i in range(batch.num_rows):
-                x, y = va[oa[i]:oa[i + 1]], vb[ob[i]:ob[i + 1]]
-                inter = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * inter >= 75 * (len(x) + len(y) - inter) and inter:
-                    hit.append(i)
-            if hit:
-                yield batch.select(["a", "b"]).take(pa.array(hit))
-
-    return both.mapInArrow(run, "a long, b long").distinct()
-
-
-def _rest(groups: DataFrame, nodes: DataFrame, label: DataFrame, docs: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
-    """Confirmed links between different components that still share a pivot.
-
-    ``groups`` (p, node) holds the sets that meet a pivot in some list, itself included. Of a group, sets outside its largest
-    component ask the members of other components. Both are dealt into pieces of ``PIECE`` shingles, so a group
-    of any size spreads over tasks, which hold two pieces. Collisions are counted on the signatures, survivors confirmed on the full
-    sets, and one link for each asking set and component is given back.
-    """
-    known = groups.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).join(nodes.select("node", "n"), "node")
-    per = known.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-    open_ = per.groupBy("p").agg(F.count(F.lit(1)).alias("cs"), F.sum("n").alias("all"), F.max(F.struct("k", "c", "n")).alias("top")).where("cs > 1")
-    open_ = open_.select("p", F.col("top.c").alias("main"), F.expr(f"cast(ceil(all / {PIECE}) as int)").alias("mp"),
-                         F.expr(f"cast(greatest(1, ceil((all - top.n) / {PIECE})) as int)").alias("ap"))
-    text = docs.select(_known_id().alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    rows = (known.drop("n").join(open_, "p").join(nodes.select("node", "n", "doc_id", "text_hash", "sig"), "node")
-            .join(text, ["doc_id", "text_hash"]))
-    own = lambda n: F.expr(f"cast(pmod(xxhash64(node), {n}) as int)")
-    to = ["p", "i", "j", "asks", "node", "c", "n", "sig", "text"]
-    members = rows.withColumns({"i": own("mp"), "j": F.explode(F.expr("sequence(0, ap - 1)")), "asks": F.lit(False)}).select(*to)
-    asks = rows.where("c != main").withColumns({"j": own("ap"), "i": F.explode(F.expr("sequence(0, mp - 1)")), "asks": F.lit(True)}).select(*to)
-
-    def compare(batches):
-        """Rows come sorted by (p, i, j): one pair of pieces is held at a time."""
-        def links(table: pa.Table):
-            table = table.combine_chunks()
-            column = lambda x: table.column(x).chunk(0)
-            sig = np.frombuffer(K.text_bytes_of(column("sig")), np.uint32).reshape(-1, coordinates)
-            node, c, n = (column(x).to_numpy() for x in ("node", "c", "n"))
-            ask = column("asks").to_numpy(zero_copy_only=False)
-            who, others = np.flatnonzero(ask), np.flatnonzero(~ask)
-            values, off = None, None
-            found = []
-            for i in who:
-                o = others[(c[others] != c[i]) & (100 * np.minimum(n[others], n[i]) >= 75 * np.maximum(n[others], n[i]))]
-                o = o[(sig[o] == sig[i]).sum(1) >= matches]
-                if not len(o):
-                    continue
-                if values is None:
-                    values, off = K.shingles(*K.text_bytes(column("text")), words)
-                size = off[o + 1] - off[o]
-                at = np.repeat(off[o] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                mine = values[off[i]:off[i + 1]]
-                place = np.minimum(np.searchsorted(mine, values[at]), len(mine) - 1)
-                inter = np.bincount(np.repeat(np.arange(len(o)), size), mine[place] == values[at], len(o)).astype(np.int64)
-                o = o[100 * inter >= 75 * (size + len(mine) - inter)]
-                o = o[np.unique(c[o], return_index=True)[1]]
-                found += [(int(node[i]), int(x)) for x in node[o]]
-            if found:
-                a, b = np.array(found, np.int64).T
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
+def _own_piece(n: str):
+    return F.expr(f"cast(pmod(xxhash64(node), {n}) as int)")
+
+
+_DEALT = ["p", "i", "j", "asks", "node", "c", "n", "sig"]
+
+
+def _in_pieces(rows: DataFrame, run, schema: str) -> DataFrame:
+    """Rows dealt by (p, i, j); ``run(table)`` gets the rows of one pair of pieces at a time."""
+    def stream(batches):
         held, at = [], None
         for batch in batches:
             keys = [batch.column(x).to_numpy() for x in ("p", "i", "j")]
@@ -216,15 +181,126 @@ def _rest(groups: DataFrame, nodes: DataFrame, label: DataFrame, docs: DataFrame
             for x, y in zip(cuts, cuts[1:]):
                 now = tuple(int(k[x]) for k in keys) if y > x else at
                 if held and now != at:
-                    yield from links(pa.Table.from_batches(held))
+                    yield from run(pa.Table.from_batches(held))
                     held = []
                 held.append(batch.slice(x, y - x))
                 at = now
         if held:
-            yield from links(pa.Table.from_batches(held))
-
-    dealt = members.unionByName(asks).repartition("p", "i", "j").sortWithinPartitions("p", "i", "j")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+            yield from run(pa.Table.from_batches(held))
+
+    return rows.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j").mapInArrow(stream, schema)
+
+
+def _alike(table: pa.Table, coordinates: int, matches: int):
+    """(ask, others, hits) by row number: members of other components whose size and signature allow a link."""
+    column = lambda x: table.column(x).chunk(0)
+    sig = np.frombuffer(K.text_bytes_of(column("sig")), np.uint32).reshape(-1, coordinates)
+    c, n = (column(x).to_numpy() for x in ("c", "n"))
+    ask = column("asks").to_numpy(zero_copy_only=False)
+    others = np.flatnonzero(~ask)
+    for i in np.flatnonzero(ask):
+        o = others[(c[others] != c[i]) & (100 * np.minimum(n[others], n[i]) >= 75 * np.maximum(n[others], n[i]))]
+        hits = (sig[o] == sig[i]).sum(1)
+        if len(o := o[kept := hits >= matches]):
+            yield i, o, hits[kept]
+
+
+def _links(rows: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
+    """(a, b) confirmed on full sets, 100 * intersection >= 75 * union: of each asking row, one link to each component."""
+    def run(table):
+        table = table.combine_chunks()
+        node, c = (table.column(x).chunk(0).to_numpy() for x in ("node", "c"))
+        values = off = None
+        found = []
+        for i, o, _ in _alike(table, coordinates, matches):
+            if values is None:
+                values, off = K.shingles(*K.text_bytes(table.column("text").chunk(0)), words)
+            size = off[o + 1] - off[o]
+            at = np.repeat(off[o] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            mine = values[off[i]:off[i + 1]]
+            place = np.minimum(np.searchsorted(mine, values[at]), len(mine) - 1)
+            inter = np.bincount(np.repeat(np.arange(len(o)), size), mine[place] == values[at], len(o)).astype(np.int64)
+            o = o[100 * inter >= 75 * (size + len(mine) - inter)]
+            o = o[np.unique(c[o], return_index=True)[1]]
+            found += [(int(node[i]), int(x)) for x in node[o]]
+        if found:
+            a, b = np.array(found, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    return _in_pieces(rows, run, "a long, b long").distinct()
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
+    """Links among the pairs (p, node). The sets of one p are dealt in pieces, each with a copy of p."""
+    own = nodes.select("node", "n", "sig").join(texts, "node")
+    sized = pairs.join(nodes.select("node", "n"), "node")
+    pieces = sized.groupBy("p").agg(F.expr(_pieces("sum(n)")).alias("mp"))
+    members = (pairs.join(pieces, "p").join(own, "node")
+               .withColumns({"i": _own_piece("mp"), "j": F.lit(0), "asks": F.lit(False), "c": F.col("node")}).select(*_DEALT, "text"))
+    asks = (pieces.withColumn("node", F.col("p")).join(own, "node").withColumn("i", F.explode(F.expr("sequence(0, mp - 1)")))
+            .withColumns({"j": F.lit(0), "asks": F.lit(True), "c": F.col("node")}).select(*_DEALT, "text"))
+    return _links(members.unionByName(asks), words, coordinates, matches)
+
+
+def _dealt(rows: DataFrame, more: list[str]) -> DataFrame:
+    """Rows (p, node, c, n, sig) of groups with several components, as asking rows (outside the group's largest component) and
+    members, in pieces of ``PIECE`` shingles: every asking piece meets every member piece."""
+    per = rows.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    open_ = per.groupBy("p").agg(F.count(F.lit(1)).alias("cs"), F.sum("n").alias("all"), F.max(F.struct("k", "c", "n")).alias("top")).where("cs > 1")
+    open_ = open_.select("p", F.col("top.c").alias("main"), F.expr(_pieces("all")).alias("mp"), F.expr(_pieces("all - top.n")).alias("ap"))
+    rows = rows.join(open_, "p")
+    members = rows.withColumns({"i": _own_piece("mp"), "j": F.explode(F.expr("sequence(0, ap - 1)")), "asks": F.lit(False)})
+    asks = rows.where("c != main").withColumns({"j": _own_piece("ap"), "i": F.explode(F.expr("sequence(0, mp - 1)")), "asks": F.lit(True)})
+    return members.select(*_DEALT, *more).unionByName(asks.select(*_DEALT, *more))
+
+
+def _open_rows(groups: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
+    known = groups.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    return known.join(nodes.select("node", "n", "sig"), "node")
+
+
+def _matches(rows: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """(p, node, best, hits): rows that match one of another component in signature; asking rows with the member most like them."""
+    def run(table):
+        table = table.combine_chunks()
+        node, p = table.column("node").chunk(0).to_numpy(), table.column("p").chunk(0)[0].as_py()
+        met, found = np.zeros(len(node), bool), []
+        for i, o, hits in _alike(table, coordinates, matches):
+            met[o] = True
+            k = int(np.argmax(hits))
+            found.append((int(node[i]), int(node[o[k]]), int(hits[k])))
+        found += [(int(x), None, None) for x in node[met]]
+        if found:
+            columns = list(zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array([p] * len(found), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32())))],
+                                             names=["p", "node", "best", "hits"])
+
+    return _in_pieces(_dealt(rows, []), run, "p long, node long, best long, hits int").distinct()
+
+
+def _components_of(groups: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
+    """(node, component) of all sets with a link."""
+    check = lambda pairs: cut(_confirmed(pairs, nodes, texts, words, coordinates, matches))
+    links = check(_best_pivots(groups, nodes, coordinates, matches))
+    label = components(links)
+    for last in (*(False,) * ROUNDS, True):
+        rows = _open_rows(groups, nodes, label)
+        met = cut(_matches(rows, coordinates, matches))
+        if is_empty(met):
+            break
+        if not last:
+            pairs = met.where("best is not null").groupBy("node").agg(F.max(F.struct("hits", "best")).getField("best").alias("p")).select("p", "node")
+            more = check(pairs)
+            if not is_empty(more):
+                links = cut(links.unionByName(more))
+                label = components(links)
+                continue
+        left = rows.join(met.select("p", "node").distinct(), ["p", "node"]).join(texts, "node")
+        more = cut(_links(_dealt(left, ["text"]), words, coordinates, matches))
+        if not is_empty(more):
+            label = components(links.unionByName(more))
+        break
+    return cut(label)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -248,17 +324,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .select("k1", "k2", "first_id", "copies", "n", "r.doc_id", "r.text_hash", "r.sig")
                 .withColumn("node", F.monotonically_increasing_id()))
     prefixes = cut(_prefixes(nodes, coordinates, matches))
-    # first merge: every list against its pivot, the set with most copies
+    # every list is merged against its pivot, the set with most copies
     ranked = prefixes.join(nodes.select("node", "copies"), "node")
     pivots = ranked.groupBy("key").agg(F.max(F.struct("copies", "node")).getField("node").alias("p"))
     groups = cut(prefixes.join(pivots, "key").select("p", "node").distinct())
-    stars = groups.where("p != node").select(F.greatest("p", "node").alias("a"), F.least("p", "node").alias("b")).distinct()
-    links = cut(_confirmed(_collisions(stars, nodes, coordinates, matches), src, words))
-    label = components(links)
-    # then whatever different components still meet
-    more = cut(_rest(groups, nodes, label, src, words, coordinates, matches))
-    if not is_empty(more):
-        label = components(links.unionByName(more))
+    texts, path = written(_texts(src, nodes, groups), "texts")
+    label = _components_of(groups, nodes, texts, words, coordinates, matches)
+    discard(docs.sparkSession, path)
     named = nodes.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
     lowest = named.groupBy("c").agg(F.min("first_id").alias("lowest"))
     by_set = named.join(lowest, "c").select("k1", "k2", "lowest")
@@ -272,16 +344,22 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The documents with one row of each near-duplicate group (all columns as they came).
 
     The row with the group's smallest id stays; of repeated rows with that id one, chosen by the
-    smallest text hash, so exactly one row of a group survives. Documents without words all stay.
+    smallest text hash, so exactly one row of a group survives. Documents without words all stay. What goes is decided on ids and
+    hashes; texts travel once, to be joined with that. Columns may have any names; an empty table gives none.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    keep = (found.where("n_shingles > 0").groupBy(F.col("component_id").alias("_c"))
-            .agg(F.min(F.when(F.col("kept"), F.struct("doc_id", "text_hash"))).alias("_r"))
-            .select(F.col("_r.doc_id").alias("_id"), F.col("_r.text_hash").alias("_h"), F.lit(True).alias("_one")))
-    empty = (found.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.lit(False).alias("_one")).distinct())
-    names = docs.columns
-    rows = docs.select("*", F.xxhash64(F.col(text_col).cast("string")).alias("_h2"))
-    hit = rows.join(keep.unionByName(empty), F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_h2") == F.col("_h")))
-    many = hit.where("not _one").select(*names)
-    one = hit.where("_one").dropDuplicates([*dict.fromkeys([id_col]), "_h2"]).select(*names)
-    return one.unionByName(many)
+    found = cut(near_duplicates(docs, id_col, text_col, **options).where("n_shingles > 0"))
+    stays = found.groupBy("component_id").agg(F.min(F.when(F.col("kept"), F.struct("doc_id", "text_hash"))).alias("r"))
+    each = found.groupBy("doc_id", "text_hash", "component_id").agg(F.count(F.lit(1)).alias("n")).join(
+        stays.withColumnRenamed("component_id", "c"), F.col("component_id").eqNullSafe(F.col("c")))
+    one = F.col("doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("text_hash").eqNullSafe(F.col("r.text_hash"))
+    ident, text_hash, i, h = free_names(docs, "_id", "_hash", "_i", "_h")
+    # ids and hashes of rows that go, and of rows that stay once though they came several times
+    fate = cut(each.where(~one | (F.col("n") > 1)).select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), one.alias("once")))
+    rows = docs.withColumns({ident: F.col(f"`{id_col}`").cast("long"), text_hash: F.xxhash64(F.col(f"`{text_col}`").cast("string"))})
+    same = F.col(ident).eqNullSafe(F.col(i)) & (F.col(text_hash) == F.col(h))
+    kept = rows.join(fate.select(i, h), same, "left_anti").drop(ident, text_hash)
+    repeated = fate.where("once").select(i, h)
+    if is_empty(repeated):
+        return kept
+    once = rows.join(repeated, same).drop(i, h).dropDuplicates([ident, text_hash]).drop(ident, text_hash)
+    return kept.unionByName(once)

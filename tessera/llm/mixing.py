@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 BROADCAST_SOURCES = 20_000  # rates of so many sources at most are broadcast; more are joined by shuffle
 MEAN_AT_ONCE = 500  # larger means are sums of equal parts, so that exp(-mean) stays in range
 
@@ -70,10 +72,11 @@ def mix(docs: DataFrame, seed: int = 11, id_col: str = "doc_id", source_col: str
     """
     rows = docs.drop("_rate", "_copy", "_mix_key")
     rates = target_rates(rows, source_col, text_col, weights, temperature, total)
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
+    source, n = free_names(rows, "_source", "_n")
+    rates = rates.select(F.col("source").alias(source), F.col("rate").alias("_rate"))
     few = rows.agg(F.approx_count_distinct(source_col)).first()[0] <= BROADCAST_SOURCES // 2
-    named = rows.join(F.broadcast(rates) if few else rates, F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
+    named = rows.join(F.broadcast(rates) if few else rates, F.col(source_col).eqNullSafe(F.col(source))).drop(source)
     count = poisson(F.col("_rate"), F.lit(seed), F.col(id_col))
-    drawn = named.withColumn("_n", count).where("_n > 0").withColumn("_copy", F.explode(F.expr("sequence(0, _n - 1)"))).drop("_n")
+    drawn = named.withColumn(n, count).where(F.col(n) > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(n)
     key = F.md5(F.concat_ws("|", F.lit("place"), F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("\\N")), F.col("_copy").cast("string")))
     return drawn.withColumn("_mix_key", key).repartition(F.col("_mix_key")).sortWithinPartitions("_mix_key")

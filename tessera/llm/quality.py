@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .common import free_names
 
 BITS = 18
 SAMPLE = 8000
@@ -147,12 +148,13 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", name: st
     Null and empty texts get the bias alone. A column called ``name`` is replaced. An empty table gives none.
     """
     kept = [c for c in docs.columns if c != name]
+    body = free_names(docs, "_scored")[0]
     weights = np.asarray(weights, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in K.slices(batches, "_scored"):
+        for batch in K.slices(batches, body):
             total = np.full(batch.num_rows, float(weights[-1]))
-            for numbers, off in features(*K.text_bytes(batch.column("_scored"))):
+            for numbers, off in features(*K.text_bytes(batch.column(body))):
                 sums = np.concatenate([[0.0], np.cumsum(weights[numbers], dtype=np.float64)])
                 count = np.diff(off)
                 total += np.where(count > 0, (sums[off[1:]] - sums[off[:-1]]) * SCALE / np.maximum(count, 1), 0.0)
@@ -160,4 +162,4 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", name: st
             yield pa.RecordBatch.from_arrays([*columns, pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], names=[*kept, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != name) + f", `{name}` double"
-    return docs.select(*[f"`{c}`" for c in kept], F.col(text_col).cast("string").alias("_scored")).mapInArrow(run, schema)
+    return docs.select(*[f"`{c}`" for c in kept], F.col(text_col).cast("string").alias(body)).mapInArrow(run, schema)
