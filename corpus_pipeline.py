@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import line_dedup, minhash_dedup, mixing, packing, quality
+from tessera.llm.common import free_names
 from tessera.session import ensure_checkpoint_dir, table
 
 #: Documents scored below are rejected; as in the quality query.
@@ -29,7 +30,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Operator 8: documents that the classifier rejects go."""
     ensure_checkpoint_dir(spark)
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, name="_score").where(F.col("_score") >= QUALITY_LEAST).select(*docs.columns)
+    name = free_names(docs, "_score")[0]
+    return quality.score(docs, weights, name=name).where(F.col(name) >= QUALITY_LEAST).select(*[f"`{c}`" for c in docs.columns])
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
