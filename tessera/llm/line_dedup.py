@@ -6,8 +6,9 @@ places, then the gaps between matches in the same way.
 
 First, each document is paired with the first holder of each of its shared lines, of each two neighbours among them and
 of all of them in order, so a line gives at most three partners, never all pairs of its holders. Second, lines that are still
-left though an earlier document holds them are compared with all their earlier holders, in pieces of holders inside
-tasks and once for documents alike in their shared lines. So the result is that of aligning all pairs.
+left though an earlier document holds them are compared with their earlier holders, in pieces of holders inside tasks, until the line is
+aligned with one of them: first with one piece of the holders, what is then still left with all pieces. Holders alike in their
+shared lines are compared once. So the result is that of aligning all pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_names
+from .common import cut, free_names, is_empty
 
 HOLDERS = 1 << 12  # holders of a line that one task compares with the documents where the line is left
 
@@ -91,8 +92,10 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(later, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["_key", "gone"])
 
 
-def _compare(holders: pa.Table, left: pa.Table) -> pa.Table:
-    """Aligns each document of ``left`` with all earlier ``holders`` of one line."""
+def _compare(key: tuple, holders: pa.Table, left: pa.Table) -> pa.Table:
+    """Aligns each document of ``left`` with earlier ``holders`` of one line, until that line is aligned."""
+    wanted = key[0].as_py()
+
     def ordered(table):
         for i, key, seq in zip(table["_id"].to_pylist(), table["_key"].to_pylist(), table["seq"].to_pylist()):
             yield (i is not None, i or 0, key), [x["pos"] for x in seq], [x["line"] for x in seq]
@@ -101,19 +104,22 @@ def _compare(holders: pa.Table, left: pa.Table) -> pa.Table:
     for order, _, lines in ordered(holders):
         lines = tuple(lines)
         alike[lines] = min(order, alike.get(lines, order))
-    held = [(order, lines, frozenset(lines)) for lines, order in alike.items()]
+    held = sorted((order, lines, frozenset(lines)) for lines, order in alike.items())
     keys, gone = [], []
     for order, places, lines in ordered(left):
         own, found, seen = frozenset(lines), set(), set()
+        open_ = {p for p, x in zip(places, lines) if x == wanted}
         for other, theirs, their_own in held:
-            if other >= order:
-                continue
+            if other >= order or not open_:
+                break
             common = own & their_own
             first = tuple(x for x in theirs if x in common)
             if first not in seen:
                 seen.add(first)
                 at = [j for j, x in enumerate(lines) if x in common]
-                found.update(places[at[j]] for j in patience(list(first), [lines[j] for j in at]))
+                now = {places[at[j]] for j in patience(list(first), [lines[j] for j in at])}
+                found |= now
+                open_ -= now
         keys.append(order[2])
         gone.append(sorted(found))
     return pa.table({"_key": pa.array(keys, pa.int64()), "gone": pa.array(gone, pa.list_(pa.int32()))})
@@ -137,15 +143,20 @@ def _sequences(mine: DataFrame) -> DataFrame:
     return mine.groupBy("_id", "_key").agg(F.array_sort(F.flatten(F.collect_list(places))).alias("seq"))
 
 
-def _aligned_left(mine: DataFrame, found: DataFrame) -> DataFrame:
-    """(_key, gone) for lines that ``found`` leaves in a document though an earlier one holds them."""
-    left = cut(mine.where("_key != first").join(found, "_key", "left")
-               .where("lines is null or size(array_except(pos, lines)) > 0").select("_id", "_key", "line"))
+def _left(mine: DataFrame, found: DataFrame) -> DataFrame:
+    """(_key, line): lines that ``found`` leaves in a document though an earlier one holds them."""
+    rows = mine.where("_key != first").join(found, "_key", "left")
+    return rows.where("lines is null or size(array_except(pos, lines)) > 0").select("_key", "line")
+
+
+def _aligned_left(mine: DataFrame, left: DataFrame, everywhere: bool) -> DataFrame:
+    """(_key, gone) for lines that are left: each document meets one piece of a line's holders, or all."""
     parts = mine.join(left.select("line").distinct(), "line").groupBy("line").agg(F.ceil(F.count(F.lit(1)) / HOLDERS).cast("int").alias("parts"))
     held = mine.select("_key", "line").join(parts, "line").select("_key", "line", F.pmod(F.hash("_key"), "parts").alias("part"))
     seqs = cut(_sequences(mine.join(held.select("_key").distinct(), "_key", "left_semi")))
     holders = seqs.join(held, "_key").select("_id", "_key", "seq", "line", "part")
-    asked = left.drop("_id").join(parts, "line").select("_key", "line", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if everywhere else F.pmod(F.xxhash64("_key"), "parts").cast("int")
+    asked = left.join(parts, "line").select("_key", "line", part.alias("part"))
     asked = seqs.join(asked, "_key").select(*[F.col(c).alias(c) for c in holders.columns])
     return holders.groupBy("line", "part").cogroup(asked.groupBy("line", "part")).applyInArrow(_compare, "_key long, gone array<int>")
 
@@ -180,7 +191,12 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     firsts = marks.groupBy("mark").agg(*ends).where("f != l").select("mark", F.col("f._key").alias("first"))
     pairs = mine.select("first", F.col("_key").alias("later")).union(marks.join(firsts, "mark").select("first", F.col("_key").alias("later")))
     found = cut(_united(_aligned_firsts(mine.drop("first"), pairs.where("first != later").distinct())))
-    return _united(found.withColumnRenamed("lines", "gone").unionByName(_aligned_left(mine, found)))
+    for everywhere in (False, True):
+        left = cut(_left(mine, found))
+        if is_empty(left):
+            break
+        found = cut(_united(found.withColumnRenamed("lines", "gone").unionByName(_aligned_left(mine, left, everywhere))))
+    return found
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float | None = None,

@@ -183,3 +183,19 @@ def test_lines_of_all_earlier_documents(spark, monkeypatch):
     got = line_dedup.dedup_lines(docs).collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], want[r[0], r[1], keys[r[0], r[1]]]) for r in rows)
     assert {r.text for r in got if r.doc_id in (732, 735)} == {""}
+
+
+def test_shared_lines_in_random_orders(spark):
+    """All documents hold the same lines in other orders: aligned as all pairs would be, and each line stops at its first alignment."""
+    import random
+    rng = random.Random(6)
+    pool = [f"line {i}" for i in range(12)]
+    rows = [(i, "\n".join(rng.sample(pool, 12))) for i in range(150)] + [(200 + i, "\n".join(rng.sample(pool, 3) + [f"own {i}"] + rng.sample(pool, 2))) for i in range(60)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for k, (doc, text) in enumerate(rows):
+        own, gone = text.split("\n"), set()
+        for _, other in rows[:k]:
+            common = set(own) & set(other.split("\n"))
+            at = [j for j, x in enumerate(own) if x in common]
+            gone |= {at[j] for j in line_dedup.patience([x for x in other.split("\n") if x in common], [own[j] for j in at])}
+        assert got[doc] == "\n".join(x for j, x in enumerate(own) if j not in gone)
