@@ -163,7 +163,7 @@ def read_epoch(spark: SparkSession, path: str, size: int, split: str = "split",
     rows = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
     number = lambda pattern: F.regexp_extract("_file", pattern, 1).cast("int")
     files = rows.groupBy(split, "_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(split).orderBy(number(r"part-(\d+)-[^/]*$"), number(r"[.-]c(\d+)[^/]*$")).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(split).orderBy(number(r"part-(\d+)-[^/]*$"), number(r"[.-]c(\d+)(?:\.(?!c\d)[a-z0-9_]+)?\.parquet$")).rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     placed = rows.join(F.broadcast(starts), "_file").withColumn(pos, F.col("_start") + F.col("_row"))
     return placed.withColumn(batch, F.expr(f"{pos} div {int(size)}")).drop("_file", "_row", "_start")

@@ -91,6 +91,17 @@ def test_split_and_epoch_layout_exchange_rows_once(spark, tmp_path):
     assert split.agg(F.count_if(F.col("split") == "val")).first()[0] == int(len(rows) * 0.1)
 
 
+def test_file_numbers_are_read_beside_any_folder_or_unique_part(spark, tmp_path):
+    """Files whose unique part looks like a file number are still ordered by their numbers."""
+    from tessera.sources import io as S
+    path, names = tmp_path / "x-c5" / "split=train", []
+    spark.range(12).selectExpr("id as doc_id").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(path))
+    for k, f in enumerate(sorted(path.glob("part-*.parquet"))):
+        names.append(f.rename(path / f"part-0000{k // 2}-0a-c{90 - k}-c12345678901.c00{k % 2}.snappy.parquet"))
+    back = S.read_epoch(spark, str(tmp_path / "x-c5"), 5).collect()
+    assert len(names) == 4 and {r.doc_id: (r.pos, r.batch_id) for r in back} == {i: (i, i // 5) for i in range(12)}
+
+
 def test_exact_split_of_deep_buckets(spark, monkeypatch):
     from pyspark.sql import functions as F
 
