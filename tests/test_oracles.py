@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-TABLES = ["events", "documents", "embeddings", "labels", "conversations"]
+TABLES = ["events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def _norm(v):
