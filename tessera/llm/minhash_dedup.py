@@ -15,8 +15,9 @@ the members of other components, in pieces dealt over tasks. First on signatures
 most like it, until that finds no new link. What then still matches in signature is compared on full sets inside tasks, which give
 back confirmed links only. A pair inside one component needs no link, so the components lose none.
 
-Texts are fetched once: those of sets that share a posting value with others are written to one table, by which all
-confirmations are served.
+Texts are fetched once: those of sets that share a posting value with others are written to one table with their sizes and
+signatures, by which all comparisons are served. Rows that match none of another component drop out of the later rounds:
+components only grow together, so they can't match one then.
 
 With 48 coordinates and 20 matches a pair at similarity 0.75 is missed with probability 2e-7.
 """
@@ -120,8 +121,8 @@ def _prefixes(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, text) of every set in ``groups``: the only pass over the texts after hashing."""
-    wanted = groups.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
+    """(node, n, sig, text) of every set in ``groups``, once each: the only pass over the texts after hashing."""
+    wanted = groups.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash", "n", "sig"), "node")
     rows = docs.select(_known_id().alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,12 +138,13 @@ def _texts(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
             yield batch.take(pa.array(kept, pa.int64()))
 
     sent = rows.mapInArrow(once, "doc_id long, text string, text_hash long")
-    return sent.join(wanted, ["doc_id", "text_hash"]).select("node", "text")
+    # dealt by the join's keys already, so repeated rows of several tasks go without another exchange
+    return sent.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "n", "sig", "text")
 
 
-def _best_pivots(groups: DataFrame, nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
+def _best_pivots(groups: DataFrame, texts: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """(p, node): of the pivots that a set meets, the one whose whole signature agrees most, in ``matches`` coordinates or more."""
-    side = lambda x, y: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{y}"), F.col("sig").alias(f"sig_{y}"))
+    side = lambda x, y: texts.select(F.col("node").alias(x), F.col("n").alias(f"n_{y}"), F.col("sig").alias(f"sig_{y}"))
     both = groups.where("p != node").join(side("p", "a"), "p").join(side("node", "b"), "node")
     both = both.where("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
 
@@ -227,17 +229,16 @@ def _links(rows: DataFrame, words: int, coordinates: int, matches: int) -> DataF
             a, b = np.array(found, np.int64).T
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
-    return _in_pieces(rows, run, "a long, b long").distinct()
+    return _in_pieces(rows, run, "a long, b long")  # repeated ones go with the components' own
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
     """Links among the pairs (p, node). The sets of one p are dealt in pieces, each with a copy of p."""
-    own = nodes.select("node", "n", "sig").join(texts, "node")
-    sized = pairs.join(nodes.select("node", "n"), "node")
+    sized = pairs.join(texts.select("node", "n"), "node")
     pieces = sized.groupBy("p").agg(F.expr(_pieces("sum(n)")).alias("mp"))
-    members = (pairs.join(pieces, "p").join(own, "node")
+    members = (pairs.join(pieces, "p").join(texts, "node")
                .withColumns({"i": _own_piece("mp"), "j": F.lit(0), "asks": F.lit(False), "c": F.col("node")}).select(*_DEALT, "text"))
-    asks = (pieces.withColumn("node", F.col("p")).join(own, "node").withColumn("i", F.explode(F.expr("sequence(0, mp - 1)")))
+    asks = (pieces.withColumn("node", F.col("p")).join(texts, "node").withColumn("i", F.explode(F.expr("sequence(0, mp - 1)")))
             .withColumns({"j": F.lit(0), "asks": F.lit(True), "c": F.col("node")}).select(*_DEALT, "text"))
     return _links(members.unionByName(asks), words, coordinates, matches)
 
@@ -248,15 +249,16 @@ def _dealt(rows: DataFrame, more: list[str]) -> DataFrame:
     per = rows.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     open_ = per.groupBy("p").agg(F.count(F.lit(1)).alias("cs"), F.sum("n").alias("all"), F.max(F.struct("k", "c", "n")).alias("top")).where("cs > 1")
     open_ = open_.select("p", F.col("top.c").alias("main"), F.expr(_pieces("all")).alias("mp"), F.expr(_pieces("all - top.n")).alias("ap"))
-    rows = rows.join(open_, "p")
-    members = rows.withColumns({"i": _own_piece("mp"), "j": F.explode(F.expr("sequence(0, ap - 1)")), "asks": F.lit(False)})
-    asks = rows.where("c != main").withColumns({"j": _own_piece("ap"), "i": F.explode(F.expr("sequence(0, mp - 1)")), "asks": F.lit(True)})
-    return members.select(*_DEALT, *more).unionByName(asks.select(*_DEALT, *more))
+    piece = lambda n: f"cast(pmod(xxhash64(node), {n}) as int)"
+    member = f"transform(sequence(0, ap - 1), x -> named_struct('i', {piece('mp')}, 'j', x, 'asks', false))"
+    asking = f"transform(slice(sequence(0, mp - 1), 1, if(c != main, mp, 0)), x -> named_struct('i', x, 'j', {piece('ap')}, 'asks', true))"
+    dealt = rows.join(open_, "p").withColumn("d", F.explode(F.expr(f"concat({member}, {asking})")))
+    return dealt.withColumns({x: F.col(f"d.{x}") for x in ("i", "j", "asks")}).select(*_DEALT, *more)
 
 
-def _open_rows(groups: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
+def _open_rows(groups: DataFrame, texts: DataFrame, label: DataFrame) -> DataFrame:
     known = groups.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    return known.join(nodes.select("node", "n", "sig"), "node")
+    return known.join(texts.select("node", "n", "sig"), "node")
 
 
 def _matches(rows: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -275,30 +277,33 @@ def _matches(rows: DataFrame, coordinates: int, matches: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([p] * len(found), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32())))],
                                              names=["p", "node", "best", "hits"])
 
-    return _in_pieces(_dealt(rows, []), run, "p long, node long, best long, hits int").distinct()
+    return _in_pieces(_dealt(rows, []), run, "p long, node long, best long, hits int")
 
 
-def _components_of(groups: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
+def _components_of(groups: DataFrame, texts: DataFrame, words: int, coordinates: int, matches: int) -> DataFrame:
     """(node, component) of all sets with a link."""
-    check = lambda pairs: cut(_confirmed(pairs, nodes, texts, words, coordinates, matches))
-    links = check(_best_pivots(groups, nodes, coordinates, matches))
-    label = components(links)
+    def joined(label: DataFrame, more: DataFrame) -> DataFrame:
+        """Components after ``more`` links; those known stand for the links that made them."""
+        return components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    check = lambda pairs: cut(_confirmed(pairs, texts, words, coordinates, matches))
+    label = components(check(_best_pivots(groups, texts, coordinates, matches)))
     for last in (*(False,) * ROUNDS, True):
-        rows = _open_rows(groups, nodes, label)
+        rows = _open_rows(groups, texts, label)
         met = cut(_matches(rows, coordinates, matches))
         if is_empty(met):
             break
+        groups = met.select("p", "node").distinct()
         if not last:
             pairs = met.where("best is not null").groupBy("node").agg(F.max(F.struct("hits", "best")).getField("best").alias("p")).select("p", "node")
             more = check(pairs)
             if not is_empty(more):
-                links = cut(links.unionByName(more))
-                label = components(links)
+                label = joined(label, more)
                 continue
-        left = rows.join(met.select("p", "node").distinct(), ["p", "node"]).join(texts, "node")
+        left = rows.join(groups, ["p", "node"]).join(texts.select("node", "text"), "node")
         more = cut(_links(_dealt(left, ["text"]), words, coordinates, matches))
         if not is_empty(more):
-            label = components(links.unionByName(more))
+            label = joined(label, more)
         break
     return cut(label)
 
@@ -329,7 +334,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = ranked.groupBy("key").agg(F.max(F.struct("copies", "node")).getField("node").alias("p"))
     groups = cut(prefixes.join(pivots, "key").select("p", "node").distinct())
     texts, path = written(_texts(src, nodes, groups), "texts")
-    label = _components_of(groups, nodes, texts, words, coordinates, matches)
+    label = _components_of(groups, texts, words, coordinates, matches)
     discard(docs.sparkSession, path)
     named = nodes.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
     lowest = named.groupBy("c").agg(F.min("first_id").alias("lowest"))
