@@ -12,7 +12,7 @@ Whole lists are never expanded into pairs. First each list is merged against one
 with most copies), and each set is confirmed with the pivot whose signature is most like its own. Afterwards the sets that met one pivot
 form a group, and only groups that still hold several components are compared: sets outside the largest component against
 the members of other components, in pieces dealt over tasks. First on signatures alone: each set is confirmed with the member
-most like it, until that finds no new link. What then still matches in signature is compared on full sets inside tasks, which give
+most like it, until that finds no new link or leaves more than half of the rows that matched before. What then still matches in signature is compared on full sets inside tasks, which give
 back confirmed links only. A pair inside one component needs no link, so the components lose none.
 
 Texts are fetched once: those of sets that share a posting value with others are written to one table with their sizes and
@@ -39,7 +39,6 @@ COORDINATES = 48
 MATCHES = 20
 PIECE = 1 << 19  # shingles of one piece of a group; a task compares two pieces at a time
 SEEN = 1 << 16  # (id, text hash) that a task remembers, so as to send a repeated row once
-ROUNDS = 3  # of best matches, before what is left is compared on full sets
 
 
 def _known_id(name: str = "doc_id"):
@@ -288,13 +287,15 @@ def _components_of(groups: DataFrame, texts: DataFrame, words: int, coordinates:
 
     check = lambda pairs: cut(_confirmed(pairs, texts, words, coordinates, matches))
     label = components(check(_best_pivots(groups, texts, coordinates, matches)))
-    for last in (*(False,) * ROUNDS, True):
+    before = None
+    while True:
         rows = _open_rows(groups, texts, label)
         met = cut(_matches(rows, coordinates, matches))
-        if is_empty(met):
+        if not (n := met.count()):
             break
         groups = met.select("p", "node").distinct()
-        if not last:
+        if before is None or 2 * n <= before:  # so rounds are few whatever the rows
+            before = n
             pairs = met.where("best is not null").groupBy("node").agg(F.max(F.struct("hits", "best")).getField("best").alias("p")).select("p", "node")
             more = check(pairs)
             if not is_empty(more):
