@@ -4,8 +4,7 @@ Every entry is ``name -> (spark_fn(spark, sf_dir) -> DataFrame, oracle_sql or No
 is DuckDB SQL over the same parquet tables; columns carry the same names, integer columns are
 BIGINT on both sides and doubles are rounded to 6 places. Arrays are compared as strings.
 Merge training is repeated in SQL step by step (one character per symbol, as many steps as the
-registered vocabulary has merges); ids, rows and masks follow from its final strings. Text deltas have no oracle and are
-tested against brute force in ``tests/``.
+registered vocabulary has merges); ids, rows and masks follow from its final strings.
 """
 
 from __future__ import annotations
@@ -891,7 +890,12 @@ def q_cut_at_eos(spark, sf):
     return emb.select("vec_id", F.array_join(A.cut_at_eos(ids, 1, 256), " ").alias("kept"))
 
 
-@query("text_deltas")
+# a character shows at the step of its first byte: itself if that is its only one, else U+FFFD, in whose place it stands later
+@query("text_deltas",
+       "WITH c AS (SELECT doc_id, regexp_extract_all(text, '.', 0, 's') AS chars FROM documents), "
+       "o AS (SELECT doc_id, unnest(chars) AS c, generate_subscripts(chars, 1) AS i FROM c) "
+       "SELECT doc_id AS gen_id, CAST(sum(strlen(c)) OVER (PARTITION BY doc_id ORDER BY i) - strlen(c) AS BIGINT) AS step, "
+       "CASE WHEN strlen(c) = 1 THEN c ELSE chr(65533) END AS delta FROM o")
 def q_text_deltas(spark, sf):
     # generated tokens: each document's byte symbols, one per step (base vocabulary); dealt by
     # document before they become rows, so that the windows need no shuffle of steps
@@ -899,7 +903,7 @@ def q_text_deltas(spark, sf):
     docs = _t(spark, sf, "documents")
     gen = D.encode(docs, model, ["doc_id"]).repartition("doc_id")
     steps = gen.select(F.col("doc_id").alias("gen_id"), F.posexplode("ids").alias("step", "token_id"))
-    return I.text_deltas(steps, D.vocab_map(model))
+    return I.text_deltas(steps, D.vocab_map(model)).withColumn("step", F.col("step").cast("long"))
 
 
 # ==========================================================================================

@@ -7,6 +7,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import BOS_ID, EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID
 from ..operators.bpe import BpeModel
@@ -37,24 +38,33 @@ def _line_ids(df: DataFrame, out: str) -> DataFrame:
     return joined.withColumn(out, number).drop("_f", "_b", "_r", "_off", "_r0")
 
 
+def _json_lines(spark: SparkSession, path: str, schema: str, field: str, mode: str, id_col: str | None) -> DataFrame:
+    """Column ``field`` of each line's JSON, and its line number.
+
+    Lines are read as text, since Spark's JSON reader skips blank ones, which would shift all later numbers; they
+    are counted without being parsed, and parsed once. Blank lines, bad JSON and lines without ``field`` fail the job, unless
+    ``mode`` is DROPMALFORMED: then such lines go before the rest is numbered."""
+    lines = spark.read.text(path)
+    parsed = F.from_json("value", schema, {"mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"}).getField(field)
+    if mode == "DROPMALFORMED":
+        lines = lines.where(parsed.isNotNull())
+    if id_col is not None:
+        lines = _line_ids(lines, id_col)
+    why = F.when(F.trim("value") == "", F.lit("blank line")).otherwise(F.lit(f"line without '{field}'"))
+    return lines.withColumn(field, F.coalesce(parsed, F.raise_error(why).cast(T.DataType.fromDDL(schema)[field].dataType))).select(
+        field, *([id_col] if id_col is not None else []))
+
+
 def read_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST", field: str = "text",
                 with_line_ids: bool = True, id_col: str = "row_id") -> DataFrame:
-    """A1: pretraining JSONL, one document per line. Bad JSON fails the job (FAILFAST); a line
-    without ``field`` fails too (Spark would silently give null)."""
-    df = spark.read.schema(f"`{field}` string").option("mode", mode).json(path)
-    df = df.withColumn(field, F.when(F.col(field).isNull(),
-                                     F.raise_error(F.lit(f"line without '{field}'"))).otherwise(F.col(field)))
-    return _line_ids(df, id_col) if with_line_ids else df
+    """A1: pretraining JSONL, one document per line. Bad JSON, a blank line and a line without ``field`` fail the job."""
+    return _json_lines(spark, path, f"`{field}` string", field, mode, id_col if with_line_ids else None)
 
 
 def read_conversations(spark: SparkSession, path: str, mode: str = "FAILFAST",
                        with_line_ids: bool = True, id_col: str = "row_id") -> DataFrame:
-    """A2: SFT JSONL with ``conversations: [{from, value}]``."""
-    df = spark.read.schema(CONVERSATIONS_SCHEMA).option("mode", mode).json(path)
-    df = df.withColumn("conversations", F.when(F.col("conversations").isNull(),
-                                               F.raise_error(F.lit("line without 'conversations'")))
-                       .otherwise(F.col("conversations")))
-    return _line_ids(df, id_col) if with_line_ids else df
+    """A2: SFT JSONL with ``conversations: [{from, value}]``; fails as ``read_corpus`` does."""
+    return _json_lines(spark, path, CONVERSATIONS_SCHEMA, "conversations", mode, id_col if with_line_ids else None)
 
 
 def head_lines(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:

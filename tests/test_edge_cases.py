@@ -31,6 +31,24 @@ def test_line_ids_survive_another_split_size(spark, tmp_path):
     assert len(rows) == 20000 and all(r.row_id == r.n for r in rows)
 
 
+@pytest.mark.parametrize("bad", ["", "   ", "{\"text\": ", "{\"other\": 1}"])
+def test_bad_lines_raise_and_can_be_dropped(spark, tmp_path, bad):
+    path = tmp_path / "corpus.jsonl"
+    path.write_text("\n".join([json.dumps({"text": "a"}), bad, json.dumps({"text": "", "more": [1]}), json.dumps({"text": "c"})]) + "\n")
+    with pytest.raises(Exception, match="blank line|line without|Malformed records"):
+        S.read_corpus(spark, str(path)).collect()
+    rows = S.read_corpus(spark, str(path), mode="DROPMALFORMED").collect()
+    assert sorted((r.row_id, r.text) for r in rows) == [(0, "a"), (1, ""), (2, "c")]
+
+
+def test_lines_are_counted_without_parsing(spark, tmp_path):
+    path = tmp_path / "corpus.jsonl"
+    path.write_text(json.dumps({"text": "a b"}, ensure_ascii=False) + "\r\n" + json.dumps({"text": "c"}))  # no line end at the last
+    df = S.read_corpus(spark, str(path))
+    assert sorted((r.row_id, r.text) for r in df.collect()) == [(0, "a b"), (1, "c")]
+    assert df.select("row_id")._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 0
+
+
 def test_training_reads_large_ids(spark):
     docs = spark.range(5_000_000, 5_000_010).select(F.col("id").alias("doc_id"), F.lit("abab abab").alias("text"))
     assert len(C.train_tokenizer(docs, vocab_size=262).merges) == 3
