@@ -47,11 +47,32 @@ def with_text_units(df: DataFrame, text, out: str = "units") -> DataFrame:
     return normed.withColumn(out, units).drop("_pieces", "_norm")
 
 
+class WordCache:
+    """Encoded words of a task, bounded by the memory they take; long words, which seldom come again, are kept out.
+
+    A full cache is emptied: frequent words are back at once."""
+
+    def __init__(self, limit: int = 128 << 20, longest: int = 256):
+        self.limit, self.longest, self.size = limit, longest, 0
+        self.words: dict[str, tuple] = {}
+        self.get = self.words.get
+
+    def put(self, word: str, hit: tuple) -> None:
+        if len(word) > self.longest:
+            return
+        size = 400 + 4 * len(word) + 80 * len(hit[0])  # two lists of numbers, their tuple and the entry
+        if self.size + size > self.limit:
+            self.words.clear()
+            self.size = 0
+        self.words[word] = hit
+        self.size += size
+
+
 def _word_encoder(ranks_bc, vocab_len_bc):
     def encode_partition(batches):
         ranks = ranks_bc.value
         lens = vocab_len_bc.value
-        cache: dict[str, tuple] = {}
+        cache = WordCache()
         for pdf in batches:
             out_ids, out_ends = [], []
             for w in pdf["word"]:
@@ -63,16 +84,14 @@ def _word_encoder(ranks_bc, vocab_len_bc):
                         acc += lens[t]
                         ends.append(acc)
                     hit = (ids, ends)
-                    if len(cache) < 100_000:
-                        cache[w] = hit
+                    cache.put(w, hit)
                 out_ids.append(hit[0])
                 out_ends.append(hit[1])
             yield pd.DataFrame({"word": pdf["word"], "ids": out_ids, "ends": out_ends})
     return encode_partition
 
 
-def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | None,
-                        cache_size: int = 500_000):
+def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | None):
     """Per-batch encoder over Arrow data. Python loops only over the *distinct* words of a
     batch (with a bounded per-task cache across batches); gathering every unit's tokens, the
     per-row offsets and the supervision mask is vectorised numpy."""
@@ -98,7 +117,7 @@ def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | N
     def encode_batches(batches):
         ranks = ranks_bc.value
         lens = vocab_len_bc.value
-        cache: dict = {}
+        cache = WordCache()
         for rb in batches:
             col = rb.column(rb.schema.get_field_index(units_col))
             n_units = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
@@ -111,9 +130,7 @@ def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | N
                     hit = cache.get(w)
                     if hit is None:
                         hit = encode_word(w, ranks, lens)
-                        if len(cache) >= cache_size:
-                            cache.clear()
-                        cache[w] = hit
+                        cache.put(w, hit)
                     u_ids.append(hit[0])
                     u_ends.append(hit[1])
                 u_len = np.fromiter((len(a) for a in u_ids), np.int64, len(u_ids))

@@ -4,6 +4,7 @@ import json
 import math
 import random
 import time
+import tracemalloc
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import batches as G
 from tessera.operators import bpe as C
+from tessera.operators import encode as D
 from tessera.operators import evaluate as H
 from tessera.operators import examples as X
 from tessera.session import spread
@@ -133,6 +135,19 @@ def test_repeated_ids_are_refused(spark):
         G.exact_split(df, "doc_id", 0.5)
 
 
+def test_word_cache_is_bounded_by_memory():
+    cache = D.WordCache(limit=1 << 20)
+    tracemalloc.start()
+    for i in range(20_000):
+        for word in (f"word{i}", f"{i}" * 50, f"{i}" + "x" * 100_000 if i % 1000 == 0 else "a"):
+            ids = [1000 + i] * len(word)
+            cache.put(word, (ids, list(range(len(word)))))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 3 << 20 and cache.size <= 1 << 20
+    assert cache.get("a") and cache.get("word19999") and not cache.get("0" + "x" * 100_000)
+
+
 def test_long_words_are_encoded_quickly():
     rng = random.Random(2)
     ranks = {}
