@@ -35,16 +35,26 @@ DICT_SCHEMA = T.StructType([
 ])
 
 
-def with_text_units(df: DataFrame, text, out: str = "units") -> DataFrame:
-    """D1 + C1 + C2: add ``out array<string>``: special tokens and pre-tokens, in order.
+def with_pieces(df: DataFrame, text, out: str = "pieces") -> DataFrame:
+    """D1 + C1: add ``out array<struct<special boolean, text string>>``: control tokens and the NFKC text between them.
 
     Pieces and their NFKC form are materialised as columns first: a Python UDF cannot sit
     inside a higher-order function's lambda."""
-    pieces = df.withColumn("_pieces", split_specials(text))
-    normed = pieces.withColumn("_norm", nfkc_pieces("_pieces", text))
-    units = F.flatten(F.transform("_pieces", lambda p, i: F.when(is_special(p), F.array(p))
-                                  .otherwise(pretokens(F.get(F.col("_norm"), i)))))
-    return normed.withColumn(out, units).drop("_pieces", "_norm")
+    pieces = df.withColumn("_raw", split_specials(text))
+    normed = pieces.withColumn("_norm", nfkc_pieces("_raw", text))
+    each = F.transform("_raw", lambda p, i: F.struct(
+        is_special(p).alias("special"), F.when(is_special(p), p).otherwise(F.get(F.col("_norm"), i)).alias("text")))
+    return normed.withColumn(out, each).drop("_raw", "_norm")
+
+
+def piece_units(pieces) -> Column:
+    """The units of ``with_pieces``: special tokens and pre-tokens, in order."""
+    return F.flatten(F.transform(col_(pieces), lambda p: F.when(p["special"], F.array(p["text"])).otherwise(pretokens(p["text"]))))
+
+
+def with_text_units(df: DataFrame, text, out: str = "units") -> DataFrame:
+    """D1 + C1 + C2: add ``out array<string>``: special tokens and pre-tokens, in order."""
+    return with_pieces(df, text, "_pieces").withColumn(out, piece_units("_pieces")).drop("_pieces")
 
 
 class WordCache:

@@ -5,6 +5,8 @@ Both builders push right truncation below every shuffle: a document keeps its fi
 ``max_len // 2`` rendered turns (each is at least two tokens) -- the turn limit is a
 ``row_number() <= n`` filter, which Spark applies map-side as a window group limit, so a huge
 conversation is cut before it is shuffled -- and every turn keeps its first ``max_len`` units.
+Conversations are dealt once: turn limit, running unit count and regrouping share that exchange,
+and only the first ``max_len`` units of a conversation are encoded.
 
 Words are encoded in place (``strategy="narrow"``, ``mapInArrow``; no shuffle) by default; the
 ``"dictionary"`` strategy (distinct words, one encode each, join back) is kept for comparison.
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions.text import IGNORE_INDEX, PAD_ID, SPECIAL_TOKENS, col_
 from .bpe import BpeModel
-from .encode import encode, encode_exploded, encode_units_narrow, with_text_units
+from .encode import encode, encode_exploded, encode_units_narrow, piece_units, with_pieces
 from .turns import KNOWN_ROLES, RAW_USER_ROLE, normalize_role
 
 IM_START, IM_END = SPECIAL_TOKENS[0], SPECIAL_TOKENS[1]
@@ -48,52 +50,51 @@ def pretrain_examples(docs: DataFrame, model: BpeModel, max_len: int = 512, key:
     return enc.select(key, *keep, F.size("ids").alias("n_tokens"), inputs, labels)
 
 
-def with_turn_units(df: DataFrame, role: str, text: str, max_len: int, out: str = "units") -> DataFrame:
-    """Units of one rendered turn with a supervision class per unit:
+def turn_units(role, units, max_len: int) -> Column:
+    """Units of one rendered turn (from the units of ``role\\ntext``) with a supervision class per unit:
     0 = never, 1 = every token, 2 = tokens that reach past the header's newline."""
-    r = F.col(role)
-    seg = with_text_units(df.withColumn("_seg", F.concat(r, F.lit("\n"), F.col(text))), "_seg", "_seg_units")
-    is_asst = r == "assistant"
-    body = F.transform("_seg_units", lambda u, j: F.struct(
+    is_asst = col_(role) == "assistant"
+    body = F.transform(col_(units), lambda u, j: F.struct(
         u.alias("u"),
         F.when(~is_asst | (j == 0), 0).when(j == 1, 2).otherwise(1).alias("cls")))
     head = F.array(F.struct(F.lit(IM_START).alias("u"), F.lit(0).alias("cls")))
     close = F.array(F.struct(F.lit(IM_END).alias("u"), F.when(is_asst, 1).otherwise(0).alias("cls")))
     nl = F.when(is_asst, F.array().cast("array<struct<u:string,cls:int>>")) \
           .otherwise(F.array(F.struct(F.lit("\n").alias("u"), F.lit(0).alias("cls"))))
-    return seg.withColumn(out, F.slice(F.concat(head, body, close, nl), 1, max_len)).drop("_seg", "_seg_units")
+    return F.slice(F.concat(head, body, close, nl), 1, max_len)
 
 
 def _encoded_turn_units(turns: DataFrame, model: BpeModel, max_len: int, key: str, order: str,
-                        role: str, text: str, limit_turns: bool, strategy: str = "narrow") -> DataFrame:
-    # filter on the raw role (only "human" is renamed), so the predicate reaches the parquet scan
+                        role: str, text: str, strategy: str = "narrow") -> DataFrame:
+    # turns of unknown roles render nothing, but their conversation keeps its row: they come last, without their text
+    known = F.coalesce(col_(role).isin(*KNOWN_ROLES, RAW_USER_ROLE), F.lit(False))
     body = F.coalesce(col_(text), F.raise_error(F.lit("turn without text")).cast("string"))
-    t = (turns.filter(col_(role).isin(*KNOWN_ROLES, RAW_USER_ROLE))
-         .select(key, order, normalize_role(role).alias("role"), body.alias("text")))
-    # turns of unknown roles render nothing, but their conversation keeps its row
-    keys = turns.select(key).distinct()
-    if limit_turns:
-        limit = max(max_len // 2, 1)
-        t = (t.withColumn("_rk", F.row_number().over(Window.partitionBy(key).orderBy(order)))
-             .filter(F.col("_rk") <= limit).drop("_rk"))
-    units = with_turn_units(t, "role", "text", max_len, "_units")
+    t = turns.select(key, order, (~known).alias("_void"), F.when(known, normalize_role(role)).otherwise("").alias("role"),
+                     F.when(known, body).otherwise("").alias("text"))
+    # Python (NFKC) runs before the exchange, since Spark forgets the partitioning behind it
+    t = with_pieces(t.withColumn("_seg", F.concat("role", F.lit("\n"), "text")), "_seg", "_pieces").select(key, order, "_void", "role", "_pieces")
+    turn_order = Window.partitionBy(key).orderBy("_void", order, "role", "_pieces")
+    # cut map-side (window group limit); what follows keeps the partitioning by conversation
+    t = t.withColumn("_rk", F.row_number().over(turn_order)).filter(F.col("_rk") <= max(max_len // 2, 1))
+    # a unit is at least one token: turns behind max_len units can't show
+    units = t.withColumn("_seg_units", piece_units("_pieces")).withColumn("_units", turn_units("role", "_seg_units", max_len))
+    units = units.withColumn("_units", F.when(F.col("_void"), F.array().cast(units.schema["_units"].dataType)).otherwise(F.col("_units")))
+    before = F.sum(F.size("_units")).over(Window.partitionBy(key).orderBy("_rk").rowsBetween(Window.unboundedPreceding, -1))
+    units = units.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < max_len)
     if strategy == "narrow":
-        per_turn = encode_units_narrow(
-            units.select(key, order, F.transform("_units", lambda u: u["u"]).alias("_u"),
-                         F.transform("_units", lambda u: u["cls"]).alias("_c")), model, "_u", "_c")
-        every = per_turn.select(key, F.struct(order, "ids", "mask").alias("_t"))
-        every = every.unionByName(keys.select(key, F.lit(None).cast(every.schema["_t"].dataType).alias("_t")))
-        seqs = every.groupBy(key).agg(F.array_sort(F.collect_list("_t")).alias("_u"))  # nulls are left out
-    else:
-        exploded = (units.select(key, order, F.posexplode("_units").alias("upos", "_u"))
-                    .select(key, order, "upos", F.col("_u.u").alias("unit"), F.col("_u.cls").alias("cls")))
-        enc = encode_exploded(exploded, model)
-        tok_mask = F.transform("ends", lambda e: F.when(F.col("cls") == 1, 1)
-                               .when((F.col("cls") == 2) & (e > 1), 1).otherwise(0))
-        seqs = (enc.withColumn("mask", tok_mask).groupBy(key)
-                .agg(F.array_sort(F.collect_list(F.struct(order, "upos", "ids", "mask"))).alias("_u")))
-        seqs = keys.join(seqs, key, "left")
-        seqs = seqs.withColumn("_u", F.coalesce("_u", F.array().cast(seqs.schema["_u"].dataType)))
+        chats = units.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_rk", "_units"))).alias("_t"))
+        flat = chats.select(key, F.slice(F.flatten(F.transform("_t", lambda t: t["_units"])), 1, max_len).alias("_units"))
+        seqs = encode_units_narrow(flat.select(key, F.col("_units.u").alias("_u"), F.col("_units.cls").alias("_c")), model, "_u", "_c")
+        return seqs.select(key, F.slice("ids", 1, max_len).alias("ids"), F.slice("mask", 1, max_len).alias("mask"))
+    exploded = (units.select(key, "_rk", F.posexplode("_units").alias("upos", "_u"))
+                .select(key, "_rk", "upos", F.col("_u.u").alias("unit"), F.col("_u.cls").alias("cls")))
+    enc = encode_exploded(exploded, model)
+    tok_mask = F.transform("ends", lambda e: F.when(F.col("cls") == 1, 1)
+                           .when((F.col("cls") == 2) & (e > 1), 1).otherwise(0))
+    seqs = (enc.withColumn("mask", tok_mask).groupBy(key)
+            .agg(F.array_sort(F.collect_list(F.struct("_rk", "upos", "ids", "mask"))).alias("_u")))
+    seqs = turns.select(key).distinct().join(seqs, key, "left")
+    seqs = seqs.withColumn("_u", F.coalesce("_u", F.array().cast(seqs.schema["_u"].dataType)))
     return seqs.select(key, F.slice(F.flatten(F.transform("_u", lambda u: u["ids"])), 1, max_len).alias("ids"),
                        F.slice(F.flatten(F.transform("_u", lambda u: u["mask"])), 1, max_len).alias("mask"))
 
@@ -106,7 +107,7 @@ def sft_examples(turns: DataFrame, model: BpeModel, max_len: int = 512, key: str
     Input is flat turns; ``human`` becomes ``user`` and roles the template does not know
     render nothing. Output: ``(key, n_tokens, n_supervised, input_ids, labels)``.
     """
-    rows = _encoded_turn_units(turns, model, max_len, key, order, role, text, True, strategy)
+    rows = _encoded_turn_units(turns, model, max_len, key, order, role, text, strategy)
     inputs, labels = shifted_rows(F.col("ids"), F.col("mask"), max_len)
     out = rows.select(key, F.size("ids").alias("n_tokens"), inputs, labels)
     return out.withColumn("n_supervised", A.supervised_count("labels"))
@@ -124,7 +125,7 @@ def flat_turns(conversations: DataFrame, id_col: str = "row_id", col: str = "con
 def assistant_mask(turns: DataFrame, model: BpeModel, max_len: int = 512, key: str = "conv_id",
                    order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """F4 on its own: ``(key, ids, mask)`` before shifting (mask 1 = assistant token)."""
-    return _encoded_turn_units(turns, model, max_len, key, order, role, text, True)
+    return _encoded_turn_units(turns, model, max_len, key, order, role, text)
 
 
 def supervision_stats(df: DataFrame, labels: str = "labels", ignore: int = IGNORE_INDEX) -> DataFrame:

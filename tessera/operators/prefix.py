@@ -16,7 +16,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -341,3 +342,70 @@ def early_stop_scan(df: DataFrame, value: str, order: str, by: list[str], rule:
             yield out()
 
     return rows.mapInArrow(run, schema)
+
+
+# ---- looking back in a byte stream
+
+def look_back(df: DataFrame, by: list[str], order: str, value: Column, stop: Column, width: int, out: str = "before",
+              partitions: int | None = None) -> DataFrame:
+    """(by, order, value, out) of a group's rows before its first ``stop``, with the last ``width`` bytes of the group's values
+    before each row. Rows with a null or empty ``value`` are left out. A group of any length is scanned in pieces."""
+    narrow = (df.select(*by, order, value.cast("binary").alias("value"), F.coalesce(stop, F.lit(False)).alias("_stop"))
+              .filter(F.col("_stop") | (F.octet_length("value") > 0)))
+    rows = ordered(narrow, by, [order], partitions)
+
+    def scanned(batches: Iterator[pa.RecordBatch], start: tuple | None):
+        """(batch, starts, whether ended, bytes before, states at row i) with the last group's (ended, last bytes) handed on."""
+        key, state = None, start
+        for batch in batches:
+            starts, n = segments(batch, by), batch.num_rows
+            into = state if key is None or key_at(batch, by, 0) == key else None
+            ended, held = into or (False, b"")
+            values, stops = batch.column("value").fill_null(b""), batch.column("_stop").to_numpy(zero_copy_only=False)
+            sizes = np.diff(np.append(starts, n))
+            begin = np.repeat(starts, sizes)
+            seen = np.cumsum(stops)
+            over = seen - np.repeat(seen[starts] - stops[starts], sizes) > 0
+            over[:sizes[0]] |= ended
+            at, shifted = np.arange(n), []
+            for k in range(width, 0, -1):  # each value before the stop has a byte, so `width` rows are enough
+                shifted.append(values.take(pa.array(at - k, mask=at - k < begin)).fill_null(b""))
+            before = pc.binary_slice(pc.binary_join_element_wise(*shifted, b""), -width, None) if width else values
+            if held:
+                first = [held + b.as_py() if i < width else b.as_py() for i, b in enumerate(before[:min(width, int(sizes[0]))])]
+                before = pa.concat_arrays([pa.array([b[-width:] for b in first], before.type), before[len(first):]])
+
+            def after(i, over=over, before=before, values=values):
+                return bool(over[i]), (before[i].as_py() + values[i].as_py())[-width:]
+
+            yield batch, starts, over, before, after
+            key, state = key_at(batch, by, int(starts[-1])), after(n - 1)
+
+    def summarise(batches: Iterator[pa.RecordBatch]):
+        first_key = summary = last_key = last = None
+        for batch, starts, _, _, after in scanned(batches, None):
+            keys = key_at(batch, by, 0), key_at(batch, by, int(starts[-1]))
+            first_key = keys[0] if first_key is None else first_key
+            if keys[0] == first_key:
+                summary = after((int(starts[1]) if len(starts) > 1 else batch.num_rows) - 1)
+            last_key, last = keys[1], after(batch.num_rows - 1)
+        return first_key, summary, last_key, None if last_key == first_key else last
+
+    def fold(state: tuple | None, summary: tuple) -> tuple:
+        return summary if state is None else (state[0] or summary[0], (state[1] + summary[1])[-width:])
+
+    known = carries(rows, summarise, fold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = (b for b in batches if b.num_rows)
+        head = next(batches, None)
+        if head is None:
+            return
+        start = known[head.column("_part")[0].as_py()].state
+        for batch, _, over, before, _ in scanned((b for part in ([head], batches) for b in part), start):
+            kept = [*by, order, "value"]
+            whole = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), before], names=[*kept, out])
+            yield whole.filter(pa.array(~over))
+
+    schema = T.StructType([*(narrow.schema[c] for c in [*by, order, "value"]), T.StructField(out, T.BinaryType())])
+    return rows.mapInArrow(run, schema)

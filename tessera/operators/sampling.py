@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import drop_specials
 from ..functions.text import EOS_ID, N_SPECIAL, col_
 from .ordering import hash_uniform
+from .prefix import look_back
 
 
 def temperature(logits, t) -> Column:
@@ -79,20 +80,19 @@ def text_deltas(df: DataFrame, vocab_hex: Column, gen: str = "gen_id", step: str
     prefix (Python-slice semantics, so a completed multi-byte character can replace an earlier
     U+FFFD without being emitted); steps at or after the first EOS and, if given, beyond
     ``max_new`` are cut, and empty pieces are dropped. A step is decoded with the unfinished
-    character before it (at most 3 bytes), so the work is linear in the output size."""
-    order = Window.partitionBy(gen).orderBy(step)
+    character before it (at most 3 bytes), so the work is linear in the output size. A prefix scan carries
+    these bytes and the end from range to range, so a generation of any length spreads over tasks."""
     if max_new is not None:
-        # keep the first max_new steps first: a row_number filter that Spark applies map-side
-        # (window group limit), so a long generation never reaches one task whole
+        # a row_number filter that Spark applies map-side (window group limit)
+        order = Window.partitionBy(gen).orderBy(step)
         df = df.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_new)
-    ended = F.max(F.col(token) == eos_id).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    live = df.withColumn("_ended", ended).filter(~F.coalesce("_ended", F.lit(False)))
-    # steps without bytes emit nothing; each other step has a byte, so three steps are looked back
-    own = live.withColumn("_hex", F.when(F.col(token) >= N_SPECIAL, F.try_element_at(vocab_hex, F.col(token) + 1))).filter(F.col("_hex") != "")
-    before = F.concat(*[F.coalesce(F.lag("_hex", k).over(order), F.lit("")) for k in (3, 2, 1)])
-    held = own.withColumn("_before", before).withColumn("_held", F.when(  # ASCII finishes at once
-        F.substring("_before", -2, 1) >= "8", F.regexp_extract(F.substring("_before", -6, 6), _UNFINISHED, 0)).otherwise(""))
-    text = bytes_to_text(F.unhex(F.concat("_held", "_hex")))
+    # steps without bytes emit nothing
+    own = F.unhex(F.when(F.col(token) >= N_SPECIAL, F.try_element_at(vocab_hex, F.col(token) + 1)))
+    rows = look_back(df, [gen], step, own, F.col(token) == eos_id, 3, "before")
+    before = F.hex("before")
+    held = rows.withColumn("_held", F.when(  # ASCII finishes at once
+        F.substring(before, -2, 1) >= "8", F.regexp_extract(before, _UNFINISHED, 0)).otherwise(""))
+    text = bytes_to_text(F.concat(F.unhex("_held"), F.col("value")))
     skip = F.when(F.col("_held") != "", 2).otherwise(1)
     return (held.withColumn("delta", F.substring(text, skip, F.lit((1 << 31) - 1)))
             .filter(F.length("delta") > 0)

@@ -897,11 +897,9 @@ def q_cut_at_eos(spark, sf):
        "SELECT doc_id AS gen_id, CAST(sum(strlen(c)) OVER (PARTITION BY doc_id ORDER BY i) - strlen(c) AS BIGINT) AS step, "
        "CASE WHEN strlen(c) = 1 THEN c ELSE chr(65533) END AS delta FROM o")
 def q_text_deltas(spark, sf):
-    # generated tokens: each document's byte symbols, one per step (base vocabulary); dealt by
-    # document before they become rows, so that the windows need no shuffle of steps
+    # generated tokens: each document's byte symbols, one per step (base vocabulary)
     model = C.BpeModel.base()
-    docs = _t(spark, sf, "documents")
-    gen = D.encode(docs, model, ["doc_id"]).repartition("doc_id")
+    gen = D.encode(_t(spark, sf, "documents"), model, ["doc_id"])
     steps = gen.select(F.col("doc_id").alias("gen_id"), F.posexplode("ids").alias("step", "token_id"))
     return I.text_deltas(steps, D.vocab_map(model)).withColumn("step", F.col("step").cast("long"))
 

@@ -175,6 +175,22 @@ def test_text_deltas_of_long_and_malformed_generations(spark):
         assert sorted(got.get(g, [])) == want, g
 
 
+def test_hot_generation_spans_ranges(spark):
+    """Carries cross ranges inside characters and an end stops every later range."""
+    from tessera.operators import prefix
+    data = ("añ日😀" * 300).encode()
+    rows = [(0, s, data[s:s + 1]) for s in range(len(data))] + [(1, s, b"ab" if s % 2 else b"") for s in range(40)] + [(2, 5, b"z")]
+    df = spark.createDataFrame(rows, "g long, s long, b binary").repartition(4)
+    for stop in (10**6, 1234):
+        got = prefix.look_back(df, ["g"], "s", F.col("b"), (F.col("g") == 0) & (F.col("s") == stop), 3, "before", 13)
+        assert got.select(F.spark_partition_id()).distinct().count() > 3
+        got = {(r.g, r.s): (bytes(r.value), bytes(r.before)) for r in got.collect()}
+        want = {(0, s): (data[s:s + 1], data[max(0, s - 3):s]) for s in range(min(stop, len(data)))}
+        want |= {(1, s): (b"ab", (b"ab" * (s // 2))[-3:]) for s in range(1, 40, 2)} | {(2, 5): (b"z", b"")}
+        assert got == want
+    assert prefix.look_back(df.limit(0), ["g"], "s", F.col("b"), F.lit(False), 3).count() == 0
+
+
 def test_text_deltas_query_takes_whole_texts(spark):
     docs = table(spark, SF_SMALL, "documents").selectExpr("doc_id", "octet_length(text) as n")
     steps = entry.queries()["text_deltas"](spark, SF_SMALL).groupBy("gen_id").agg(F.max("step").alias("step"))

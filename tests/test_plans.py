@@ -42,10 +42,21 @@ def test_no_cartesian_products(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_chat_role_filter_reaches_the_scan(spark):
+def test_chat_rows_deal_conversations_once(spark):
     plan = _plan(X.sft_examples(table(spark, SF_SMALL, "conversations"), C.BpeModel.base(), 512))
-    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
-    assert "PushedFilters: [In(role" in scan
+    assert plan.count("Exchange") == 1 and plan.count("FileScan parquet") == 1
+    assert "MapInArrow" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_huge_conversation_is_cut_before_its_units_are_made(spark):
+    from pyspark.sql import functions as F
+    n = 50_000
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                                  F.expr("case id % 3 when 0 then 'tool' when 1 then 'user' else 'assistant' end").alias("role"),
+                                  F.concat(F.lit("turn number "), F.col("id").cast("string")).alias("text"))
+    model = C.BpeModel.base()
+    few = X.sft_examples(turns.where("turn < 60"), model, 96).first()
+    assert X.sft_examples(turns.repartition(6), model, 96).collect() == [few] and few.n_tokens == 96
 
 
 def test_bounded_scan_and_lookup_push_down(spark):
