@@ -61,4 +61,6 @@ def digests(spark: SparkSession, target: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_crc32", "file", "row"])
 
     narrow = rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, file string, row long")
-    return running_total(narrow, [F.col("file"), F.col("row")], "n_tokens", "start").select("doc_id", "start", "n_tokens", "ids_crc32")
+    # names sort wrongly beyond 99,999 parts: the numbers of the part and of the task's file order them
+    numbers = [F.regexp_extract("file", pattern, 1).cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)(?:\.[a-z0-9]+)*$")]
+    return running_total(narrow, [*numbers, F.col("row")], "n_tokens", "start").select("doc_id", "start", "n_tokens", "ids_crc32")
