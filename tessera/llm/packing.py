@@ -6,14 +6,17 @@ fillings, each with the number of sequences that use it, are given back to the p
 of a piece among those of its length. No piece passes through the driver or a single task.
 
 The search takes the largest remaining length and completes its sequence. Completions are enumerated best
-fit first; one is dominated, and skipped, if exchanging a part of it for a longer unused piece still fits.
-A filling is repeated as often as the counts allow. The first descent is the incumbent; branches are cut
-when their waste exceeds what the incumbent may waste, and the search ends at the lower bound or after ``nodes`` nodes.
+fit first, along the sums that the pieces can make, so without dead ends; one is dominated, and skipped, if exchanging a
+piece of it for a longer unused one, or adding one, still fits. The first descent, best fit throughout, is the incumbent;
+then packings with one sequence less are sought, branches being cut when they waste more than that allows. The search ends at
+the lower bound, when a tree is empty, or after ``nodes`` lists of at most ``WIDTH`` completions: the problem is NP-hard.
 """
 
 from __future__ import annotations
 
 import bisect
+import itertools
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,73 +29,173 @@ from . import tokens
 from .common import numbered_within
 
 CAPACITY = 2048
-NODES = 200
-TRIES = 4000  # partial fillings tried for one completion list
+NODES = 12_000  # completion lists of one search
+TURN = 1500  # of these, for one order of equally full completions
+WIDTH = 8  # completions a list
+TRIES = 4 * WIDTH  # fillings looked at for one list
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences needed at least: total length, and pieces over half that can't share (Martello and Toth's second bound)."""
-    total = sum(n * c for n, c in counts.items())
-    best = -(-total // capacity)
-    for k in sorted({0} | {n for n in counts if 2 * n <= capacity}):
-        big = sum(c for n, c in counts.items() if n > capacity - k)
-        mid = [(n, c) for n, c in counts.items() if capacity - k >= n and 2 * n > capacity]
-        room = sum(c for _, c in mid) * capacity - sum(n * c for n, c in mid)
-        small = sum(n * c for n, c in counts.items() if k <= n and 2 * n <= capacity)
-        best = max(best, big + sum(c for _, c in mid) + max(0, -(-(small - room) // capacity)))
+    """Sequences needed at least, by dual feasible functions: a length is rounded so that no sequence's lengths can
+    sum to more than before. Up to a border, short pieces count nothing and what leaves less than the border
+    counts whole; the rest counts itself or its share in steps of 1/k."""
+    lengths, held = np.array(sorted(counts.items()), np.int64).T
+    best = 0
+    for border in [0, *(n for n in sorted(counts) if 2 * n <= capacity)]:
+        x = np.where(lengths > capacity - border, capacity, np.where(lengths < border, 0, lengths))
+        best = max(best, -(-int((x * held).sum()) // capacity))
+        for k in range(1, 12):
+            share = np.where(x * (k + 1) % capacity == 0, x * k, x * (k + 1) // capacity * capacity)
+            best = max(best, -(-int((share * held).sum()) // (k * capacity)))
     return best
 
 
-def completions(lengths: list[int], counts: dict[int, int], room: int, width: int) -> list[tuple[int, ...]]:
-    """Up to ``width`` undominated fillings of ``room``, fullest first (``lengths`` ascending)."""
-    found: set[tuple[int, ...]] = set()
-    tries = TRIES
-    used: dict[int, int] = {}
-
-    def free(n: int) -> bool:
-        return counts.get(n, 0) > used.get(n, 0)
-
-    def descend(left: int, most: int, chosen: list[int]) -> bool:
-        """Depth first, longest piece first; true once enough exact fillings are known."""
-        nonlocal tries
-        tries -= 1
-        if left in counts and left <= most and free(left):
-            found.add((*chosen, left))
-            return sum(1 for f in found if sum(f) == room) >= width
-        i, any_fit = bisect.bisect_right(lengths, min(left, most)) - 1, False
-        while i >= 0 and tries > 0:
-            n = lengths[i]
-            if free(n):
-                any_fit = True
-                used[n] = used.get(n, 0) + 1
-                chosen.append(n)
-                done = descend(left - n, n, chosen)
-                chosen.pop()
-                used[n] -= 1
-                if done:
-                    return True
-            i -= 1
-        if not any_fit:
-            found.add(tuple(chosen))
-        return False
-
-    descend(room, room, [])
-    if not found:
-        found.add(())
-    ranked = sorted(found, key=lambda f: (-sum(f), len(f), [-n for n in f]))
-
-    def dominated(f: tuple[int, ...]) -> bool:
-        slack = room - sum(f)
-        for n in set(f):
-            i = bisect.bisect_right(lengths, n + slack) - 1
-            while i >= 0 and lengths[i] > n:
-                if counts[lengths[i]] > f.count(lengths[i]):
-                    return True
-                i -= 1
-        return False
-
-    kept = [f for f in ranked if not dominated(f)] or ranked[:1]
-    return kept[:width]
+def reached(lengths: list[int], counts: dict[int, int], room: int) -> list[int]:
+    """For each number of first lengths the sums up to ``room`` that their pieces can make, as bits."""
+    table, mask = [1], (1 << (room + 1)) - 1
+    for n in lengths:
+        bits, left, step = table[-1], min(counts[n], room // n), 1
+        while left > 0:
+            bits |= bits << n * min(step, left) & mask
+            left -= step
+            step *= 2
+        table.append(bits)
+    return table
+
+
+def fillings(lengths: list[int], counts: dict[int, int], table: list[int], total: int) -> Iterator[tuple[int, ...]]:
+    """All choices of pieces that sum to ``total``, longest pieces first; ``table`` leads past dead ends."""
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(len(lengths), total, ())]
+    while stack:
+        j, rest, chosen = stack.pop()
+        if not rest:
+            yield chosen
+            continue
+        j = bisect.bisect_right(lengths, rest, 0, j)
+        while True:
+            n = lengths[j - 1]
+            fits = [m for m in range(min(counts[n], rest // n) + 1) if table[j - 1] >> rest - m * n & 1]
+            if fits != [0]:
+                break
+            j -= 1
+        stack.extend((j - 1, rest - m * n, chosen + (n,) * m) for m in fits)
+
+
+def completions(lengths: list[int], counts: dict[int, int], room: int, least: int = 0, width: int = WIDTH) -> list[tuple[int, ...]]:
+    """Undominated fillings of ``room`` with a sum of ``least`` or more, fullest first (``lengths`` ascending)."""
+    lengths = lengths[:bisect.bisect_right(lengths, room)]
+    table = reached(lengths, counts, room)
+    sums, found, tries = table[-1], [], TRIES
+    while sums and tries > 0 and len(found) < width:
+        total = sums.bit_length() - 1
+        if total < least:
+            break
+        sums ^= 1 << total
+        slack = room - total
+        for f in fillings(lengths, counts, table, total):
+            tries -= 1
+            longer = (lengths[i] for n in set(f) for i in range(bisect.bisect_right(lengths, n), bisect.bisect_right(lengths, n + slack)))
+            unused = f and slack >= lengths[0] and any(counts[n] > f.count(n) for n in lengths[:bisect.bisect_right(lengths, slack)])
+            if not unused and all(counts[n] <= f.count(n) for n in longer):
+                found.append(f)
+            if len(found) >= width or tries <= 0:
+                break
+    return found
+
+
+class _Search:
+    """Depth-first search for a packing in at most ``target`` sequences.
+
+    A node is the pieces left; its options complete the longest of them, as often as possible or once. Options whose
+    waste is more than ``target`` allows are cut, and so are pieces left that failed before with no more waste."""
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.counts, self.capacity = counts, capacity
+        self.total = sum(n * c for n, c in counts.items())
+        rng = random.Random(5)
+        self.marks = {n: rng.getrandbits(120) for n in counts}
+
+    def options(self, left: dict[int, int], slack: int | None, width: int, rng: random.Random | None = None) -> list[tuple[tuple[int, ...], int]]:
+        lengths = sorted(left)
+        top = lengths[-1]
+        room = self.capacity - top
+        rest = dict(left)
+        rest[top] -= 1
+        if not rest[top]:
+            del rest[top]
+            lengths.pop()
+        out = []
+        found = completions(lengths, rest, room, 0 if slack is None else room - slack, width)
+        if rng:
+            rng.shuffle(found)
+            found.sort(key=sum, reverse=True)
+        for f in found:
+            pattern = (top, *f)
+            waste = room - sum(f)
+            times = min(left[n] // pattern.count(n) for n in set(pattern))
+            if slack is not None and waste:
+                times = min(times, slack // waste)
+            out += [(pattern, times)] + [(pattern, 1)] * (times > 1 and width > 1)
+        return out
+
+    def take(self, left: dict[int, int], option: tuple[tuple[int, ...], int], sign: int) -> int:
+        """Use an option's pieces (or give them back); the change of the node's mark."""
+        mark = 0
+        for n in set(option[0]):
+            k = option[0].count(n) * option[1] * sign
+            left[n] = left.get(n, 0) - k
+            mark -= k * self.marks[n]
+            if not left[n]:
+                del left[n]
+        return mark
+
+    def greedy(self) -> list[tuple[tuple[int, ...], int]]:
+        """Best fit first: the first incumbent."""
+        left, plan = dict(self.counts), []
+        while left:
+            plan.append(self.options(left, None, 1)[0])
+            self.take(left, plan[-1], 1)
+        return plan
+
+    def within(self, target: int, nodes: int) -> tuple[list[tuple[tuple[int, ...], int]] | None, int, bool]:
+        """(packing or None, nodes left, whether the whole tree was searched): paths with one choice other than
+        the best fit first, then with two, and so on; of these the latest first. Each round takes equally full completions
+        in another order, and after ``TURN`` lists the next round begins."""
+        for turns in itertools.count(1):
+            rng, stop = random.Random(turns) if turns > 1 else None, max(0, nodes - TURN * turns)
+            left, plan, slack, mark, cut = dict(self.counts), [], target * self.capacity - self.total, 0, False
+            dead: dict[int, tuple[int, int]] = {}
+            frames = [(self.options(left, slack, WIDTH, rng), 0, turns, mark, slack)]
+            while frames:
+                options, i, free, mark, slack = frames.pop()
+                if i >= len(options) or (i and not free):
+                    cut |= i < len(options)
+                    dead[mark] = max(dead.get(mark, (-1, -1)), (slack, free))
+                    if plan:
+                        self.take(left, plan.pop(), -1)
+                    continue
+                frames.append((options, i + 1, free, mark, slack))
+                option, free = options[i], free - (i > 0)
+                after = mark + self.take(left, option, 1)
+                plan.append(option)
+                if not left:
+                    return plan, nodes, False
+                slack -= (self.capacity - sum(option[0])) * option[1]
+                known = dead.get(after)
+                if known and known[0] >= slack and known[1] >= free:
+                    cut = True  # perhaps cut there
+                    self.take(left, plan.pop(), -1)
+                    continue
+                nodes -= 1
+                if nodes <= 0:
+                    return None, 0, False
+                if nodes <= stop:
+                    cut = True
+                    break
+                frames.append((self.options(left, slack, WIDTH, rng), 0, free, after, slack))
+            if not cut:
+                return None, nodes, True
+        raise AssertionError
 
 
 def fill(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
@@ -101,49 +204,12 @@ def fill(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -
     if not counts:
         return []
     bound = lower_bound(counts, capacity)
-    total = sum(n * c for n, c in counts.items())
-    best: list[tuple[tuple[int, ...], int]] = []
-    best_size = None
-    budget = nodes
-
-    def search(picks: tuple[int, ...]) -> tuple[list, int, list[int]]:
-        """Descend with the given branch choices, then best fit; also how wide each step branched."""
-        left, plan, size, waste, widths = dict(counts), [], 0, 0, []
-        lengths = sorted(left)
-        while lengths:
-            top = lengths[-1]
-            left[top] -= 1
-            step = len(widths)
-            options = completions([n for n in lengths if left[n]], {n: c for n, c in left.items() if c}, capacity - top, 3)
-            left[top] += 1
-            choice = options[min(picks[step] if step < len(picks) else 0, len(options) - 1)]
-            widths.append(len(options))
-            pattern = (top, *choice)
-            need = {n: pattern.count(n) for n in set(pattern)}
-            times = min(left[n] // k for n, k in need.items())
-            for n, k in need.items():
-                left[n] -= k * times
-            plan.append((pattern, times))
-            size += times
-            waste += (capacity - sum(pattern)) * times
-            lengths = [n for n in lengths if left[n]]
-            if best_size is not None and waste > (best_size - 1) * capacity - total:
-                return plan, -1, widths  # more waste than a better packing may have
-        return plan, size, widths
-
-    stack: list[tuple[int, ...]] = [()]
-    while stack and budget > 0:
-        picks = stack.pop()
-        budget -= 1
-        plan, size, widths = search(picks)
-        if size >= 0 and (best_size is None or size < best_size):
-            best, best_size = plan, size
-        if best_size == bound:
-            break
-        # branch at the steps after the given choices, latest first explored last
-        for step in range(len(picks), min(len(widths), len(picks) + 8)):
-            for other in range(1, widths[step]):
-                stack.insert(0, (*picks, *(0,) * (step - len(picks)), other))
+    search = _Search(counts, capacity)
+    best = search.greedy()
+    empty = False
+    while nodes > 0 and not empty and (size := sum(t for _, t in best)) > bound:
+        found, nodes, empty = search.within(size - 1, nodes)
+        best = found or best
     return best
 
 

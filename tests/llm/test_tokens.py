@@ -110,6 +110,33 @@ def test_search_reaches_the_optimum_of_small_cases():
         assert packing.lower_bound(counts, 100) <= best == sum(t for _, t in plan)
 
 
+def test_bound_never_exceeds_the_optimum_and_lists_are_undominated():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        items = rng.integers(1, 101, 8).tolist()
+        assert packing.lower_bound(Counter(items), 100) <= optimum(items, 100)
+        counts = Counter(items)
+        sums = {0}
+        for n in items:
+            sums |= {s + n for s in sums if s + n <= 70}
+        found = packing.completions(sorted(counts), counts, 70)
+        assert sum(found[0]) == max(sums)
+        assert all(not Counter(f) - counts and sum(f) in sums for f in found) and len(set(found)) == len(found)
+
+
+def test_search_improves_hard_tables_in_seconds():
+    rng = np.random.default_rng(2)
+    for low, high, n, gap in ((300, 800, 2000, 6), (500, 1000, 300, 12)):
+        counts = Counter(rng.integers(low, high + 1, n).tolist())
+        plan = packing.fill(counts, nodes=3000)
+        used = Counter()
+        for p, times in plan:
+            assert sum(p) <= 2048
+            for x in p:
+                used[x] += times
+        assert used == counts and sum(t for _, t in plan) <= packing.lower_bound(counts, 2048) + gap
+
+
 def test_fill_many_and_hard_counts():
     assert packing.fill({}, 10) == []
     assert sum(t for _, t in packing.fill({10: 5}, 10)) == 5
