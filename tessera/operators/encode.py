@@ -17,7 +17,14 @@ Encoding plan (dictionary encode, Spark-first):
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterator
+from itertools import accumulate
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,7 +77,8 @@ class WordCache:
     def put(self, word: str, hit: tuple) -> None:
         if len(word) > self.longest:
             return
-        size = 400 + 4 * len(word) + 80 * len(hit[0])  # two lists of numbers, their tuple and the entry
+        # two lists of numbers or their bytes, their tuple and the entry
+        size = 400 + 4 * len(word) + (len(hit[0]) + len(hit[1]) if isinstance(hit[0], bytes) else 80 * len(hit[0]))
         if self.size + size > self.limit:
             self.words.clear()
             self.size = 0
@@ -101,28 +109,59 @@ def _word_encoder(ranks_bc, vocab_len_bc):
     return encode_partition
 
 
-def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | None):
-    """Per-batch encoder over Arrow data. Python loops only over the *distinct* words of a
-    batch (with a bounded per-task cache across batches); gathering every unit's tokens, the
-    per-row offsets and the supervision mask is vectorised numpy."""
-    from itertools import chain
+SLICE_BYTES = 2 << 20  # bytes of units that a task encodes at once
+
 
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
+def _pieces(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive places [a, b) of at most ``limit`` by the running sizes ``ends``; a larger place is alone."""
+    a, n = 0, len(ends)
+    while a < n:
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield a, b
+        a = b
 
+
+def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | None):
+    """Per-batch encoder over Arrow data. Python loops only over the *distinct* words of a
+    slice (with a bounded per-task cache across slices); gathering every unit's tokens, the
+    per-row offsets and the supervision mask is vectorised numpy. Rows go in slices of ``SLICE_BYTES`` bytes of units, and a
+    larger row's units in such slices too, so what a task holds follows neither the batch's rows nor a row's length
+    (but for that row's ids)."""
     specials = {s: i for i, s in enumerate(SPECIAL_TOKENS)}
 
     def encode_word(w, ranks, lens):
+        """Ids and, with classes, cumulative byte ends of a unit, as the bytes of their numbers."""
         sid = specials.get(w)
         if sid is not None:
-            return [sid], [len(w.encode("utf-8"))]
-        ids = bpe_word([BYTE_TO_ID[b] for b in w.encode("utf-8")], ranks)
-        ends, acc = [], 0
-        for t in ids:
-            acc += lens[t]
-            ends.append(acc)
-        return ids, ends
+            ids, ends = [sid], [len(w.encode("utf-8"))]
+        else:
+            ids = bpe_word([BYTE_TO_ID[b] for b in w.encode("utf-8")], ranks)
+            ends = accumulate(lens[t] for t in ids)
+        return array("i", ids).tobytes(), b"" if cls_col is None else array("i", ends).tobytes()
+
+    def encode_units(flat, cls, ranks, lens, cache):
+        """Number of tokens of each unit, all tokens and, with classes, their mask."""
+        enc = pc.dictionary_encode(flat)
+        idx = enc.indices.to_numpy(zero_copy_only=False)
+        hits = []
+        for w in enc.dictionary.to_pylist():
+            hit = cache.get(w)
+            if hit is None:
+                hit = encode_word(w, ranks, lens)
+                cache.put(w, hit)
+            hits.append(hit)
+        u_len = np.fromiter((len(h[0]) for h in hits), np.int64, len(hits)) // 4
+        u_off = np.concatenate([[0], np.cumsum(u_len)])
+        tl = u_len[idx]
+        unit_tok_off = np.concatenate([[0], np.cumsum(tl)])
+        gather = np.repeat(u_off[idx] - unit_tok_off[:-1], tl) + np.arange(unit_tok_off[-1])
+        tokens = np.frombuffer(b"".join(h[0] for h in hits), np.int32)[gather]
+        if cls is None:
+            return tl, tokens, None
+        ends = np.frombuffer(b"".join(h[1] for h in hits), np.int32)[gather]
+        cls_tok = np.repeat(cls, tl)
+        return tl, tokens, ((cls_tok == 1) | ((cls_tok == 2) & (ends > 1))).astype(np.int32)
 
     def encode_batches(batches):
         ranks = ranks_bc.value
@@ -130,43 +169,23 @@ def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | N
         cache = WordCache()
         for rb in batches:
             col = rb.column(rb.schema.get_field_index(units_col))
-            n_units = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+            row_units = np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
             flat = pc.list_flatten(col)
-            if len(flat):
-                enc = pc.dictionary_encode(flat)
-                idx = enc.indices.to_numpy(zero_copy_only=False)
-                u_ids, u_ends = [], []
-                for w in enc.dictionary.to_pylist():
-                    hit = cache.get(w)
-                    if hit is None:
-                        hit = encode_word(w, ranks, lens)
-                        cache.put(w, hit)
-                    u_ids.append(hit[0])
-                    u_ends.append(hit[1])
-                u_len = np.fromiter((len(a) for a in u_ids), np.int64, len(u_ids))
-                u_off = np.concatenate([[0], np.cumsum(u_len)])
-                tl = u_len[idx]                                   # tokens of each unit
-                unit_tok_off = np.concatenate([[0], np.cumsum(tl)])
-                gather = np.repeat(u_off[idx] - unit_tok_off[:-1], tl) + np.arange(unit_tok_off[-1])
-                tokens = np.fromiter(chain.from_iterable(u_ids), np.int32, int(u_off[-1]))[gather]
-                ends = np.fromiter(chain.from_iterable(u_ends), np.int32, int(u_off[-1]))[gather]
-            else:
-                tl = np.zeros(0, np.int64)
-                unit_tok_off = np.zeros(1, np.int64)
-                tokens = ends = np.zeros(0, np.int32)
-            row_unit_off = np.concatenate([[0], np.cumsum(n_units)])
-            row_tok_off = unit_tok_off[row_unit_off].astype(np.int32)
+            cls = None if cls_col is None else pc.list_flatten(rb.column(rb.schema.get_field_index(cls_col))).to_numpy(zero_copy_only=False)
+            size = np.concatenate([[0], np.cumsum(pc.binary_length(flat).to_numpy(zero_copy_only=False) + 1, dtype=np.int64)])  # of all units before
             names = [f.name for f in rb.schema if f.name not in (units_col, cls_col)]
-            arrays = [rb.column(rb.schema.get_field_index(n)) for n in names]
-            arrays.append(pa.ListArray.from_arrays(pa.array(row_tok_off, pa.int32()), pa.array(tokens, pa.int32())))
-            names.append("ids")
-            if cls_col is not None:
-                cls = pc.list_flatten(rb.column(rb.schema.get_field_index(cls_col))).to_numpy(zero_copy_only=False)
-                cls_tok = np.repeat(cls, tl)
-                mask = ((cls_tok == 1) | ((cls_tok == 2) & (ends > 1))).astype(np.int32)
-                arrays.append(pa.ListArray.from_arrays(pa.array(row_tok_off, pa.int32()), pa.array(mask, pa.int32())))
-                names.append("mask")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for a, b in _pieces(size[row_units] + np.arange(1, len(row_units) + 1), SLICE_BYTES):
+                first, last = int(row_units[a - 1]) if a else 0, int(row_units[b - 1])
+                done = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
+                for x, y in _pieces(size[first + 1:last + 1] - size[first], SLICE_BYTES):
+                    x, y = first + x, first + y
+                    done.append(encode_units(flat.slice(x, y - x), None if cls is None else cls[x:y], ranks, lens, cache))
+                unit_tok_off = np.concatenate([[0], np.cumsum(np.concatenate([d[0] for d in done]))])
+                row_tok_off = pa.array(unit_tok_off[np.concatenate([[0], row_units[a:b] - first])], pa.int32())
+                lists = [pa.ListArray.from_arrays(row_tok_off, pa.array(np.concatenate([d[k] for d in done]), pa.int32()))
+                         for k in ((1,) if cls is None else (1, 2))]
+                yield pa.RecordBatch.from_arrays([*(rb.column(n).slice(a, b - a) for n in names), *lists],
+                                                 names=[*names, "ids", *(["mask"] if cls is not None else [])])
     return encode_batches
 
 

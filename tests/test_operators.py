@@ -219,3 +219,30 @@ def test_best_checkpoints_all_ranks_equal_window(spark):
         assert got == want
         small = {r.event_id: r.rank for r in H.best_checkpoints(ev, 3, "value", "ts", ["user_id", "event_type"], mode).collect()}
         assert small == {e: r for e, r in want.items() if r <= 3}
+
+
+def test_encoder_works_in_bounded_slices():
+    """A batch of many rows, or of one long row, is not expanded at once."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from tessera.functions.text import BYTE_TO_ID
+    model = C.BpeModel.base()
+    rng = np.random.default_rng(4)
+    words = ["w%05x" % x for x in rng.integers(0, 1 << 20, 400)] + ["é", "<|im_end|>", ""]
+    rows = [[words[i] for i in rng.integers(0, len(words), 500)] for _ in range(2500)] + [[], None, words * 2500, ["a"]]
+    cls = [None if r is None else [i % 3 for i in range(len(r))] for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows, pa.list_(pa.string())), pa.array(cls, pa.list_(pa.int32()))], names=["k", "u", "c"])
+    shared = [SimpleNamespace(value=x) for x in (model.ranks(), {i: len(b) for i, b in model.vocab.items()})]
+    run = D._arrow_unit_encoder(*shared, "u", "c")
+    n, most = 0, 0
+    for out in run([batch]):
+        most = max(most, out.num_rows)
+        tail = out.slice(max(out.num_rows - 4, 0))
+        for k, ids, mask in zip(*(tail.column(c).to_pylist() for c in ("k", "ids", "mask"))):
+            want = [([1], [c > 0]) if u == "<|im_end|>" else ([BYTE_TO_ID[b] for b in u.encode()], [c == 1 or (c == 2 and j > 0) for j in range(len(u.encode()))])
+                    for u, c in zip(rows[k] or [], cls[k] or [])]
+            assert ids == [t for u, _ in want for t in u]
+            assert mask == [int(m) for _, ms in want for m in ms]
+        n += out.num_rows
+    assert n == len(rows) and most < 1000
