@@ -346,18 +346,133 @@ def early_stop_scan(df: DataFrame, value: str, order: str, by: list[str], rule:
 
 # ---- looking back in a byte stream
 
+SPAN = 256  # places of one packed run: the most that an exchange can't split
+SLICE_ROWS = 1 << 17  # rows unpacked at once
+
+
+def _packer(by: list[str], order: str):
+    """Batches of rows as runs: neighbours of one group and block are one row, with the values' bytes in one piece.
+
+    Places that count up by one are kept as the first of them, values of one byte each without their sizes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            starts = segments(batch, [*by, "_block"])
+            bounds, first = np.append(starts, n), pa.array(starts)
+            places, stops = batch.column(order), batch.column("_stop").to_numpy(zero_copy_only=False)
+            values = batch.column("value").cast(pa.binary()).fill_null(b"")
+            sizes = pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int32)
+            odd = np.zeros(n, bool)  # places that do not follow the one before
+            if pa.types.is_integer(places.type) and not places.null_count:
+                odd[1:] = np.diff(places.to_numpy().astype(np.int64)) != 1
+                odd[starts] = False
+            else:
+                odd[:] = True
+
+            def lists(wanted: np.ndarray, items: pa.Array) -> pa.Array:
+                """The items of the runs that hold a wanted row; null for the others."""
+                runs = np.logical_or.reduceat(wanted, starts)
+                length = np.where(runs, np.diff(bounds), 0)
+                off = pa.array(np.append(0, np.cumsum(length)), pa.int32())
+                return pa.ListArray.from_arrays(off, items.filter(pa.array(np.repeat(runs, np.diff(bounds)))), mask=pa.array(~runs))
+
+            data = b"".join(b for b in values.buffers()[2:] if b is not None)
+            at = np.append(0, np.cumsum(sizes, dtype=np.int64))[bounds].astype(np.int32)
+            blob = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(b).take(first) for b in by), batch.column("_block").take(first), places.take(first), pa.array(np.diff(bounds), pa.int32()),
+                 lists(odd, places), lists(sizes != 1, pa.array(sizes)), lists(stops, pa.array(stops)), blob],
+                names=[*by, "_block", "_first", "_n", "_places", "_sizes", "_stops", "_bytes"])
+    return run
+
+
+def _unpack(packs: pa.RecordBatch, by: list[str], order: str) -> pa.RecordBatch:
+    """The rows of packed runs, in order inside each group and block."""
+    n = packs.column("_n").to_numpy().astype(np.int64)
+    run = np.repeat(np.arange(len(n)), n)
+
+    def spread_lists(name: str, default: pa.Array) -> pa.Array:
+        """Each row's item: of its run's list, else of ``default``."""
+        column = packs.column(name)
+        listed = np.repeat(~np.asarray(column.is_null()), n)
+        items = column.flatten()
+        index = np.where(listed, np.cumsum(listed) - 1, len(items) + np.arange(len(run)))
+        return pa.concat_arrays([items, default]).take(pa.array(index)) if len(items) else default
+
+    first = packs.column("_first")
+    if pa.types.is_integer(first.type):
+        counted = first.fill_null(0).to_numpy().astype(np.int64)[run] + np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        nulls = packs.column("_places").is_null().to_numpy(zero_copy_only=False)[run]  # others' numbers are not used and may be out of range
+        default = pa.array(np.where(nulls, counted, 0), first.type)
+    else:
+        default = pa.nulls(len(run), first.type)
+    places = spread_lists("_places", default)
+    sizes = spread_lists("_sizes", pa.array(np.ones(len(run), np.int32))).to_numpy()
+    stops = spread_lists("_stops", pa.array(np.zeros(len(run), bool)))
+    data = b"".join(packs.column("_bytes").to_pylist())
+    at = np.append(0, np.cumsum(sizes, dtype=np.int64)).astype(np.int32)
+    values = pa.Array.from_buffers(pa.binary(), len(run), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])
+    rows = pa.RecordBatch.from_arrays([*(packs.column(b).take(pa.array(run)) for b in by), places, values, stops], names=[*by, order, "value", "_stop"])
+    group = np.zeros(len(n), np.int64)
+    group[segments(packs, [*by, "_block"])] = 1
+    group = np.cumsum(group)[run]
+    if pa.types.is_integer(places.type):  # else a block is one place
+        held = places.fill_null(0).to_numpy().astype(np.int64)  # a block of nulls holds nothing else
+        if ((np.diff(held) < 0) & (np.diff(group) == 0)).any():
+            rows = rows.take(pa.array(np.lexsort((held, group))))
+    return rows
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], by: list[str], order: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a sorted stream of packed runs, some ``SLICE_ROWS`` at a time, with ``_part``; a block is never cut."""
+    held: pa.RecordBatch | None = None
+    part = None
+
+    def rows(packs: pa.RecordBatch) -> pa.RecordBatch:
+        out = _unpack(packs, by, order)
+        return out.append_column("_part", pa.array(np.full(out.num_rows, part, np.int32)))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = batch.column("_part")[0].as_py()
+        packs = batch.drop_columns(["_part"])
+        packs = packs if held is None else pa.concat_batches([held, packs])
+        starts = segments(packs, [*by, "_block"])
+        rows_before = np.append(0, np.cumsum(packs.column("_n").to_numpy(), dtype=np.int64))[starts]
+        a = 0
+        while a < len(starts) - 1:
+            b = max(a + 1, min(int(np.searchsorted(rows_before, rows_before[a] + SLICE_ROWS, side="right")) - 1, len(starts) - 1))
+            yield rows(packs.slice(starts[a], starts[b] - starts[a]))
+            a = b
+        held = packs.slice(starts[-1])
+    if held is not None:
+        yield rows(held)
+
+
 def look_back(df: DataFrame, by: list[str], order: str, value: Column, stop: Column, width: int, out: str = "before",
               partitions: int | None = None) -> DataFrame:
     """(by, order, value, out) of a group's rows before its first ``stop``, with the last ``width`` bytes of the group's values
-    before each row. Rows with a null or empty ``value`` are left out. A group of any length is scanned in pieces."""
+    before each row. Rows with a null or empty ``value`` are left out. A group of any length is scanned in pieces.
+
+    Rows are packed before they are exchanged: neighbours of one group whose places share a block of ``SPAN`` are one row, so what
+    is written to disk is little more than the values' bytes. A block goes to one range whole, and its runs are put in order there."""
     narrow = (df.select(*by, order, value.cast("binary").alias("value"), F.coalesce(stop, F.lit(False)).alias("_stop"))
               .filter(F.col("_stop") | (F.octet_length("value") > 0)))
-    rows = ordered(narrow, by, [order], partitions)
+    place = narrow.schema[order].dataType
+    block = F.expr(f"`{order}` div {SPAN}") if isinstance(place, T.IntegralType) else F.col(order)
+    blocked = narrow.withColumn("_block", block)
+    packed = T.StructType([*(blocked.schema[c] for c in [*by, "_block"]), T.StructField("_first", place), T.StructField("_n", T.IntegerType()),
+                           T.StructField("_places", T.ArrayType(place)), T.StructField("_sizes", T.ArrayType(T.IntegerType())),
+                           T.StructField("_stops", T.ArrayType(T.BooleanType())), T.StructField("_bytes", T.BinaryType())])
+    rows = ordered(blocked.mapInArrow(_packer(by, order), packed), by, ["_block"], partitions)
 
     def scanned(batches: Iterator[pa.RecordBatch], start: tuple | None):
         """(batch, starts, whether ended, bytes before, states at row i) with the last group's (ended, last bytes) handed on."""
         key, state = None, start
-        for batch in batches:
+        for batch in _unpacked(batches, by, order):
             starts, n = segments(batch, by), batch.num_rows
             into = state if key is None or key_at(batch, by, 0) == key else None
             ended, held = into or (False, b"")

@@ -246,3 +246,36 @@ def test_encoder_works_in_bounded_slices():
             assert mask == [int(m) for _, ms in want for m in ms]
         n += out.num_rows
     assert n == len(rows) and most < 1000
+
+
+def test_text_deltas_write_little_more_than_their_bytes(spark):
+    """What is exchanged and checkpointed are packed runs, not one row a step; steps in any order, negative or of any type give the same."""
+    import os
+
+    from tessera.operators import prefix
+    from tessera.session import ensure_checkpoint_dir
+
+    def kept():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(ensure_checkpoint_dir(spark)) for f in fs)
+
+    n = 200_000
+    df = spark.range(n).selectExpr("id div 2000 as g", "id % 2000 - 500 as s")
+    before = kept()
+    got = prefix.look_back(df, ["g"], "s", F.encode((F.abs("s") % 10).cast("string"), "UTF-8"), F.lit(False), 3)
+    assert got.count() == n and kept() - before < 3 * n
+    rng = np.random.default_rng(5)
+    rows = [(g, int(s), bytes(rng.integers(65, 91, int(rng.integers(0, 4))))) for g in (None, 0, 1) for s in rng.permutation(np.arange(-700, 700) * 3)]
+    steps = spark.createDataFrame(rows, "g int, s int, b binary")
+    for order in (F.col("s"), F.format_string("%05d", F.col("s") + 3000), F.col("s").cast("double")):
+        found = prefix.look_back(steps.withColumn("o", order), ["g"], "o", F.col("b"), (F.col("g") == 1) & (F.col("s") == 300), 3, partitions=7)
+        found = sorted(((r.g is None, r.g or 0, r.o), bytes(r.value), bytes(r.before)) for r in found.collect())
+        want = {}
+        for g in (0, 1, None):
+            text = b""
+            for s, b in sorted((s, b) for k, s, b in rows if k == g):
+                if g == 1 and s >= 300:
+                    break
+                if b:
+                    want.setdefault(g, []).append((s, b, text[-3:]))
+                text += b
+        assert [x[1:] for x in found] == [x[1:] for g in (0, 1, None) for x in want[g]]
