@@ -465,3 +465,78 @@ def bpe_word(symbols: list[int], ranks: dict) -> list[int]:
             if hit is not None:
                 heapq.heappush(heap, (hit[0], p, sym[p], new, hit[1]))
     return [x for x in sym if x is not None]
+
+
+LONG_WORD = 48  # symbols; longer words are merged one by one
+
+
+class MergeTable:
+    """Merges as sorted pair codes, for many words at a time."""
+
+    def __init__(self, ranks: dict):
+        self.ranks = ranks
+        items = sorted((_code(l, r), k, n) for (l, r), (k, n) in ranks.items())
+        self.codes = np.array([x[0] for x in items] or [-1], np.int64)  # no pair has the code -1
+        self.rank = np.array([x[1] for x in items] or [0], np.int32)
+        self.none = int(self.rank.max()) + 1
+        self.new = np.zeros(self.none, np.int32)
+        self.new[self.rank] = [x[2] for x in items] or [0]
+
+    def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; ``none`` where they are not merged."""
+        code = _code(left.astype(np.int64), right)
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[at] == code, self.rank[at], np.int32(self.none))
+
+
+def bpe_words(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table: MergeTable) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words one after the other, and their numbers; word ``i`` is ``symbols[starts[i]:starts[i] + sizes[i]]``.
+
+    The same merges as :func:`bpe_word`'s: words of one length are rows of a matrix, and each step merges in every row its first place
+    of lowest rank, so rows stay equally long until they are done."""
+    counts = np.zeros(len(sizes), np.int64)
+    done: list[tuple[np.ndarray, np.ndarray]] = []  # (words, their ids as rows)
+
+    def put(words: np.ndarray, rows: np.ndarray) -> None:
+        counts[words] = rows.shape[1]
+        done.append((words, rows))
+
+    by_size = np.argsort(sizes, kind="stable")
+    ranked = sizes[by_size]
+    cuts = [0, *(np.flatnonzero(np.diff(ranked)) + 1).tolist(), len(ranked)]
+    for a, b in zip(cuts, cuts[1:]):
+        size = int(ranked[a]) if b > a else 0
+        if not size:
+            continue
+        words = by_size[a:b]
+        if size > LONG_WORD:
+            for i in words:
+                ids = bpe_word(symbols[starts[i]:starts[i] + size].tolist(), table.ranks)
+                put(np.array([i]), np.array([ids], np.int32))
+            continue
+        rows = symbols[starts[words][:, None] + np.arange(size)].astype(np.int32)
+        ranks = table.lookup(rows[:, :-1], rows[:, 1:])
+        while ranks.shape[1]:
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(at)), at]
+            live = best < table.none
+            if not live.all():
+                put(words[~live], rows[~live])
+                words, rows, ranks, at, best = words[live], rows[live], ranks[live], at[live], best[live]
+            if not len(words):
+                break
+            n, at_ = np.arange(len(words)), at[:, None]
+            rows = np.where(np.arange(rows.shape[1] - 1) < at_, rows[:, :-1], rows[:, 1:])
+            rows[n, at] = table.new[best]
+            ranks = np.where(np.arange(ranks.shape[1] - 1) < at_, ranks[:, :-1], ranks[:, 1:])
+            for k in (at - 1, at):
+                i = np.flatnonzero((k >= 0) & (k < ranks.shape[1]))
+                j = k[i]
+                ranks[i, j] = table.lookup(rows[i, j], rows[i, j + 1])
+        if len(words):
+            put(words, rows)
+    begin = np.cumsum(counts) - counts
+    out = np.empty(int(counts.sum()), np.int32)
+    for words, rows in done:
+        out[begin[words][:, None] + np.arange(rows.shape[1])] = rows
+    return out, counts

@@ -17,9 +17,7 @@ Encoding plan (dictionary encode, Spark-first):
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -33,7 +31,7 @@ from ..functions.text import (BYTE_TO_ID, SPECIAL_TOKENS, col_, is_special, nfkc
                               pretokens, special_id, split_specials)
 from ..functions.arrays import truncate
 from ..session import spread
-from .bpe import BpeModel, bpe_word
+from .bpe import BpeModel, MergeTable, bpe_word, bpe_words
 
 DICT_SCHEMA = T.StructType([
     T.StructField("word", T.StringType()),
@@ -77,8 +75,7 @@ class WordCache:
     def put(self, word: str, hit: tuple) -> None:
         if len(word) > self.longest:
             return
-        # two lists of numbers or their bytes, their tuple and the entry
-        size = 400 + 4 * len(word) + (len(hit[0]) + len(hit[1]) if isinstance(hit[0], bytes) else 80 * len(hit[0]))
+        size = 400 + 4 * len(word) + 80 * len(hit[0])  # two lists of numbers, their tuple and the entry
         if self.size + size > self.limit:
             self.words.clear()
             self.size = 0
@@ -123,50 +120,42 @@ def _pieces(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | None):
-    """Per-batch encoder over Arrow data. Python loops only over the *distinct* words of a
-    slice (with a bounded per-task cache across slices); gathering every unit's tokens, the
+    """Per-batch encoder over Arrow data. The *distinct* words of a slice are merged together
+    (``bpe_words``); gathering every unit's tokens, the
     per-row offsets and the supervision mask is vectorised numpy. Rows go in slices of ``SLICE_BYTES`` bytes of units, and a
     larger row's units in such slices too, so what a task holds follows neither the batch's rows nor a row's length
     (but for that row's ids)."""
-    specials = {s: i for i, s in enumerate(SPECIAL_TOKENS)}
-
-    def encode_word(w, ranks, lens):
-        """Ids and, with classes, cumulative byte ends of a unit, as the bytes of their numbers."""
-        sid = specials.get(w)
-        if sid is not None:
-            ids, ends = [sid], [len(w.encode("utf-8"))]
-        else:
-            ids = bpe_word([BYTE_TO_ID[b] for b in w.encode("utf-8")], ranks)
-            ends = accumulate(lens[t] for t in ids)
-        return array("i", ids).tobytes(), b"" if cls_col is None else array("i", ends).tobytes()
-
-    def encode_units(flat, cls, ranks, lens, cache):
+    symbol = np.array(BYTE_TO_ID, np.int32)
+
+    def encode_units(flat, cls, table, lens):
         """Number of tokens of each unit, all tokens and, with classes, their mask."""
         enc = pc.dictionary_encode(flat)
         idx = enc.indices.to_numpy(zero_copy_only=False)
-        hits = []
-        for w in enc.dictionary.to_pylist():
-            hit = cache.get(w)
-            if hit is None:
-                hit = encode_word(w, ranks, lens)
-                cache.put(w, hit)
-            hits.append(hit)
-        u_len = np.fromiter((len(h[0]) for h in hits), np.int64, len(hits)) // 4
+        words = enc.dictionary.cast(pa.large_string())
+        off = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        special = pc.fill_null(pc.index_in(words, pa.array(SPECIAL_TOKENS, pa.large_string())), -1).to_numpy(zero_copy_only=False)
+        # a special unit is one symbol, its id, which no merge takes
+        symbols = symbol[np.frombuffer(words.buffers()[2] or b"", np.uint8)]
+        sizes = np.diff(off)
+        named = np.flatnonzero(special >= 0)
+        symbols[off[named]] = special[named]
+        sizes[named] = 1
+        ids, u_len = bpe_words(symbols, off[:-1], sizes, table)
         u_off = np.concatenate([[0], np.cumsum(u_len)])
         tl = u_len[idx]
         unit_tok_off = np.concatenate([[0], np.cumsum(tl)])
         gather = np.repeat(u_off[idx] - unit_tok_off[:-1], tl) + np.arange(unit_tok_off[-1])
-        tokens = np.frombuffer(b"".join(h[0] for h in hits), np.int32)[gather]
         if cls is None:
-            return tl, tokens, None
-        ends = np.frombuffer(b"".join(h[1] for h in hits), np.int32)[gather]
+            return tl, ids[gather], None
+        total = np.concatenate([[0], np.cumsum(lens[ids])])
+        ends = total[1:] - np.repeat(total[u_off[:-1]], u_len)  # cumulative byte ends inside a unit
         cls_tok = np.repeat(cls, tl)
-        return tl, tokens, ((cls_tok == 1) | ((cls_tok == 2) & (ends > 1))).astype(np.int32)
+        return tl, ids[gather], ((cls_tok == 1) | ((cls_tok == 2) & (ends[gather] > 1))).astype(np.int32)
 
     def encode_batches(batches):
-        ranks = ranks_bc.value
-        lens = vocab_len_bc.value
-        cache = WordCache()
+        table = MergeTable(ranks_bc.value)
+        lens = np.zeros(max(vocab_len_bc.value) + 1, np.int64)
+        lens[list(vocab_len_bc.value)] = list(vocab_len_bc.value.values())
         for rb in batches:
             col = rb.column(rb.schema.get_field_index(units_col))
             row_units = np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -179,7 +168,7 @@ def _arrow_unit_encoder(ranks_bc, vocab_len_bc, units_col: str, cls_col: str | N
                 done = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
                 for x, y in _pieces(size[first + 1:last + 1] - size[first], SLICE_BYTES):
                     x, y = first + x, first + y
-                    done.append(encode_units(flat.slice(x, y - x), None if cls is None else cls[x:y], ranks, lens, cache))
+                    done.append(encode_units(flat.slice(x, y - x), None if cls is None else cls[x:y], table, lens))
                 unit_tok_off = np.concatenate([[0], np.cumsum(np.concatenate([d[0] for d in done]))])
                 row_tok_off = pa.array(unit_tok_off[np.concatenate([[0], row_units[a:b] - first])], pa.int32())
                 lists = [pa.ListArray.from_arrays(row_tok_off, pa.array(np.concatenate([d[k] for d in done]), pa.int32()))

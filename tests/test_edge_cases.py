@@ -5,11 +5,15 @@ import math
 import random
 import time
 import tracemalloc
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tessera.functions.text import BYTE_TO_ID
 from tessera.operators import batches as G
 from tessera.operators import bpe as C
 from tessera.operators import encode as D
@@ -210,3 +214,33 @@ def test_public_tokenizer_file(spark, trained, tmp_path):
     for text in [*texts, "plain text 123", "\uff21\uff22 caf\u00e9 \U0001f642"]:
         assert loaded.encode(text).ids == golden.encode(text).ids
     assert S.load_tokenizer(spark, str(tmp_path / "tok")).merges == model.merges
+
+
+def test_words_are_merged_many_at_a_time(monkeypatch):
+    """Every word gets the ids that merging it alone gives, runs of one symbol and merges into older symbols included."""
+    rng = random.Random(3)
+    for _ in range(60):
+        base = top = rng.choice([3, 8, 40])
+        ranks = {}
+        for k in range(rng.choice([0, 3, 30, 200])):
+            old = top > base and rng.random() < .2
+            if ranks.setdefault((rng.randrange(top), rng.randrange(top)), (k, rng.randrange(base, top) if old else top)) == (k, top):
+                top += 1
+        words = [[rng.randrange(base) for _ in range(rng.choice([0, 1, 2, 3, 5, 9, 20, C.LONG_WORD, C.LONG_WORD + 1, 80]))] for _ in range(rng.choice([0, 1, 40]))]
+        sizes = np.array([len(w) for w in words], np.int64)
+        ids, counts = C.bpe_words(np.array([x for w in words for x in w], np.int32), np.cumsum(sizes) - sizes, sizes, C.MergeTable(ranks))
+        want = [C.bpe_word(w, ranks) for w in words]
+        assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+
+    def alone(*_):
+        raise AssertionError("a short word was merged by itself")
+
+    monkeypatch.setattr(C, "bpe_word", alone)
+    monkeypatch.setattr(D, "bpe_word", alone)
+    model = C.BpeModel.base()
+    model.merges, model.vocab[259] = [(BYTE_TO_ID[97], BYTE_TO_ID[98], 259)], b"ab"
+    shared = [SimpleNamespace(value=x) for x in (model.ranks(), {i: len(b) for i, b in model.vocab.items()})]
+    units = pa.array([["abab", "<unk>", "", "ab é"], [], None], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([units], names=["u"])
+    (out,) = D._arrow_unit_encoder(*shared, "u", None)([batch])
+    assert out.column("ids").to_pylist() == [[259, 259, 2, 259, *(BYTE_TO_ID[b] for b in " é".encode())], [], []]
