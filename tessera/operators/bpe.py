@@ -54,8 +54,8 @@ def word_counts(df: DataFrame, text_col: str = "text", normalize: bool = True) -
 
 def word_types(counts: DataFrame) -> DataFrame:
     """Word counts as base-symbol arrays; words of one symbol can never take part in a merge."""
-    return (counts.select(byte_symbols("word").alias("symbols"), F.col("cnt").cast("long").alias("cnt"))
-            .filter(F.size("symbols") >= 2))
+    return (counts.filter(F.octet_length("word") >= 2)  # a symbol is a byte
+            .select(byte_symbols("word").alias("symbols"), F.col("cnt").cast("long").alias("cnt")))
 
 
 def pair_counts(words: DataFrame, min_frequency: int = 2) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tessera.functions.text import BYTE_TO_ID
+from tessera.functions.text import BYTE_TO_ID, byte_symbols
 from tessera.operators import batches as G
 from tessera.operators import bpe as C
 from tessera.operators import encode as D
@@ -244,3 +244,14 @@ def test_words_are_merged_many_at_a_time(monkeypatch):
     batch = pa.RecordBatch.from_arrays([units], names=["u"])
     (out,) = D._arrow_unit_encoder(*shared, "u", None)([batch])
     assert out.column("ids").to_pylist() == [[259, 259, 2, 259, *(BYTE_TO_ID[b] for b in " é".encode())], [], []]
+
+
+def test_word_types_are_looked_up_many_at_a_time(spark):
+    words = ["ab", "a", "", "é", " the", None, "\U0001f600x", "b" * 300]
+    types = C.word_types(spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, cnt int"))
+    got = sorted((r.cnt, r.symbols) for r in types.collect())
+    assert got == [(i, [BYTE_TO_ID[b] for b in w.encode()]) for i, w in enumerate(words) if w and len(w.encode()) > 1]
+    assert [r.s for r in spark.createDataFrame([(w,) for w in words], "word string").coalesce(1).select(byte_symbols("word").alias("s")).collect()] == [
+        None if w is None else [BYTE_TO_ID[b] for b in w.encode()] for w in words]
+    assert types.dtypes == [("symbols", "array<int>"), ("cnt", "bigint")]
+    assert "transform" not in types._jdf.queryExecution().executedPlan().toString()  # some 9 microseconds a word
