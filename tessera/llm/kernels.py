@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-BLOCK = 1 << 20  # bytes hashed at a time: bounds the temporary arrays, not the texts
+BLOCK = 1 << 17  # bytes hashed at a time: bounds the temporary arrays (some 50 bytes for each), not the texts
 
 
 def mix(x: np.ndarray) -> np.ndarray:

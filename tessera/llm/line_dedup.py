@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .common import cut, free_names, is_empty
 
 HOLDERS = 1 << 12  # holders of a line that one task compares with the documents where the line is left
+REBUILT = 1 << 20  # text bytes rebuilt at a time
 
 
 def patience(first: list[int], later: list[int]) -> list[int]:
@@ -215,7 +217,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = rows.withColumns({key: _key(id_col, text_col), body: F.col(text_col).cast("string")}).join(gone, key, "left")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in K.slices(batches, body, REBUILT):
             texts, counts = batch.column(body).to_pylist(), []
             removed = batch.column(lines)
             sizes = [len(x) if x is not None else 0 for x in removed.to_pylist()] if removed.null_count < len(removed) else [0] * len(removed)

@@ -39,6 +39,7 @@ COORDINATES = 48
 MATCHES = 20
 PIECE = 1 << 19  # shingles of one piece of a group; a task compares two pieces at a time
 SEEN = 1 << 16  # (id, text hash) that a task remembers, so as to send a repeated row once
+SENT = 1 << 20  # text bytes sent at a time
 
 
 def _known_id(name: str = "doc_id"):
@@ -126,7 +127,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()
-        for batch in batches:
+        for batch in K.slices(batches, "text", SENT):
             kept = []
             for i, key in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist())):
                 if key not in seen:

@@ -30,7 +30,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-SLICE = 1 << 20  # text bytes encoded at a time
+SLICE = 1 << 17  # text bytes encoded at a time; what the library holds of them takes some hundred times as much
 #: Bytes that begin UTF-8 forms of white space beyond ASCII, among other characters.
 _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
