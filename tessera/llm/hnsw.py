@@ -6,9 +6,13 @@ the embedding de-duplication; a graph holds the vectors of one shard.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 NONE = -1
+CELLS = 1 << 16  # candidates compared at once: bounds what is gathered for them, not their number
+MARKS = 1 << 20  # marks (query, node) kept at once by ``within_parts``
 
 
 class Graph:
@@ -59,6 +63,10 @@ class Graph:
     def _diverse(self, ids: np.ndarray, sims: np.ndarray, width: int) -> np.ndarray:
         """Of each row's candidates the nearest that are nearer to the query than to those already
         chosen; places left over are filled with the nearest others."""
+        step = max(1, CELLS // max(1, ids.shape[1]))
+        return np.concatenate([self._diverse_rows(ids[i:i + step], sims[i:i + step], width) for i in range(0, max(1, len(ids)), step)])
+
+    def _diverse_rows(self, ids: np.ndarray, sims: np.ndarray, width: int) -> np.ndarray:
         order = np.argsort(-sims, axis=1, kind="stable")
         ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
         rows, count = ids.shape
@@ -72,7 +80,7 @@ class Graph:
             taken += take
             if j + 1 < count and take.any():
                 r = np.flatnonzero(take)
-                to = np.einsum("rcd,rd->rc", vectors[r, j + 1:], vectors[r, j])
+                to = np.matmul(vectors[r, j + 1:], vectors[r, j][:, :, None])[:, :, 0]
                 closest[r, j + 1:] = np.maximum(closest[r, j + 1:], to)
         rank = np.where(chosen, 0, np.where(valid, 1, 2)) * count + np.arange(count)
         pick = np.argsort(rank, axis=1)[:, :width]
@@ -91,17 +99,25 @@ class Graph:
         place = np.arange(len(to)) - np.repeat(first, number)
         free = place < np.repeat(width - have, number)
         links[to[free], (np.repeat(have, number) + place)[free]] = back[free]
-        full = have + number > width
-        if full.any():
-            rows, left = targets[full], np.flatnonzero(~free)
-            most = int((have + number - width).max())
-            extra = np.full((len(rows), most), NONE, np.int64)
-            at = np.searchsorted(rows, to[left])
-            extra[at, (place - np.repeat(width - have, number))[left]] = back[left]
-            ids = np.concatenate([links[rows].astype(np.int64), extra], axis=1)
-            sims = np.einsum("rcd,rd->rc", self.x[np.where(ids >= 0, ids, 0)], self.x[rows])
-            sims[ids < 0] = -np.inf
-            links[rows] = self._diverse(ids, sims, width)
+        over = have + number - width  # links that don't fit
+        left = np.flatnonzero(~free)
+        at, slot = np.searchsorted(targets, to[left]), (place - np.repeat(width - have, number))[left]
+        low, most = 0, width
+        while (over > low).any():  # nodes with many new links apart from the others, so that few rows are so wide
+            mine = np.flatnonzero((over > low) & (over <= most))
+            step = max(1, CELLS // (width + most))
+            for i in range(0, len(mine), step):
+                some = mine[i:i + step]
+                a, b = np.searchsorted(at, [some[0], some[-1] + 1])
+                row = np.searchsorted(some, at[a:b])
+                own = some[np.minimum(row, len(some) - 1)] == at[a:b]
+                extra = np.full((len(some), int(over[some].max())), NONE, np.int64)
+                extra[row[own], slot[a:b][own]] = back[left[a:b][own]]
+                ids = np.concatenate([links[targets[some]].astype(np.int64), extra], axis=1)
+                sims = np.einsum("rcd,rd->rc", self.x[np.where(ids >= 0, ids, 0)], self.x[targets[some]])
+                sims[ids < 0] = -np.inf
+                links[targets[some]] = self._diverse(ids, sims, width)
+            low, most = most, most * 4
 
     def search_layer(self, q: np.ndarray, near: np.ndarray, layer: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Best-first search with a beam for each query from the nodes ``near``: ids (NONE where fewer) and similarities."""
@@ -154,38 +170,41 @@ class Graph:
     def within(self, q: np.ndarray, beam: int, least: float, slack: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, node) with similarity >= ``least``: a beam search, then all neighbours of
         whatever lies above ``least - slack`` until nothing new is met."""
-        rows, nodes = [], []
+        parts = list(self.within_parts(q, beam, least, slack))
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def within_parts(self, q: np.ndarray, beam: int, least: float, slack: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of ``within`` for a few queries at a time, so that what is held does not follow the number of pairs."""
+        step = max(1, MARKS // max(1, len(self.x)))
         for lo in range(0, len(q), 1024):
             part = q[lo:lo + 1024]
             ids, sims = self.search(part, beam)
-            r, c = np.nonzero(sims >= least - slack)
-            front_r, front_n = r, ids[r, c]
-            near = np.unique(r)
-            at = np.full(len(part), -1)
-            at[near] = np.arange(len(near))
-            known = np.zeros((len(near), len(self.x)), bool)
-            known[at[front_r], front_n] = True
-            while len(front_r):
-                hit_r, hit_n, met_r, met_n = [], [], [], []
-                for i in range(0, len(front_r), 1 << 14):
-                    fr, fn = front_r[i:i + (1 << 14)], front_n[i:i + (1 << 14)]
-                    n_ = self.links[0][fn].astype(np.int64)
-                    rr = np.repeat(fr, n_.shape[1])
-                    nn = n_.ravel()
-                    ok = nn >= 0
-                    ok[ok] = ~known[at[rr[ok]], nn[ok]]
-                    key = np.unique(rr[ok] * len(self.x) + nn[ok])
-                    met_r.append(key // len(self.x))
-                    met_n.append(key % len(self.x))
-                    known[at[met_r[-1]], met_n[-1]] = True
-                    s = np.einsum("rd,rd->r", part[met_r[-1]], self.x[met_n[-1]])
-                    high = s >= least - slack
-                    hit_r.append(met_r[-1][high])
-                    hit_n.append(met_n[-1][high])
-                    low = ~high
-                    known[at[met_r[-1][low]], met_n[-1][low]] = False
-                front_r, front_n = np.concatenate(hit_r), np.concatenate(hit_n)
-            r, c = np.nonzero(known)
-            rows.append(near[r] + lo)
-            nodes.append(c)
-        return (np.concatenate(rows), np.concatenate(nodes)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            high = sims >= least - slack
+            near = np.flatnonzero(high.any(1))
+            for i in range(0, len(near), step):
+                some = near[i:i + step]
+                r, c = np.nonzero(high[some])
+                known = self._spread(part[some], r, ids[some[r], c], least - slack)
+                r, c = np.nonzero(known)
+                yield some[r] + lo, c
+
+    def _spread(self, q: np.ndarray, front_r: np.ndarray, front_n: np.ndarray, least: float) -> np.ndarray:
+        """Marks of the nodes that each query reaches from its front through nodes of similarity >= ``least``."""
+        known = np.zeros((len(q), len(self.x)), bool)
+        known[front_r, front_n] = True
+        while len(front_r):
+            hit_r, hit_n = [], []
+            for i in range(0, len(front_r), 1 << 12):
+                n_ = self.links[0][front_n[i:i + (1 << 12)]].astype(np.int64)
+                rr = np.repeat(front_r[i:i + (1 << 12)], n_.shape[1])
+                nn = n_.ravel()
+                ok = nn >= 0
+                ok[ok] = ~known[rr[ok], nn[ok]]
+                met_r, met_n = np.divmod(np.unique(rr[ok] * len(self.x) + nn[ok]), len(self.x))
+                high = np.concatenate([np.einsum("rd,rd->r", q[met_r[j:j + (1 << 14)]], self.x[met_n[j:j + (1 << 14)]]) >= least
+                                       for j in range(0, max(1, len(met_r)), 1 << 14)])
+                known[met_r[high], met_n[high]] = True
+                hit_r.append(met_r[high].astype(np.int32))
+                hit_n.append(met_n[high].astype(np.int32))
+            front_r, front_n = np.concatenate(hit_r).astype(np.int64), np.concatenate(hit_n).astype(np.int64)
+        return known

@@ -102,3 +102,52 @@ def test_graph_search_without_exact_fallback():
     r, c = graph.within(x.astype(np.float32), 48, 0.9, 0.05)
     truth = set(map(tuple, np.argwhere(x @ x.T >= 0.9)))
     assert len(truth & set(zip(r.tolist(), c.tolist()))) >= 0.99 * len(truth)
+
+
+def test_graphs_travel_in_pieces_and_links_are_not_all_held():
+    """A task's memory follows neither the rows of its stream nor the number of links."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from tessera.llm.hnsw import Graph
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1, 16)) + rng.normal(size=(2500, 16)) * 0.05  # all near each other
+    x[:40] = rng.normal(size=(40, 16)) * 1e200  # needs double precision
+    unit = embedding_dedup._unit(x)
+    blob = embedding_dedup._packed(np.arange(2500), np.full(2500, 2), x, Graph(unit))
+    parts = [blob[i:i + 9999] for i in range(0, len(blob), 9999)]
+    keys = [(16, 1, 0, -1, i, None, p) for i, p in enumerate(parts)] + [(16, 1, 0, b, i, x[i].tolist(), None) for b in (0, 2) for i in range(b, 2500, 4)]
+    keys += [(16, 2, 0, 0, 1, x[1].tolist(), None)]  # a shard without a graph
+    names = ["dim", "shard", "turn", "block", "at", "v", "piece"]
+    types = [pa.int32()] * 4 + [pa.int64(), pa.list_(pa.float64()), pa.binary()]
+    rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*keys), types)], names=names)
+    run = embedding_dedup._asked(0.9, 32, 0.05, 16)
+    out = pa.Table.from_batches(list(run(rows.slice(i, 700) for i in range(0, rows.num_rows, 700))))
+    near = unit @ unit.T >= 0.9
+    counts = {n: c for n, c, o in zip(*(out.column(c).to_pylist() for c in ("node", "links", "other"))) if o is None}
+    assert counts == {i: int(2 * near[i].sum()) for b in (0, 2) for i in range(b, 2500, 4)}
+    links = [(n, o) for n, o in zip(out.column("node").to_pylist(), out.column("other").to_pylist()) if o is not None]
+    asked = [i for b in (0, 2) for i in range(b, 2500, 4)]
+    label, want = X.components(2500, links), X.components(2500, [(i, j) for i in asked for j in np.flatnonzero(near[i]).tolist() if i != j])
+    assert len(links) < 2 * 2500 and len(set(zip(label, want))) == len(set(want)) == len(set(label))
+    graph, q = Graph(unit), unit[:2000]
+    tracemalloc.start()
+    n = sum(len(r) for r, _, _ in embedding_dedup._pairs(graph, unit, q, 0.9, 32, 0.05, 16))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0.9999 * near[:2000].sum() < n <= near[:2000].sum() and peak < 100 << 20
+
+
+def test_graph_with_a_hub_is_built_in_little_memory():
+    """Many new links of a node don't widen the rows of all others."""
+    import tracemalloc
+
+    from tessera.llm.hnsw import Graph
+    rng = np.random.default_rng(7)
+    x = np.concatenate([np.ones((1, 96)) * 0.4, rng.normal(size=(9000, 96)) + 0.8])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tracemalloc.start()
+    Graph(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
