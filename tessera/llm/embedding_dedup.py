@@ -249,13 +249,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     dealt = distinct.withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)")).repartition(shards * SPREAD, "dim", "shard")
     graphs = cut(dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, at long, piece binary"))
     asked = graphs.select("dim", "shard", F.explode(F.expr(f"sequence(0, {turns - 1})")).alias("turn"), F.lit(-1).alias("block"), "at",
-                          F.lit(None).cast("array<double>").alias("v"), "piece")
+                          F.array().cast("array<double>").alias("v"), "piece")
     block = F.expr(f"cast(pmod(shiftright(h, 20), {blocks}) as int)")
     queries = distinct.select("dim", "node", "v", block.alias("block"))
     queries = queries.select("dim", F.explode(F.expr(f"sequence(0, {shards - 1})")).alias("shard"), F.expr(f"block % {turns}").alias("turn"), "block",
-                             F.col("node").alias("at"), "v", F.lit(None).cast("binary").alias("piece"))
+                             F.col("node").alias("at"), "v", F.lit(bytearray()).alias("piece"))
     order = ["dim", "shard", "turn", "block", "at"]
     stream = asked.unionByName(queries).repartition(shards * turns * 2, "dim", "shard", "turn").sortWithinPartitions(*order)
+    # no nulls in the stream: Spark looks through all nulls of a batch again for each row that it adds
     answers = cut(stream.mapInArrow(_asked(least, beam, slack, audit), "node long, links long, other long, beam long"))
     counts = answers.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(answers.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import pickle
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -346,45 +347,82 @@ def early_stop_scan(df: DataFrame, value: str, order: str, by: list[str], rule:
 
 # ---- looking back in a byte stream
 
-SPAN = 256  # places of one packed run: the most that an exchange can't split
+SPAN = 512  # places of one packed run: the most that an exchange can't split
 SLICE_ROWS = 1 << 17  # rows unpacked at once
 
 
-def _packer(by: list[str], order: str):
-    """Batches of rows as runs: neighbours of one group and block are one row, with the values' bytes in one piece.
+def _packs(heads: list[pa.Array], by: list[str], starts: np.ndarray, places: pa.Array, stops: np.ndarray, sizes: np.ndarray, data: bytes) -> pa.RecordBatch:
+    """Rows as runs that begin at ``starts``: one row for each, with the values' bytes in one piece.
 
     Places that count up by one are kept as the first of them, values of one byte each without their sizes."""
+    n = len(sizes)
+    bounds = np.append(starts, n)
+    odd = np.zeros(n, bool)  # places that do not follow the one before
+    if pa.types.is_integer(places.type) and not places.null_count:
+        odd[1:] = np.diff(places.to_numpy().astype(np.int64)) != 1
+        odd[starts] = False
+    else:
+        odd[:] = True
+
+    def lists(wanted: np.ndarray, items: pa.Array) -> pa.Array:
+        """The items of the runs that hold a wanted row; empty for the others (not null: Spark looks through all nulls of a batch
+        again for each row that it adds)."""
+        runs = np.logical_or.reduceat(wanted, starts)
+        length = np.where(runs, np.diff(bounds), 0)
+        off = pa.array(np.append(0, np.cumsum(length)), pa.int32())
+        return pa.ListArray.from_arrays(off, items.filter(pa.array(np.repeat(runs, np.diff(bounds)))) if runs.any() else items.slice(0, 0))
+
+    at = np.append(0, np.cumsum(sizes, dtype=np.int64))[bounds].astype(np.int32)
+    blob = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays(
+        [*heads, places.take(pa.array(starts)), pa.array(np.diff(bounds), pa.int32()),
+         lists(odd, places), lists(sizes != 1, pa.array(sizes)), lists(stops, pa.array(stops)), blob],
+        names=[*by, "_block", "_first", "_n", "_places", "_sizes", "_stops", "_bytes"])
+
+
+def _packer(by: list[str], order: str):
+    """Batches of rows as runs: neighbours of one group and block are one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            if not batch.num_rows:
                 continue
             starts = segments(batch, [*by, "_block"])
-            bounds, first = np.append(starts, n), pa.array(starts)
-            places, stops = batch.column(order), batch.column("_stop").to_numpy(zero_copy_only=False)
             values = batch.column("value").cast(pa.binary()).fill_null(b"")
             sizes = pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int32)
-            odd = np.zeros(n, bool)  # places that do not follow the one before
-            if pa.types.is_integer(places.type) and not places.null_count:
-                odd[1:] = np.diff(places.to_numpy().astype(np.int64)) != 1
-                odd[starts] = False
-            else:
-                odd[:] = True
+            data = b"".join(b for b in values.buffers()[2:] if b is not None)
+            yield _packs([batch.column(c).take(pa.array(starts)) for c in [*by, "_block"]], by, starts, batch.column(order),
+                         batch.column("_stop").to_numpy(zero_copy_only=False), sizes, data)
+    return run
 
-            def lists(wanted: np.ndarray, items: pa.Array) -> pa.Array:
-                """The items of the runs that hold a wanted row; null for the others."""
-                runs = np.logical_or.reduceat(wanted, starts)
-                length = np.where(runs, np.diff(bounds), 0)
-                off = pa.array(np.append(0, np.cumsum(length)), pa.int32())
-                return pa.ListArray.from_arrays(off, items.filter(pa.array(np.repeat(runs, np.diff(bounds)))), mask=pa.array(~runs))
 
-            data = b"".join(b for b in values.buffers()[2:] if b is not None)
-            at = np.append(0, np.cumsum(sizes, dtype=np.int64))[bounds].astype(np.int32)
-            blob = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(b).take(first) for b in by), batch.column("_block").take(first), places.take(first), pa.array(np.diff(bounds), pa.int32()),
-                 lists(odd, places), lists(sizes != 1, pa.array(sizes)), lists(stops, pa.array(stops)), blob],
-                names=[*by, "_block", "_first", "_n", "_places", "_sizes", "_stops", "_bytes"])
+def _list_packer(by: list[str], items: str, values: list[bytes], stop: int):
+    """Batches of lists of codes, cut into blocks, as runs: the code at each place stands for its value."""
+    known = len(values)
+    lengths = np.array([*map(len, values), 0], np.int32)
+    first = np.append(0, np.cumsum(lengths, dtype=np.int64))[:-1]
+    every = np.frombuffer(b"".join(values) or b"\0", np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(items)
+            numbers = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+            codes = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            code = np.where((codes >= 0) & (codes < known), codes, known)
+            sizes, stops = lengths[code], codes == stop
+            row = np.repeat(np.arange(len(numbers)), numbers)
+            places = np.arange(len(codes)) - np.repeat(np.cumsum(numbers) - numbers, numbers) + batch.column("_block").to_numpy().astype(np.int64)[row] * SPAN
+            kept = (sizes > 0) | stops
+            if not kept.all():
+                code, sizes, stops, row, places = (x[kept] for x in (code, sizes, stops, row, places))
+            if not len(row):
+                continue
+            starts = np.flatnonzero(np.diff(row, prepend=-1))
+            if sizes.min() == 1 == sizes.max():
+                data = every[first[code]]
+            else:
+                data = every[np.repeat(first[code] - (np.cumsum(sizes, dtype=np.int64) - sizes), sizes) + np.arange(sizes.sum())]
+            yield _packs([batch.column(c).take(pa.array(row[starts])) for c in [*by, "_block"]], by, starts, pa.array(places, pa.int64()),
+                         stops, sizes, data.tobytes())
     return run
 
 
@@ -396,16 +434,18 @@ def _unpack(packs: pa.RecordBatch, by: list[str], order: str) -> pa.RecordBatch:
     def spread_lists(name: str, default: pa.Array) -> pa.Array:
         """Each row's item: of its run's list, else of ``default``."""
         column = packs.column(name)
-        listed = np.repeat(~np.asarray(column.is_null()), n)
+        if not len(column.flatten()):
+            return default
+        listed = np.repeat(pc.list_value_length(column).to_numpy() > 0, n)
         items = column.flatten()
         index = np.where(listed, np.cumsum(listed) - 1, len(items) + np.arange(len(run)))
-        return pa.concat_arrays([items, default]).take(pa.array(index)) if len(items) else default
+        return pa.concat_arrays([items, default]).take(pa.array(index))
 
     first = packs.column("_first")
     if pa.types.is_integer(first.type):
         counted = first.fill_null(0).to_numpy().astype(np.int64)[run] + np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
-        nulls = packs.column("_places").is_null().to_numpy(zero_copy_only=False)[run]  # others' numbers are not used and may be out of range
-        default = pa.array(np.where(nulls, counted, 0), first.type)
+        bare = (pc.list_value_length(packs.column("_places")).to_numpy() == 0)[run]  # others' numbers are not used and may be out of range
+        default = pa.array(np.where(bare, counted, 0), first.type)
     else:
         default = pa.nulls(len(run), first.type)
     places = spread_lists("_places", default)
@@ -452,6 +492,38 @@ def _unpacked(batches: Iterator[pa.RecordBatch], by: list[str], order: str) -> I
         yield rows(held)
 
 
+def _last_bytes(packs: pa.RecordBatch, by: list[str], order: str, width: int) -> bytes:
+    rows = _unpack(packs, by, order)
+    return b"".join(rows.column("value").slice(max(0, rows.num_rows - width)).to_pylist())[-width:] if width else b""
+
+
+def _ends(batches: Iterator[pa.RecordBatch], by: list[str], order: str, width: int) -> tuple:
+    """(first key, (ended, last bytes) of the first group, last key, those of the last group if it is another) of sorted packed
+    runs. Only a group's last blocks are unpacked."""
+    first_key = summary = key = held = None
+    ended = False
+    for batch in batches:
+        packs = batch.drop_columns(["_part"])
+        starts = segments(packs, by)
+        bounds = [*starts.tolist(), packs.num_rows]
+        for a in dict.fromkeys((0, len(starts) - 1)):  # groups between them lie in this batch
+            now, own = key_at(packs, by, bounds[a]), packs.slice(bounds[a], bounds[a + 1] - bounds[a])
+            if now != key:
+                if key is not None and summary is None:
+                    first_key, summary = key, (ended, _last_bytes(held, by, order, width))
+                key, held, ended = now, None, False
+            ended = ended or bool(pc.any(own.column("_stops").flatten(), min_count=0).as_py())
+            own = own if held is None else pa.concat_batches([held, own])
+            blocks = segments(own, [*by, "_block"])
+            after = np.append(0, np.cumsum(pc.binary_length(own.column("_bytes")).to_numpy()))
+            enough = np.flatnonzero(after[-1] - after[blocks] >= width)
+            held = own.slice(blocks[enough[-1]] if len(enough) else 0)
+    if key is None:  # no rows
+        return None, None, None, None
+    last = ended, _last_bytes(held, by, order, width)
+    return (key, last, key, None) if summary is None else (first_key, summary, key, last)
+
+
 def look_back(df: DataFrame, by: list[str], order: str, value: Column, stop: Column, width: int, out: str = "before",
               partitions: int | None = None) -> DataFrame:
     """(by, order, value, out) of a group's rows before its first ``stop``, with the last ``width`` bytes of the group's values
@@ -459,68 +531,89 @@ def look_back(df: DataFrame, by: list[str], order: str, value: Column, stop: Col
 
     Rows are packed before they are exchanged: neighbours of one group whose places share a block of ``SPAN`` are one row, so what
     is written to disk is little more than the values' bytes. A block goes to one range whole, and its runs are put in order there."""
+    schema, packs = _row_packs(df, by, order, value, stop)
+
+    def whole(batch: pa.RecordBatch, before: Callable) -> pa.RecordBatch:
+        return batch.append_column(out, before(np.arange(batch.num_rows)))
+
+    return _scan_packs(packs, by, order, width, whole, T.StructType([*schema, T.StructField(out, T.BinaryType())]), partitions or range_count(df))
+
+
+def _row_packs(df: DataFrame, by: list[str], order: str, value: Column, stop: Column) -> tuple[list[T.StructField], DataFrame]:
+    """Fields (by, order, value) and packed runs of rows."""
     narrow = (df.select(*by, order, value.cast("binary").alias("value"), F.coalesce(stop, F.lit(False)).alias("_stop"))
               .filter(F.col("_stop") | (F.octet_length("value") > 0)))
     place = narrow.schema[order].dataType
     block = F.expr(f"`{order}` div {SPAN}") if isinstance(place, T.IntegralType) else F.col(order)
     blocked = narrow.withColumn("_block", block)
-    packed = T.StructType([*(blocked.schema[c] for c in [*by, "_block"]), T.StructField("_first", place), T.StructField("_n", T.IntegerType()),
-                           T.StructField("_places", T.ArrayType(place)), T.StructField("_sizes", T.ArrayType(T.IntegerType())),
-                           T.StructField("_stops", T.ArrayType(T.BooleanType())), T.StructField("_bytes", T.BinaryType())])
-    rows = ordered(blocked.mapInArrow(_packer(by, order), packed), by, ["_block"], partitions)
+    return [narrow.schema[c] for c in [*by, order, "value"]], blocked.mapInArrow(_packer(by, order), _pack_schema(blocked, by, place))
 
-    def scanned(batches: Iterator[pa.RecordBatch], start: tuple | None):
-        """(batch, starts, whether ended, bytes before, states at row i) with the last group's (ended, last bytes) handed on."""
-        key, state = None, start
-        for batch in _unpacked(batches, by, order):
-            starts, n = segments(batch, by), batch.num_rows
-            into = state if key is None or key_at(batch, by, 0) == key else None
-            ended, held = into or (False, b"")
-            values, stops = batch.column("value").fill_null(b""), batch.column("_stop").to_numpy(zero_copy_only=False)
-            sizes = np.diff(np.append(starts, n))
-            begin = np.repeat(starts, sizes)
-            seen = np.cumsum(stops)
-            over = seen - np.repeat(seen[starts] - stops[starts], sizes) > 0
-            over[:sizes[0]] |= ended
-            at, shifted = np.arange(n), []
-            for k in range(width, 0, -1):  # each value before the stop has a byte, so `width` rows are enough
-                shifted.append(values.take(pa.array(at - k, mask=at - k < begin)).fill_null(b""))
-            before = pc.binary_slice(pc.binary_join_element_wise(*shifted, b""), -width, None) if width else values
-            if held:
-                first = [held + b.as_py() if i < width else b.as_py() for i, b in enumerate(before[:min(width, int(sizes[0]))])]
-                before = pa.concat_arrays([pa.array([b[-width:] for b in first], before.type), before[len(first):]])
 
-            def after(i, over=over, before=before, values=values):
-                return bool(over[i]), (before[i].as_py() + values[i].as_py())[-width:]
+def _list_packs(df: DataFrame, by: list[str], order: str, items: str, values: list[bytes], stop: int) -> tuple[list[T.StructField], DataFrame]:
+    """As ``_row_packs`` of lists whose items are the rows, ``order`` (long) counting from 0: nothing is written out item by item."""
+    cut = (df.where(F.size(items) > 0).select(*by, items, F.explode(F.expr(f"sequence(0L, (size(`{items}`) - 1) div {SPAN})")).alias("_block"))
+           .select(*by, "_block", F.expr(f"slice(`{items}`, cast(_block * {SPAN} + 1 as int), {SPAN})").alias(items)))
+    fields = [*(df.schema[b] for b in by), T.StructField(order, T.LongType()), T.StructField("value", T.BinaryType())]
+    return fields, cut.mapInArrow(_list_packer(by, items, values, stop), _pack_schema(cut, by, T.LongType()))
 
-            yield batch, starts, over, before, after
-            key, state = key_at(batch, by, int(starts[-1])), after(n - 1)
 
-    def summarise(batches: Iterator[pa.RecordBatch]):
-        first_key = summary = last_key = last = None
-        for batch, starts, _, _, after in scanned(batches, None):
-            keys = key_at(batch, by, 0), key_at(batch, by, int(starts[-1]))
-            first_key = keys[0] if first_key is None else first_key
-            if keys[0] == first_key:
-                summary = after((int(starts[1]) if len(starts) > 1 else batch.num_rows) - 1)
-            last_key, last = keys[1], after(batch.num_rows - 1)
-        return first_key, summary, last_key, None if last_key == first_key else last
+def _pack_schema(df: DataFrame, by: list[str], place: T.DataType) -> T.StructType:
+    return T.StructType([*(df.schema[c] for c in [*by, "_block"]), T.StructField("_first", place), T.StructField("_n", T.IntegerType()),
+                         T.StructField("_places", T.ArrayType(place)), T.StructField("_sizes", T.ArrayType(T.IntegerType())),
+                         T.StructField("_stops", T.ArrayType(T.BooleanType())), T.StructField("_bytes", T.BinaryType())])
+
+
+def _scan_packs(packs: DataFrame, by: list[str], order: str, width: int, then: Callable, schema: T.StructType, partitions: int) -> DataFrame:
+    """``then(batch, before)`` of the rows (by, order, value) before the first stop; ``before(i)`` gives the last ``width`` bytes before
+    rows i. Choosing the ranges reads the runs once more, so they are written first, lest what makes them run twice."""
+    spark = packs.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    names = [f"c{i}" for i in range(len(packs.columns))]  # a file's column names are less free
+    packs.toDF(*names).write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(packs.toDF(*names).schema).parquet(path).toDF(*packs.columns)
+    rows = ordered(stored, by, ["_block"], partitions)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def fold(state: tuple | None, summary: tuple) -> tuple:
-        return summary if state is None else (state[0] or summary[0], (state[1] + summary[1])[-width:])
+        return summary if state is None else (state[0] or summary[0], (state[1] + summary[1])[-width:] if width else b"")
 
-    known = carries(rows, summarise, fold)
+    known = carries(rows, lambda batches: _ends(batches, by, order, width), fold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = (b for b in batches if b.num_rows)
-        head = next(batches, None)
-        if head is None:
-            return
-        start = known[head.column("_part")[0].as_py()].state
-        for batch, _, over, before, _ in scanned((b for part in ([head], batches) for b in part), start):
-            kept = [*by, order, "value"]
-            whole = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), before], names=[*kept, out])
-            yield whole.filter(pa.array(~over))
+        key = state = None
+        for batch in _unpacked((b for b in batches if b.num_rows), by, order):
+            if key is None:
+                state = known[batch.column("_part")[0].as_py()].state
+            starts, n = segments(batch, by), batch.num_rows
+            into = state if key is None or key_at(batch, by, 0) == key else None
+            ended, held = into or (False, b"")
+            values, stops = batch.column("value"), batch.column("_stop").to_numpy(zero_copy_only=False)
+            sizes = np.diff(np.append(starts, n))
+            over = np.zeros(n, bool)
+            if stops.any():
+                seen = np.cumsum(stops)
+                over = seen - np.repeat(seen[starts] - stops[starts], sizes) > 0
+            over[:sizes[0]] |= ended
+
+            def before(i: np.ndarray, values=values, starts=starts, first=int(sizes[0]), held=held) -> pa.Array:
+                begin, shifted = starts[np.searchsorted(starts, i, side="right") - 1], []
+                for k in range(width, 0, -1):  # each value before the stop has a byte, so `width` rows are enough
+                    shifted.append(values.take(pa.array(i - k, mask=i - k < begin)).fill_null(b""))
+                found = pc.binary_slice(pc.binary_join_element_wise(*shifted, b""), -width, None) if width else pa.array([b""] * len(i), pa.binary())
+                early = np.flatnonzero(i < min(width, first)) if held else []
+                if len(early):
+                    new = [(held + found[j].as_py())[-width:] for j in early.tolist()]
+                    found = pc.replace_with_mask(found, pa.array(np.isin(np.arange(len(i)), early)), pa.array(new, found.type))
+                return found
+
+            last = np.array([n - 1])
+            key, state = key_at(batch, by, n - 1), (bool(over[-1]), (before(last)[0].as_py() + values[n - 1].as_py())[-width:] if width else b"")
+            whole = batch.select([*by, order, "value"])
+            if over.any():
+                left = np.flatnonzero(~over)
+                yield then(whole.take(pa.array(left)), lambda i, left=left, before=before: before(left[i]))
+            else:
+                yield then(whole, before)
 
-    schema = T.StructType([*(narrow.schema[c] for c in [*by, order, "value"]), T.StructField(out, T.BinaryType())])
     return rows.mapInArrow(run, schema)

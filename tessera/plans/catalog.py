@@ -900,8 +900,8 @@ def q_text_deltas(spark, sf):
     # generated tokens: each document's byte symbols, one per step (base vocabulary)
     model = C.BpeModel.base()
     gen = D.encode(_t(spark, sf, "documents"), model, ["doc_id"])
-    steps = gen.select(F.col("doc_id").alias("gen_id"), F.posexplode("ids").alias("step", "token_id"))
-    return I.text_deltas(steps, D.vocab_map(model)).withColumn("step", F.col("step").cast("long"))
+    steps = gen.select(F.col("doc_id").alias("gen_id"), "ids")
+    return I.text_deltas(steps, D.vocab_map(model), ids="ids").withColumn("step", F.col("step").cast("long"))
 
 
 # ==========================================================================================

@@ -279,3 +279,45 @@ def test_text_deltas_write_little_more_than_their_bytes(spark):
                     want.setdefault(g, []).append((s, b, text[-3:]))
                 text += b
         assert [x[1:] for x in found] == [x[1:] for g in (0, 1, None) for x in want[g]]
+
+
+def test_text_deltas_of_lists_equal_those_of_steps(spark):
+    """Lists of tokens give what their exploded steps give, whatever the lists hold; no run of them holds nulls, which Spark is slow with."""
+    import pyarrow as pa
+    from tessera.operators import prefix
+    model = C.BpeModel.base()
+    byte = {b[0]: t for t, b in model.vocab.items() if t >= 3}
+    rng = np.random.default_rng(8)
+    texts = [("añ日😀 plain ASCII " * 90).encode(), b"", "é日".encode()[:4], bytes(rng.integers(0, 256, 1500).astype(np.uint8)), b"x" * 1024]
+    rows = [(g, [byte[b] for b in t]) for g, t in enumerate(texts)] + [(None, [byte[65], byte[0xC3], byte[0xA9]]), (9, None), (10, [1, byte[65]]),
+            (11, [byte[65], None, -4, 10**6, 2, byte[0xE6], 0, byte[0x97], byte[0xA5], 1, byte[66]]), (12, [byte[66]] * 700 + [1] + [byte[67]] * 900)]
+    rows += rows[:1]  # a generation in two rows: both of a step's tokens count
+    lists = spark.createDataFrame(rows, "gen_id int, ids array<int>").repartition(3)
+    steps = lists.select("gen_id", F.posexplode("ids").alias("step", "token_id"))
+    for most in (None, 5):
+        a = I.text_deltas(lists, D.vocab_map(model), ids="ids", max_new=most)
+        b = I.text_deltas(steps, D.vocab_map(model), max_new=most)
+        assert a.columns == b.columns and dict(a.dtypes)["step"] == "bigint"
+        found, want = (sorted(((r.gen_id is None, r.gen_id or 0, r.step, r.delta) for r in x.collect())) for x in (a, b))
+        assert found == want and len(found) > (6000 if most is None else 20)
+    values = [b"" if t < 3 else model.vocab[t] for t in range(max(model.vocab) + 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8], pa.int32()), pa.array([0, 1], pa.int64()), pa.array([[byte[65], 0, byte[66]], [byte[67], 1]], pa.list_(pa.int32()))],
+                                       names=["gen_id", "_block", "ids"])
+    (packs,) = prefix._list_packer(["gen_id"], "ids", values, 1)([batch])
+    assert not any(packs.column(c).null_count for c in ("_places", "_sizes", "_stops", "_bytes"))
+    assert prefix._unpack(packs, ["gen_id"], "step").to_pydict() == {
+        "gen_id": [7, 7, 8, 8], "step": [0, 2, prefix.SPAN, prefix.SPAN + 1], "value": [b"A", b"B", b"C", b""], "_stop": [False, False, False, True]}
+
+
+def test_what_makes_the_steps_runs_once(spark):
+    from tessera.operators import prefix
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    steps = spark.range(3000).selectExpr("id div 100 as g", "id % 100 as s").repartition(2).mapInArrow(counted, "g long, s long")
+    assert prefix.look_back(steps, ["g"], "s", F.lit(b"a"), F.lit(False), 3).count() == 3000
+    assert seen.value == 3000
